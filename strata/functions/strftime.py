@@ -78,4 +78,4 @@ def matches_strftime(col: Column | str, fmt: str) -> Column:
 
         ymd = F.concat_ws("-", part("Y"), part("m"), part("d"))
         ok = ok & F.try_to_date(ymd, "yyyy-M-d").isNotNull()
-    return ok
+    return F.when(c.isNotNull(), ok)
