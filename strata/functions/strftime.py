@@ -72,10 +72,10 @@ def matches_strftime(col: Column | str, fmt: str) -> Column:
     regex, groups = compile_strftime(fmt)
     ok = c.rlike(regex)
     if {"Y", "m", "d"} <= groups.keys():
-        # Calendar check: 2/30 or 2/29 of a common year must fail.
-        def part(token: str) -> Column:
-            return F.trim(F.regexp_extract(c, regex, groups[token]))
-
-        ymd = F.concat_ws("-", part("Y"), part("m"), part("d"))
+        # Calendar check (2/30, or 2/29 of a common year, must fail): one more
+        # regex pass rewrites the matched text to "Y-m-d" through group
+        # references, instead of one extract per component.
+        ymd_ref = f"${groups['Y']}-${groups['m']}-${groups['d']}"
+        ymd = F.regexp_replace(F.regexp_replace(c, regex, ymd_ref), " ", "")
         ok = ok & F.try_to_date(ymd, "yyyy-M-d").isNotNull()
     return F.when(c.isNotNull(), ok)
