@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,13 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def sql_layer_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """``layer, n_rows`` through SQL: one ``UNION ALL`` statement counting
+    every named table or view, planned and run as a single job."""
+    parts = [f"SELECT '{layer}' AS layer, COUNT(*) AS n_rows FROM {name}" for layer, name in tables.items()]
+    return spark.sql(" UNION ALL ".join(parts))
+
+
 def reconcile(counts: DataFrame, checks: Mapping[str, tuple[list[str], list[str]]]) -> DataFrame:
     """Equality checks between sums of layer counts.
 

@@ -8,6 +8,7 @@ below the shared checkpoint root and return what they wrote, read back.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -482,8 +483,14 @@ def _batch_layers(spark, sf_dir):
 
 
 def monitor_layer_counts(spark, sf_dir):
-    """Row counts of every layer after a batch run, one job."""
-    return monitor.layer_counts(_batch_layers(spark, sf_dir))
+    """Row counts of every layer after a batch run, as one SQL
+    statement over the layers registered as views."""
+    tag = uuid.uuid4().hex[:8]
+    views = {}
+    for name, df in _batch_layers(spark, sf_dir).items():
+        views[name] = f"{name}_{tag}"
+        df.createOrReplaceTempView(views[name])
+    return monitor.sql_layer_counts(spark, views)
 
 
 def monitor_reconcile(spark, sf_dir):

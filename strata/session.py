@@ -20,6 +20,10 @@ _DEFAULTS = {
     # which makes batch retries idempotent.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stream dedup state can grow large; RocksDB keeps it off the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
