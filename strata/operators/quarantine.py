@@ -121,6 +121,7 @@ def recover_quarantine(
     target_path: str,
     batch_id: str = "recovery",
     repair: Callable[[DataFrame], DataFrame] | None = None,
+    quarantine_table: str | None = None,
 ) -> DataFrame:
     """Re-ingest quarantined rows of one table (and rule).
 
@@ -129,8 +130,11 @@ def recover_quarantine(
     ``batch_id``.  Rows that still fail stay in the quarantine untouched.
     Returns the quarantine keys of the re-inserted rows (for ``purge``),
     read back from a written table so the caller never re-derives them.
+
+    With ``quarantine_table`` the quarantine is read through the catalog
+    (``spark.table``), otherwise by path.
     """
-    quarantine = read_layer(spark, quarantine_path)
+    quarantine = spark.table(quarantine_table) if quarantine_table else read_layer(spark, quarantine_path)
     rows = parse_quarantined(select_quarantined(quarantine, table_name, rule), schema)
     if repair is not None:
         rows = repair(rows)

@@ -314,10 +314,13 @@ def _repair_day_first(df: DataFrame) -> DataFrame:
 
 def _recover(spark, sf_dir):
     cfg = LayerConfig.scratch(spark, "recovery")
+    medallion.setup_tables(spark, cfg)  # typed bronze tables + quarantine table DDL
     validate_and_write(
         _bronze_traffic(spark, sf_dir), 0, suite=traffic.SUITE, target_path=cfg.bronze(traffic.TABLE),
         quarantine_path=cfg.quarantine(),
     )
+    quarantine_table = cfg.table(cfg.quarantine_table)
+    medallion.refresh_partitions(spark, quarantine_table)
     keys = recover_quarantine(
         spark,
         quarantine_path=cfg.quarantine(),
@@ -328,6 +331,7 @@ def _recover(spark, sf_dir):
         target_path=cfg.bronze(traffic.TABLE),
         batch_id="recovery",
         repair=_repair_day_first,
+        quarantine_table=quarantine_table,
     )
     return cfg, keys
 

@@ -110,3 +110,27 @@ def test_purge_removes_emptied_partition(spark, cfg):
     keys.write.parquet(keys_path)
     purge_quarantine(spark, cfg.quarantine(), spark.read.parquet(keys_path))
     assert spark.read.schema(q.schema).parquet(cfg.quarantine()).count() == 0
+
+
+def test_corrupt_record_capture(spark, cfg):
+    import os
+
+    from strata.schemas import ROADS_SCHEMA
+    from strata.sources.files import read_csv
+
+    folder = cfg.landing("raw_roads")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "raw_roads9.csv"), "w") as fh:
+        fh.write("Road ID,Road category id,Road category,Region id,Region name,Total link length km,"
+                 "Total link length miles,All motor vehicles\n")
+        fh.write("1,1,TM,1,South West,301.339,187.24,3.465840186E9\n")
+        fh.write("2,abc,TA,1,South West,993.586,617.39,3.48471021E9\n")
+        fh.write("3,4,PA\n")
+    rows = read_csv(spark, folder, ROADS_SCHEMA, glob="*.csv", corrupt_column="_corrupt_record").collect()
+    by_id = {r.Road_ID: r for r in rows}
+    assert by_id[1]._corrupt_record is None
+    assert by_id[2].Road_Category_Id is None and by_id[2]._corrupt_record.startswith("2,abc")
+    assert by_id[3].Region_ID is None and by_id[3]._corrupt_record == "3,4,PA"
+    # without the column, malformed cells just become NULL
+    plain = {r.Road_ID: r for r in read_csv(spark, folder, ROADS_SCHEMA, glob="*.csv").collect()}
+    assert plain[2].Road_Category_Id is None and plain[3].Total_Link_Length_Km is None
