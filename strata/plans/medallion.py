@@ -19,6 +19,7 @@ from strata.operators.quarantine import validate_and_write
 from strata.plans import roads, traffic
 from strata.schemas import (
     BATCH_COLUMN,
+    EXTRACT_TIME,
     QUARANTINE_SCHEMA,
     ROADS_BRONZE_SCHEMA,
     ROADS_SCHEMA,
@@ -145,7 +146,15 @@ def write_landing_csv(df: DataFrame, path: str, display_header: bool = True) ->
     out.write.mode("append").option("header", "true").csv(path)
 
 
-def start_bronze_streams(spark: SparkSession, cfg: LayerConfig, max_files_per_trigger: int | None = None):
+# A backlog is split into micro-batches of at most this many files, so one
+# failed batch never means redoing the whole backlog and the persisted batch
+# stays a bounded size.
+MAX_FILES_PER_TRIGGER = 1000
+
+
+def start_bronze_streams(
+    spark: SparkSession, cfg: LayerConfig, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER
+):
     """Landing folders -> validated bronze + quarantine (one query per feed)."""
     traffic_src = with_extract_time(
         stream_csv(spark, cfg.landing(traffic.TABLE), TRAFFIC_SCHEMA, glob="*.csv", max_files_per_trigger=max_files_per_trigger)
@@ -168,13 +177,27 @@ def start_bronze_streams(spark: SparkSession, cfg: LayerConfig, max_files_per_tr
     return [q1, q2]
 
 
-def start_silver_streams(spark: SparkSession, cfg: LayerConfig, dedup: bool = True):
-    """bronze tables -> silver tables (stateful dedup, then column steps)."""
+def start_silver_streams(
+    spark: SparkSession, cfg: LayerConfig, dedup: bool = True, dedup_horizon: str | None = None
+):
+    """bronze tables -> silver tables (stateful dedup, then column steps).
+
+    By default the dedup state keeps every distinct record (exact, growing).
+    With ``dedup_horizon`` (e.g. ``"7 days"``) traffic dedup keeps a record
+    only that long after its ingest time (``Extract_Time``), which bounds the
+    state.  Ingest time only grows, so no row is ever late and dropped; a
+    repeat that arrives after the horizon passes through as a duplicate.
+    """
     queries = []
     for module, name, src in ((traffic, SILVER_TRAFFIC, traffic.TABLE), (roads, SILVER_ROADS, roads.TABLE)):
         stream = stream_table(spark, cfg.table(src))
         if dedup:
-            stream = stream_dedup(stream)
+            bounded = dedup_horizon and EXTRACT_TIME in stream.columns
+            stream = stream_dedup(
+                stream,
+                watermark_column=EXTRACT_TIME if bounded else None,
+                watermark_delay=dedup_horizon or "1 hour",
+            )
         queries.append(
             start_table_stream(
                 module.silver_stream_step(stream),
@@ -200,13 +223,15 @@ def start_gold_streams(spark: SparkSession, cfg: LayerConfig):
     ]
 
 
-def run_streams(spark: SparkSession, cfg: LayerConfig, dedup: bool = True) -> None:
+def run_streams(
+    spark: SparkSession, cfg: LayerConfig, dedup: bool = True, dedup_horizon: str | None = None
+) -> None:
     """One available-now pass of every layer, each layer waited for in turn
     so a later layer never reads a half-written one."""
     setup_tables(spark, cfg)
     for q in start_bronze_streams(spark, cfg):
         run_available_now(q)
-    for q in start_silver_streams(spark, cfg, dedup=dedup):
+    for q in start_silver_streams(spark, cfg, dedup=dedup, dedup_horizon=dedup_horizon):
         run_available_now(q)
     for q in start_gold_streams(spark, cfg):
         run_available_now(q)

@@ -58,3 +58,17 @@ def test_stream_dedup_within_watermark(spark):
     run(second)
     got = sorted((r.k, r.v) for r in spark.read.parquet(out).collect())
     assert got == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_stream_chain_with_bounded_dedup(spark):
+    import os
+
+    cfg = LayerConfig.scratch(spark, "horizon")
+    feed = traffic_dup(spark, SF_SMALL)
+    medallion.write_landing_csv(feed, cfg.landing("raw_traffic"))
+    medallion.write_landing_csv(roads_like(spark, SF_SMALL), cfg.landing("raw_roads"))
+    medallion.run_streams(spark, cfg, dedup_horizon="7 days")
+    good, _ = split(annotate(with_extract_time(feed), traffic.SUITE))
+    silver = spark.read.parquet(cfg.silver(medallion.SILVER_TRAFFIC))
+    assert silver.count() == dedup_full_row(good).count()
+    assert os.path.isdir(cfg.checkpoint("silver_traffic_load"))
