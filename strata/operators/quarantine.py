@@ -150,7 +150,9 @@ def recover_quarantine(
     return spark.read.parquet(keys_path)
 
 
-def purge_quarantine(spark: SparkSession, quarantine_path: str, recovered_keys: DataFrame) -> None:
+def purge_quarantine(
+    spark: SparkSession, quarantine_path: str, recovered_keys: DataFrame, quarantine_table: str | None = None
+) -> None:
     """Remove re-inserted rows from the quarantine (parquet has no DELETE).
 
     Only the (table_name, gx_batch_id) partitions that hold recovered rows
@@ -173,12 +175,27 @@ def purge_quarantine(spark: SparkSession, quarantine_path: str, recovered_keys:
     )
     # The emptied partition list is bounded by the number of batches, not rows.
     for row in emptied.collect():
-        _delete_partition(spark, quarantine_path, {"table_name": row[0], "gx_batch_id": row[1]})
+        spec = {"table_name": row[0], "gx_batch_id": row[1]}
+        if quarantine_table:
+            _clear_partition_sql(spark, quarantine_table, spec)
+        else:
+            _delete_partition(spark, quarantine_path, spec)
     write_quarantine(kept.select(*quarantine.columns), quarantine_path)
 
 
+def _clear_partition_sql(spark: SparkSession, table: str, spec: dict[str, str]) -> None:
+    """Empty one partition of a catalog table: a static-partition overwrite
+    with no rows removes the partition's files."""
+    part = ", ".join(f"{k} = '{v.replace(chr(39), chr(39) * 2)}'" for k, v in spec.items())
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({part}) "
+        "SELECT CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS TIMESTAMP) WHERE false"
+    )
+
+
 def _delete_partition(spark: SparkSession, table_path: str, spec: dict[str, str]) -> None:
-    """Delete one partition directory through the Hadoop FileSystem API."""
+    """Delete one partition directory through the Hadoop FileSystem API
+    (path-only tables; catalog tables use ``_clear_partition_sql``)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     # Batch ids and table names are plain identifiers, so no path escaping.

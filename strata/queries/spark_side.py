@@ -347,7 +347,7 @@ def recover_quarantine_q(spark, sf_dir):
 def purge_quarantine_q(spark, sf_dir):
     """After recovery, re-inserted rows leave the quarantine."""
     cfg, keys = _recover(spark, sf_dir)
-    purge_quarantine(spark, cfg.quarantine(), keys)
+    purge_quarantine(spark, cfg.quarantine(), keys, quarantine_table=cfg.table(cfg.quarantine_table))
     return _quarantine_view(read_layer(spark, cfg.quarantine())).drop("has_ingestion_time")
 
 

@@ -134,3 +134,23 @@ def test_corrupt_record_capture(spark, cfg):
     # without the column, malformed cells just become NULL
     plain = {r.Road_ID: r for r in read_csv(spark, folder, ROADS_SCHEMA, glob="*.csv").collect()}
     assert plain[2].Road_Category_Id is None and plain[3].Total_Link_Length_Km is None
+
+
+def test_purge_through_catalog_table(spark, cfg):
+    from strata.plans import medallion
+
+    medallion.setup_tables(spark, cfg)
+    table = cfg.table(cfg.quarantine_table)
+    df = spark.createDataFrame([(None, "x"), (None, "y")], "Record_ID int, v string")
+    suite = Suite("t", (NotNull("Record_ID"),))
+    _write(df, cfg, batch=0, suite=suite)
+    _write(df.limit(1), cfg, batch=1, suite=suite)
+    medallion.refresh_partitions(spark, table)
+    q = spark.table(table)
+    assert q.count() == 3
+    # purge everything of batch 0 and nothing of batch 1
+    keys_path = cfg.root + "/keys"
+    q.filter(F.col("gx_batch_id") == "0").select("table_name", "gx_batch_id", "raw_data").write.parquet(keys_path)
+    purge_quarantine(spark, cfg.quarantine(), spark.read.parquet(keys_path), quarantine_table=table)
+    left = read_layer(spark, cfg.quarantine())
+    assert [(r.gx_batch_id, r.raw_data) for r in left.collect()] == [("1", '{"v":"x"}')]
