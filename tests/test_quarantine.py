@@ -154,3 +154,25 @@ def test_purge_through_catalog_table(spark, cfg):
     purge_quarantine(spark, cfg.quarantine(), spark.read.parquet(keys_path), quarantine_table=table)
     left = read_layer(spark, cfg.quarantine())
     assert [(r.gx_batch_id, r.raw_data) for r in left.collect()] == [("1", '{"v":"x"}')]
+
+
+def test_crash_between_writes_then_retry(spark, cfg, bronze, monkeypatch):
+    import strata.operators.quarantine as qmod
+
+    real = qmod.write_batch
+    calls = {"n": 0}
+
+    def failing_once(*args, **kwargs):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("executor lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(qmod, "write_batch", failing_once)
+    with pytest.raises(RuntimeError):
+        _write(bronze, cfg)  # quarantine written, good rows not
+    assert read_layer(spark, cfg.quarantine()).count() > 0
+    assert not os.path.exists(cfg.bronze("t"))
+    _write(bronze, cfg)  # the retry of the same batch
+    good, bad = read_layer(spark, cfg.bronze("t")).count(), read_layer(spark, cfg.quarantine()).count()
+    assert good + bad == bronze.count()
