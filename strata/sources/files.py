@@ -74,7 +74,9 @@ def header_report(spark: SparkSession, path: str, schema: StructType, glob: str
 
     One text scan of the folder (no CSV parsing): a line counts as a header
     when its normalised form equals the schema's normalised names.  Output:
-    ``file_path, n_lines, n_header_lines, header_ok, n_rows``.
+    ``file_path, n_lines, n_header_lines, header_ok, n_rows``; ``n_rows`` is
+    what a ``header=true`` read loads from the file (its first line is
+    skipped whether or not it is a header).
     """
     expected = normalise_header(schema.fieldNames())
     reader = spark.read.option("recursiveFileLookup", "true")

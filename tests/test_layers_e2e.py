@@ -146,3 +146,23 @@ def test_restart_reads_only_new_files(spark, layers):
     assert read_layer(spark, cfg.bronze("raw_traffic")).count() == before + 2
     silver = spark.read.parquet(cfg.silver(medallion.SILVER_TRAFFIC))
     assert sorted(r.Count_point_id for r in silver.collect()) == [1, 9, 11, 12, 13, 15, 16, 17, 18]
+
+
+def test_header_report(spark):
+    from strata.config import fresh_dir
+    from strata.schemas import ROADS_SCHEMA
+    from strata.sources.files import header_report
+
+    root = fresh_dir(spark, "headers")
+    os.makedirs(root)
+    good = (FIXTURES / "raw_roads" / "raw_roads1.csv").read_text()
+    with open(os.path.join(root, "raw_roads_ok.csv"), "w") as fh:
+        fh.write(good)
+    with open(os.path.join(root, "raw_roads_renamed.csv"), "w") as fh:
+        fh.write(good.replace("Road ID", "Road Number", 1))
+    with open(os.path.join(root, "raw_roads_none.csv"), "w") as fh:
+        fh.write(good.split("\n", 1)[1])
+    rep = {os.path.basename(r.file_path): r for r in header_report(spark, root, ROADS_SCHEMA, glob="*.csv").collect()}
+    assert rep["raw_roads_ok.csv"].header_ok and rep["raw_roads_ok.csv"].n_rows == 76
+    assert not rep["raw_roads_renamed.csv"].header_ok
+    assert not rep["raw_roads_none.csv"].header_ok
