@@ -32,6 +32,7 @@ from strata.operators.quality import (
     quarantine_whole_batch,
     split,
 )
+from strata.operators.joins import anti_join
 from strata.operators.rules import Suite
 from strata.sinks.tables import read_layer, write_batch, write_quarantine
 
@@ -163,8 +164,7 @@ def purge_quarantine(
     quarantine = read_layer(spark, quarantine_path)
     parts = recovered_keys.select("table_name", "gx_batch_id").distinct()
     touched = quarantine.join(parts, on=["table_name", "gx_batch_id"], how="left_semi")
-    cond = [touched[k].eqNullSafe(recovered_keys[k]) for k in QUARANTINE_KEY]
-    remaining = touched.join(recovered_keys, on=cond, how="left_anti")
+    remaining = anti_join(touched, recovered_keys, QUARANTINE_KEY)
     staging = fresh_dir(spark, "quarantine-staging")
     remaining.write.partitionBy("table_name", "gx_batch_id").parquet(staging)
 
