@@ -7,6 +7,7 @@ and the database, and every path is derived from it.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -59,7 +60,9 @@ class LayerConfig:
     def scratch(cls, spark: SparkSession, label: str = "run", environment: str = "dev") -> "LayerConfig":
         """A configuration in a fresh folder under the shared root."""
         run = fresh_dir(spark, label)
-        return cls(root=run, environment=environment, database=f"{label}_{run.rsplit('-', 1)[-1]}")
+        # Catalog identifiers: letters, digits and underscores only.
+        database = re.sub(r"[^0-9A-Za-z_]", "_", f"{label}_{run.rsplit('-', 1)[-1]}")
+        return cls(root=run, environment=environment, database=database)
 
     @property
     def catalog_db(self) -> str:
