@@ -114,6 +114,10 @@ def test_roads_golden_counts(spark, layers):
     assert cats == {"TM": 86, "PM": 38, "TA": 86, "PA": 85, "M": 85}
     assert silver.select("Region_ID", "Road_Category_Id").distinct().count() == 49
     assert spark.read.parquet(cfg.gold(medallion.GOLD_ROADS)).count() == 380
+    # as coded in the source pipeline (its duplicate check has no effect): 453
+    from strata.plans import roads
+
+    assert roads.silver(read_layer(spark, cfg.bronze("raw_roads")), dedup=False).count() == 453
 
 
 def test_traffic_edge_cases(spark, layers):
