@@ -37,9 +37,15 @@ def write_batch(
 
 def write_quarantine(df: DataFrame, path: str) -> None:
     """Quarantine rows, partitioned by (table_name, gx_batch_id); a retried
-    batch replaces its own partition only."""
+    batch replaces its own partition only.
+
+    Bad rows are a small share of a batch but come from every task; the
+    ``rebalance`` hint shuffles just those rows so AQE writes a few files of
+    a sensible size instead of one tiny file per input task.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("table_name", "gx_batch_id")
         .parquet(path)
