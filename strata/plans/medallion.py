@@ -69,6 +69,36 @@ def setup_tables(spark: SparkSession, cfg: LayerConfig) -> None:
         partitioned_by=["table_name", "gx_batch_id"],
         comment="Rows that failed data-quality validation",
     )
+    register_layer_tables(spark, cfg)
+
+
+def register_layer_tables(spark: SparkSession, cfg: LayerConfig) -> None:
+    """Register silver and gold tables whose folders already exist.
+
+    Stream sinks create these tables on their first run.  A later job in a
+    new session without a persistent metastore finds the folders but no
+    tables, so they are registered by location (schema read from the files,
+    committed files only, through the sink's metadata log).
+    """
+    for name, path in (
+        (SILVER_TRAFFIC, cfg.silver(SILVER_TRAFFIC)),
+        (SILVER_ROADS, cfg.silver(SILVER_ROADS)),
+        (GOLD_TRAFFIC, cfg.gold(GOLD_TRAFFIC)),
+        (GOLD_ROADS, cfg.gold(GOLD_ROADS)),
+    ):
+        if layer_exists(spark, path):
+            spark.sql(f"CREATE TABLE IF NOT EXISTS `{cfg.database}`.`{name}` USING parquet LOCATION '{path}'")
+
+
+def monitor_tables(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
+    """Row counts of every layer table (one SQL statement, one job)."""
+    from strata.operators.monitor import sql_layer_counts
+
+    for t in (traffic.TABLE, roads.TABLE, cfg.quarantine_table):
+        refresh_partitions(spark, cfg.table(t))
+    names = [traffic.TABLE, roads.TABLE, SILVER_TRAFFIC, SILVER_ROADS, GOLD_TRAFFIC, GOLD_ROADS, cfg.quarantine_table]
+    present = {r.tableName for r in spark.sql(f"SHOW TABLES IN `{cfg.database}`").collect()}
+    return sql_layer_counts(spark, {n: cfg.table(n) for n in names if n.lower() in present})
 
 
 def refresh_partitions(spark: SparkSession, table: str) -> None:
