@@ -17,6 +17,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from strata.config import LayerConfig, shared_dir
+from strata.operators.monitor import batch_quality
 from strata.operators.quarantine import purge_quarantine, recover_quarantine
 from strata.plans import medallion, roads, traffic
 from strata.schemas import ROADS_BRONZE_SCHEMA, TRAFFIC_BRONZE_SCHEMA
@@ -76,6 +77,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         medallion.run_streams(spark, cfg, dedup_horizon=args.dedup_horizon)
     elif args.command == "monitor":
         medallion.monitor_tables(spark, cfg).show(truncate=False)
+        targets = {t: spark.table(cfg.table(t)) for t in _FEEDS}
+        batch_quality(targets, spark.table(cfg.table(cfg.quarantine_table))).orderBy(
+            "table_name", "batch_id"
+        ).show(truncate=False)
     elif args.command == "recover":
         suite, schema = _FEEDS[args.table]
         qtable = cfg.table(cfg.quarantine_table)

@@ -65,3 +65,41 @@ def quality_rate(summary: DataFrame) -> DataFrame:
             "pass_rate"
         ),
     )
+
+
+def batch_quality(targets: Mapping[str, DataFrame], quarantine: DataFrame, batch_column: str = "_batch_id") -> DataFrame:
+    """Pass rate per (table, batch) from the written layers.
+
+    ``targets`` maps a table name to its bronze table (partitioned by batch);
+    good rows are counted per batch partition, quarantined rows per
+    (table_name, gx_batch_id) partition -- both counts come from parquet
+    metadata, no row is decoded.  Output: ``table_name, batch_id, n_input,
+    n_good, n_quarantined, pass_rate``.
+    """
+    good = reduce(
+        DataFrame.unionByName,
+        [
+            df.groupBy(F.col(batch_column).cast("string").alias("batch_id"))
+            .agg(F.count(F.lit(1)).alias("n_good"))
+            .withColumn("table_name", F.lit(name))
+            for name, df in targets.items()
+        ],
+    )
+    bad = quarantine.groupBy("table_name", F.col("gx_batch_id").cast("string").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("n_quarantined")
+    )
+    both = good.join(bad, ["table_name", "batch_id"], "full_outer").select(
+        "table_name",
+        "batch_id",
+        F.coalesce("n_good", F.lit(0)).alias("n_good"),
+        F.coalesce("n_quarantined", F.lit(0)).alias("n_quarantined"),
+    )
+    n_input = F.col("n_good") + F.col("n_quarantined")
+    return both.select(
+        "table_name",
+        "batch_id",
+        n_input.alias("n_input"),
+        "n_good",
+        "n_quarantined",
+        F.round(F.try_divide(F.col("n_good").cast("double"), n_input.cast("double")), 6).alias("pass_rate"),
+    )

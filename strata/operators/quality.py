@@ -143,6 +143,12 @@ def summarize_split(annotated: DataFrame, table_name: str, column: str = VIOLATI
 
 
 def quarantine_by_rule(quarantine: DataFrame) -> DataFrame:
-    """Failures per (table, rule) from the quarantine table's rule text."""
-    rules = quarantine.select("table_name", F.explode(F.split("violated_rules", "; ")).alias("rule"))
-    return rules.groupBy("table_name", "rule").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Failures per (table, batch, rule) from the quarantine's rule text.
+
+    A row that broke two rules counts once for each.  Grouping keys are few
+    (tables x batches x rules) and the aggregate is partial per task.
+    """
+    rules = quarantine.select(
+        "table_name", "gx_batch_id", F.explode(F.split("violated_rules", "; ")).alias("rule")
+    )
+    return rules.groupBy("table_name", "gx_batch_id", "rule").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -267,7 +267,10 @@ UNION ALL SELECT 'raw_roads', '0', vr, Road_ID, true FROM rc WHERE bad"""
 def _quarantine_by_rule_sql() -> str:
     t = " UNION ALL ".join(f"SELECT 'raw_traffic' AS table_name, '{lab}' AS rule FROM tc WHERE {f}" for f, lab in TRAFFIC_FLAGS)
     r = " UNION ALL ".join(f"SELECT 'raw_roads', '{lab}' FROM rc WHERE {f}" for f, lab in ROADS_FLAGS)
-    return _TRC + f"SELECT table_name, rule, count(*) AS n_rows FROM ({t} UNION ALL {r}) GROUP BY table_name, rule"
+    return _TRC + (
+        f"SELECT table_name, '0' AS gx_batch_id, rule, count(*) AS n_rows FROM ({t} UNION ALL {r}) "
+        "GROUP BY table_name, rule"
+    )
 
 
 def _recovered_sql() -> str:
@@ -418,6 +421,12 @@ FROM ts t LEFT JOIN ra ON t.Region_id = ra.Region_ID AND t.Road_Category_ID = ra
     )
     + """SELECT table_name, n_input, n_quarantined,
   round(CAST(n_good AS DOUBLE) / CAST(n_input AS DOUBLE), 6) AS pass_rate FROM s""",
+    "monitor_batch_quality": _TRC
+    + """SELECT table_name, '0' AS batch_id, n_input, n_good, n_quarantined,
+  round(CAST(n_good AS DOUBLE) / CAST(n_input AS DOUBLE), 6) AS pass_rate
+FROM (SELECT 'raw_traffic' AS table_name, count(*) AS n_input, count(*) FILTER (WHERE NOT bad) AS n_good,
+        count(*) FILTER (WHERE bad) AS n_quarantined FROM tc
+      UNION ALL SELECT 'raw_roads', count(*), count(*) FILTER (WHERE NOT bad), count(*) FILTER (WHERE bad) FROM rc)""",
     "stream_file_ingest": _with(TRAFFIC_LIKE) + f"SELECT {TP}, true AS has_extract_time FROM traffic_like",
     "stream_incremental": _with(TRAFFIC_LIKE)
     + """SELECT 1 AS run, count(*) AS n_new_rows FROM traffic_like WHERE Region_id < 3

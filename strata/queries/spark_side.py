@@ -77,8 +77,9 @@ def _quarantine_view(q: DataFrame) -> DataFrame:
     )
 
 
-def _quarantine_both(spark, sf_dir) -> str:
-    """Validate both feeds as batch 0 into one quarantine; return its path."""
+def _validate_both(spark, sf_dir) -> LayerConfig:
+    """Validate both feeds as batch 0 into their bronze tables and one
+    quarantine; return the configuration holding them."""
     cfg = LayerConfig.scratch(spark, "quarantine")
     validate_and_write(
         _bronze_traffic(spark, sf_dir), 0, suite=traffic.SUITE, target_path=cfg.bronze(traffic.TABLE),
@@ -88,7 +89,11 @@ def _quarantine_both(spark, sf_dir) -> str:
         roads_like(spark, sf_dir), 0, suite=roads.SUITE, target_path=cfg.bronze(roads.TABLE),
         quarantine_path=cfg.quarantine(),
     )
-    return cfg.quarantine()
+    return cfg
+
+
+def _quarantine_both(spark, sf_dir) -> str:
+    return _validate_both(spark, sf_dir).quarantine()
 
 
 # ------------------------------------------------------------ sources (S)
@@ -249,10 +254,18 @@ def quarantine_summary(spark, sf_dir):
 
 
 def quarantine_by_rule(spark, sf_dir):
-    """Quarantined rows per (table, rule)."""
+    """Quarantined rows per (table, batch, rule)."""
     return quality.quarantine_by_rule(read_layer(spark, _quarantine_both(spark, sf_dir)))
 
 
+def monitor_batch_quality(spark, sf_dir):
+    """Input, good, quarantined rows and pass rate per (table, batch),
+    counted from the written bronze and quarantine tables."""
+    cfg = _validate_both(spark, sf_dir)
+    targets = {t: read_layer(spark, cfg.bronze(t)) for t in (traffic.TABLE, roads.TABLE)}
+    return monitor.batch_quality(targets, read_layer(spark, cfg.quarantine()))
+
+
 def validate_fail_open(spark, sf_dir):
     """The validator fails (rule on a missing column); with
     ``on_error='pass_through'`` the whole batch lands unvalidated."""
@@ -668,6 +681,7 @@ QUERIES = {
     "monitor_layer_counts": monitor_layer_counts,
     "monitor_reconcile": monitor_reconcile,
     "monitor_quality_rate": monitor_quality_rate,
+    "monitor_batch_quality": monitor_batch_quality,
     "stream_file_ingest": stream_file_ingest,
     "stream_incremental": stream_incremental,
     "stream_dedup": stream_dedup_q,
