@@ -73,6 +73,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.command == "gold":
         for q in medallion.start_gold_streams(spark, cfg):
             run_available_now(q)
+        medallion.refresh_gold_reports(spark, cfg)
     elif args.command == "all":
         medallion.run_streams(spark, cfg, dedup_horizon=args.dedup_horizon)
     elif args.command == "monitor":

@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.config import LayerConfig
 from strata.operators.quarantine import validate_and_write
+from strata.plans import gold as gold_plan
 from strata.plans import roads, traffic
 from strata.schemas import (
     BATCH_COLUMN,
@@ -36,6 +37,8 @@ SILVER_TRAFFIC = "silver_traffic"
 SILVER_ROADS = "silver_roads"
 GOLD_TRAFFIC = "gold_traffic"
 GOLD_ROADS = "gold_roads"
+GOLD_TRAFFIC_ROADS = "gold_traffic_roads"
+GOLD_REGION_SUMMARY = "gold_region_summary"
 
 
 def _with_batch(schema: StructType) -> StructType:
@@ -85,6 +88,8 @@ def register_layer_tables(spark: SparkSession, cfg: LayerConfig) -> None:
         (SILVER_ROADS, cfg.silver(SILVER_ROADS)),
         (GOLD_TRAFFIC, cfg.gold(GOLD_TRAFFIC)),
         (GOLD_ROADS, cfg.gold(GOLD_ROADS)),
+        (GOLD_TRAFFIC_ROADS, cfg.gold(GOLD_TRAFFIC_ROADS)),
+        (GOLD_REGION_SUMMARY, cfg.gold(GOLD_REGION_SUMMARY)),
     ):
         if layer_exists(spark, path):
             spark.sql(f"CREATE TABLE IF NOT EXISTS `{cfg.database}`.`{name}` USING parquet LOCATION '{path}'")
@@ -96,7 +101,17 @@ def monitor_tables(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
 
     for t in (traffic.TABLE, roads.TABLE, cfg.quarantine_table):
         refresh_partitions(spark, cfg.table(t))
-    names = [traffic.TABLE, roads.TABLE, SILVER_TRAFFIC, SILVER_ROADS, GOLD_TRAFFIC, GOLD_ROADS, cfg.quarantine_table]
+    names = [
+        traffic.TABLE,
+        roads.TABLE,
+        SILVER_TRAFFIC,
+        SILVER_ROADS,
+        GOLD_TRAFFIC,
+        GOLD_ROADS,
+        GOLD_TRAFFIC_ROADS,
+        GOLD_REGION_SUMMARY,
+        cfg.quarantine_table,
+    ]
     present = {r.tableName for r in spark.sql(f"SHOW TABLES IN `{cfg.database}`").collect()}
     return sql_layer_counts(spark, {n: cfg.table(n) for n in names if n.lower() in present})
 
@@ -165,6 +180,13 @@ def run_batch(
             # next layer starts at a file scan, not at the previous lineage.
             src = read_layer(spark, source, merge_schema=evolving)
             step(src).drop(BATCH_COLUMN).write.mode("overwrite").parquet(target)
+    if layer_exists(spark, cfg.gold(GOLD_TRAFFIC)) and layer_exists(spark, cfg.silver(SILVER_ROADS)):
+        joined = gold_plan.traffic_roads_join(
+            read_layer(spark, cfg.gold(GOLD_TRAFFIC), merge_schema=False),
+            read_layer(spark, cfg.silver(SILVER_ROADS), merge_schema=False),
+        )
+        joined.write.mode("overwrite").parquet(cfg.gold(GOLD_TRAFFIC_ROADS))
+    refresh_gold_reports(spark, cfg)
     return BatchRun(cfg, batch_id)
 
 
@@ -243,18 +265,56 @@ def start_silver_streams(
     return queries
 
 
-def start_gold_streams(spark: SparkSession, cfg: LayerConfig):
-    """silver tables -> gold tables."""
-    gold_traffic = traffic.gold(stream_table(spark, cfg.table(SILVER_TRAFFIC), fmt="parquet"))
-    gold_roads = roads.gold(stream_table(spark, cfg.table(SILVER_ROADS), fmt="parquet"))
-    return [
+def start_gold_streams(spark: SparkSession, cfg: LayerConfig, join_roads: bool = True):
+    """silver tables -> gold tables.
+
+    Besides gold traffic and gold roads, the traffic stream is joined with
+    the roads statistics of its (region, category) into ``gold_traffic_roads``:
+    a stream-static join whose static side (silver roads aggregated per key)
+    is re-read for every micro-batch and broadcast when its key count is
+    bounded.
+    """
+    traffic_stream = traffic.gold(stream_table(spark, cfg.table(SILVER_TRAFFIC), fmt="parquet"))
+    roads_stream = roads.gold(stream_table(spark, cfg.table(SILVER_ROADS), fmt="parquet"))
+    queries = [
         start_table_stream(
-            gold_traffic, table=cfg.table(GOLD_TRAFFIC), path=cfg.gold(GOLD_TRAFFIC), checkpoint=cfg.checkpoint("gold_traffic_load")
+            traffic_stream,
+            table=cfg.table(GOLD_TRAFFIC),
+            path=cfg.gold(GOLD_TRAFFIC),
+            checkpoint=cfg.checkpoint("gold_traffic_load"),
         ),
         start_table_stream(
-            gold_roads, table=cfg.table(GOLD_ROADS), path=cfg.gold(GOLD_ROADS), checkpoint=cfg.checkpoint("gold_roads_load")
+            roads_stream, table=cfg.table(GOLD_ROADS), path=cfg.gold(GOLD_ROADS), checkpoint=cfg.checkpoint("gold_roads_load")
         ),
     ]
+    if join_roads:
+        spark.catalog.refreshTable(cfg.table(SILVER_ROADS))
+        joined = gold_plan.traffic_roads_join(traffic_stream, spark.table(cfg.table(SILVER_ROADS)))
+        queries.append(
+            start_table_stream(
+                joined,
+                table=cfg.table(GOLD_TRAFFIC_ROADS),
+                path=cfg.gold(GOLD_TRAFFIC_ROADS),
+                checkpoint=cfg.checkpoint("gold_traffic_roads_load"),
+            )
+        )
+    return queries
+
+
+def refresh_gold_reports(spark: SparkSession, cfg: LayerConfig) -> None:
+    """Rebuild the regional summary from gold traffic (a batch overwrite:
+    an aggregate over the whole table, like a materialized view)."""
+    source = cfg.gold(GOLD_TRAFFIC)
+    if layer_exists(spark, source):
+        summary = gold_plan.region_summary(read_layer(spark, source, merge_schema=False))
+        summary.write.mode("overwrite").parquet(cfg.gold(GOLD_REGION_SUMMARY))
+        if not spark.catalog.databaseExists(cfg.database):
+            return  # path-only (batch) runs keep no catalog
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS `{cfg.database}`.`{GOLD_REGION_SUMMARY}` USING parquet "
+            f"LOCATION '{cfg.gold(GOLD_REGION_SUMMARY)}'"
+        )
+        spark.catalog.refreshTable(cfg.table(GOLD_REGION_SUMMARY))
 
 
 def run_streams(
@@ -269,3 +329,4 @@ def run_streams(
         run_available_now(q)
     for q in start_gold_streams(spark, cfg):
         run_available_now(q)
+    refresh_gold_reports(spark, cfg)

@@ -39,6 +39,8 @@ def test_jobs_end_to_end(spark, capsys):
         "silver_roads": 380,
         "gold_traffic": 8,
         "gold_roads": 380,
+        "gold_traffic_roads": 8,
+        "gold_region_summary": 3,  # (1, 3), (1, 0) and (0, 0): NULL cells became 0
         "data_quality_quarantine": 12,
     }
     assert jobs.main([*base, "monitor"], spark=spark) == 0

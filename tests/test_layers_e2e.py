@@ -138,6 +138,19 @@ def test_traffic_edge_cases(spark, layers):
     assert gold[1].Vehicle_Indensity == pytest.approx(62 / 2.5)
     assert len(gold[17].Road_name) == 300
     assert all(r.Loading_Time is not None and r.Transformed_Time is not None for r in gold.values())
+    # One joined row per traffic row; roads of (region 1, category 3) from the fixture files
+    joined = spark.read.parquet(cfg.gold(medallion.GOLD_TRAFFIC_ROADS))
+    assert joined.count() == len(gold)
+    roads_key = spark.read.parquet(cfg.silver(medallion.SILVER_ROADS)).filter(
+        (F.col("Region_ID") == 1) & (F.col("Road_Category_Id") == 3)
+    )
+    n_key = roads_key.count()
+    assert {r.n_roads for r in joined.filter(F.col("Road_Category_ID") == 3).collect()} == {n_key}
+    # One summary row per (region, category) present in gold traffic
+    summary = spark.read.parquet(cfg.gold(medallion.GOLD_REGION_SUMMARY))
+    keys = {(r.Region_id, r.Road_Category_ID) for r in gold.values()}
+    assert {(r.Region_id, r.Road_Category_ID) for r in summary.collect()} == keys
+    assert sum(r.n_records for r in summary.collect()) == len(gold)
 
 
 def test_restart_reads_only_new_files(spark, layers):
