@@ -37,9 +37,15 @@ def get_session(
 ) -> SparkSession:
     """Return (or create) the active session with sane defaults."""
     builder = SparkSession.builder.appName(app_name)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or os.environ.get("STRATA_MASTER", "local[*]"))
     conf = dict(_DEFAULTS)
+    if master or not os.environ.get("SPARK_MASTER"):
+        master = master or os.environ.get("STRATA_MASTER", "local[*]")
+        builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs every task in the driver JVM, whose default heap
+            # (1 GiB) is far too small for 8 task threads and cached batches.
+            # On a cluster spark-submit sets driver and executor memory.
+            conf["spark.driver.memory"] = os.environ.get("STRATA_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
