@@ -3,7 +3,9 @@
 ``run_batch`` loads two landing DataFrames as one batch through bronze
 (validated, quarantined), silver and gold, writing every layer under a
 ``LayerConfig``.  ``run_streams`` does the same from CSV landing folders with
-available-now streams: file -> bronze (foreachBatch) -> silver -> gold.
+available-now streams: file -> bronze (foreachBatch) -> silver -> gold.  Both
+also write the two gold reports: traffic joined with per-key road statistics
+and the regional summary.
 """
 
 from __future__ import annotations
