@@ -105,6 +105,22 @@ class MatchesStrftime(RowRule):
         c = F.col(self.column)
         return c.isNotNull() & ~F.coalesce(matches_strftime(c, self.strftime_format), F.lit(False))
 
+    def sql_failed(self) -> str:
+        regex, groups = compile_strftime(self.strftime_format)
+        c = f"`{self.column}`"
+        rx = _sql_string(regex)
+        ok = f"{c} RLIKE {rx}"
+        if {"Y", "m", "d"} <= groups.keys():
+            ref = _sql_string(f"${groups['Y']}-${groups['m']}-${groups['d']}")
+            ymd = f"regexp_replace(regexp_replace({c}, {rx}, {ref}), ' ', '')"
+            ok = f"({ok} AND try_to_date({ymd}, 'yyyy-M-d') IS NOT NULL)"
+        return f"({c} IS NOT NULL AND NOT COALESCE({ok}, false))"
+
+
+def _sql_string(text: str) -> str:
+    """A Spark SQL string literal (backslashes and quotes escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
 @dataclass(frozen=True)
 class ColumnSet:
@@ -150,9 +166,56 @@ class Suite:
         cols = list(columns)
         return [r.label for r in self.table_rules if not r.check(cols)["success"]]
 
+    def sql_violations(self) -> str:
+        """``violations()`` as Spark SQL text, for ``spark.sql`` / ``selectExpr``."""
+        checks = [f"CASE WHEN {r.sql_failed()} THEN {_sql_string(r.label)} END" for r in self.row_rules]
+        if not checks:
+            return "CAST(array() AS array<string>)"
+        return f"array_compact(array({', '.join(checks)}))"
+
     def violations(self) -> Column:
         """``array<string>`` of the labels of the row rules a row breaks."""
         checks = [F.when(r.failed(), F.lit(r.label)) for r in self.row_rules]
         if not checks:
             return F.array().cast("array<string>")
         return F.array_compact(F.array(*checks))
+
+
+_BUILDERS = {
+    NOT_NULL: lambda kw: NotNull(kw["column"]),
+    BETWEEN: lambda kw: Between(kw["column"], kw.get("min_value"), kw.get("max_value")),
+    STRFTIME: lambda kw: MatchesStrftime(kw["column"], kw["strftime_format"]),
+    COLUMN_SET: lambda kw: ColumnSet(tuple(kw["column_set"]), kw.get("exact_match", True)),
+}
+
+
+def suite_from_spec(table: str, expectations: list[dict]) -> Suite:
+    """Build a suite from expectation definitions in the common serialized
+    form ``{"type": <rule type>, "kwargs": {...}}`` (e.g. loaded from JSON).
+
+    Unknown rule types raise when the suite is built, never mid-stream.
+    """
+    rules = []
+    for exp in expectations:
+        kind = exp.get("type") or exp.get("expectation_type")
+        if kind not in _BUILDERS:
+            raise ValueError(f"unsupported rule type {kind!r}; supported: {sorted(_BUILDERS)}")
+        rules.append(_BUILDERS[kind](exp.get("kwargs", {})))
+    return Suite(table, tuple(rules))
+
+
+def suite_to_spec(suite: Suite) -> list[dict]:
+    """The inverse of ``suite_from_spec``."""
+    out = []
+    for r in suite.rules:
+        if isinstance(r, NotNull):
+            kw = {"column": r.column}
+        elif isinstance(r, Between):
+            kw = {"column": r.column, "min_value": r.min_value, "max_value": r.max_value}
+            kw = {k: v for k, v in kw.items() if v is not None}
+        elif isinstance(r, MatchesStrftime):
+            kw = {"column": r.column, "strftime_format": r.strftime_format}
+        else:
+            kw = {"column_set": list(r.columns), "exact_match": r.exact_match}
+        out.append({"type": r.rule_type, "kwargs": kw})
+    return out

@@ -123,3 +123,35 @@ def test_roads_suite_shape():
         "[Total_Link_Length_Km] expect_column_values_to_be_between",
         "[Road_Category_Id] expect_column_values_to_be_between",
     ]
+
+
+def test_suite_spec_roundtrip(spark):
+    import json
+
+    import pytest
+
+    from strata.operators.rules import suite_from_spec, suite_to_spec
+
+    spec = json.loads(json.dumps(suite_to_spec(traffic.SUITE)))
+    rebuilt = suite_from_spec("raw_traffic", spec)
+    assert rebuilt == traffic.SUITE
+    assert spec[2] == {
+        "type": "expect_column_values_to_match_strftime_format",
+        "kwargs": {"column": "Count_date", "strftime_format": "%m/%d/%Y %H:%M"},
+    }
+    assert suite_from_spec("raw_roads", suite_to_spec(roads.SUITE)) == roads.SUITE
+    with pytest.raises(ValueError):
+        suite_from_spec("t", [{"type": "expect_column_values_to_be_unique", "kwargs": {"column": "a"}}])
+
+
+def test_sql_forms_match_column_forms(spark):
+    from .test_strftime import ACCEPTED, REJECTED
+
+    dates = ACCEPTED + REJECTED + [None]
+    rows = [(i, None if i % 5 == 0 else i, d, i % 27 - 1, i % 8 - 1) for i, d in enumerate(dates)]
+    df = spark.createDataFrame(rows, "i int, Record_ID int, Count_date string, hour int, Road_Category_ID int")
+    df.createOrReplaceTempView("sql_form_rows")
+    by_col = {r.i: r.v for r in quality.annotate(df, traffic.SUITE).select("i", F.col(quality.VIOLATIONS).alias("v")).collect()}
+    by_sql = {r.i: r.v for r in spark.sql(f"SELECT i, {traffic.SUITE.sql_violations()} AS v FROM sql_form_rows").collect()}
+    assert by_col == by_sql
+    assert any(by_col.values()) and not all(by_col.values())
