@@ -210,7 +210,11 @@ def _layer_counts_cte() -> str:
   UNION ALL SELECT 'silver_traffic', count(*) FROM (SELECT DISTINCT {TP} FROM tc WHERE NOT bad)
   UNION ALL SELECT 'silver_roads', count(*) FROM (SELECT DISTINCT {RP} FROM rc WHERE NOT bad)
   UNION ALL SELECT 'gold_traffic', count(*) FROM (SELECT DISTINCT {TP} FROM tc WHERE NOT bad)
-  UNION ALL SELECT 'gold_roads', count(*) FROM (SELECT DISTINCT {RP} FROM rc WHERE NOT bad))""",
+  UNION ALL SELECT 'gold_roads', count(*) FROM (SELECT DISTINCT {RP} FROM rc WHERE NOT bad)
+  UNION ALL SELECT 'gold_traffic_roads', count(*) FROM (SELECT DISTINCT {TP} FROM tc WHERE NOT bad)
+  UNION ALL SELECT 'gold_region_summary', count(*) FROM (
+    SELECT DISTINCT COALESCE(Region_id, 0), COALESCE(Road_Category_ID, 0)
+    FROM (SELECT DISTINCT {TP} FROM tc WHERE NOT bad)))""",
     )
 
 
@@ -226,6 +230,7 @@ def _reconcile_sql() -> str:
         ("roads_silver_distinct", _count("silver_roads"), _count("silver_roads")),
         ("traffic_gold_silver", _count("gold_traffic"), _count("silver_traffic")),
         ("roads_gold_silver", _count("gold_roads"), _count("silver_roads")),
+        ("traffic_roads_join_rows", _count("gold_traffic_roads"), _count("gold_traffic")),
     ]
     rows = " UNION ALL ".join(
         f"SELECT '{name}' AS \"check\", CAST({lhs} AS BIGINT) AS lhs, CAST({rhs} AS BIGINT) AS rhs, "

@@ -495,6 +495,8 @@ def _batch_layers(spark, sf_dir):
         "silver_roads": run.silver(spark, medallion.SILVER_ROADS),
         "gold_traffic": run.gold(spark, medallion.GOLD_TRAFFIC),
         "gold_roads": run.gold(spark, medallion.GOLD_ROADS),
+        "gold_traffic_roads": run.gold(spark, medallion.GOLD_TRAFFIC_ROADS),
+        "gold_region_summary": run.gold(spark, medallion.GOLD_REGION_SUMMARY),
     }
 
 
@@ -524,6 +526,7 @@ def monitor_reconcile(spark, sf_dir):
             "roads_silver_distinct": (["silver_roads"], ["distinct_bronze_roads"]),
             "traffic_gold_silver": (["gold_traffic"], ["silver_traffic"]),
             "roads_gold_silver": (["gold_roads"], ["silver_roads"]),
+            "traffic_roads_join_rows": (["gold_traffic_roads"], ["gold_traffic"]),
         },
     )
 
