@@ -10,6 +10,7 @@ and the regional summary.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -159,39 +160,59 @@ def run_batch(
     path, with the dedup state kept in the stream checkpoint).
     """
     quarantine = cfg.quarantine()
-    validate_and_write(
-        with_extract_time(traffic_landing),
-        batch_id,
-        suite=traffic.SUITE,
-        target_path=cfg.bronze(traffic.TABLE),
-        quarantine_path=quarantine,
-    )
-    validate_and_write(
-        roads_landing, batch_id, suite=roads.SUITE, target_path=cfg.bronze(roads.TABLE), quarantine_path=quarantine
-    )
-    steps = (
-        # (step, source, source may hold batches of evolved schemas, target)
-        (traffic.silver, cfg.bronze(traffic.TABLE), True, cfg.silver(SILVER_TRAFFIC)),
-        (roads.silver, cfg.bronze(roads.TABLE), True, cfg.silver(SILVER_ROADS)),
-        (traffic.gold, cfg.silver(SILVER_TRAFFIC), False, cfg.gold(GOLD_TRAFFIC)),
-        (roads.gold, cfg.silver(SILVER_ROADS), False, cfg.gold(GOLD_ROADS)),
+    # The two feeds are independent: each layer runs their jobs concurrently
+    # from two driver threads (as the two bronze streams do), so a small
+    # feed never leaves the cluster idle while the other one runs.
+    _concurrently(
+        lambda: validate_and_write(
+            with_extract_time(traffic_landing),
+            batch_id,
+            suite=traffic.SUITE,
+            target_path=cfg.bronze(traffic.TABLE),
+            quarantine_path=quarantine,
+        ),
+        lambda: validate_and_write(
+            roads_landing, batch_id, suite=roads.SUITE, target_path=cfg.bronze(roads.TABLE), quarantine_path=quarantine
+        ),
     )
-    for step, source, evolving, target in steps:
+
+    def refresh(step, source: str, evolving: bool, target: str) -> None:
         if layer_exists(spark, source):
             # Each layer is read back from its written table: the plan of the
             # next layer starts at a file scan, not at the previous lineage.
             src = read_layer(spark, source, merge_schema=evolving)
             step(src).drop(BATCH_COLUMN).write.mode("overwrite").parquet(target)
-    if layer_exists(spark, cfg.gold(GOLD_TRAFFIC)) and layer_exists(spark, cfg.silver(SILVER_ROADS)):
-        joined = gold_plan.traffic_roads_join(
-            read_layer(spark, cfg.gold(GOLD_TRAFFIC), merge_schema=False),
-            read_layer(spark, cfg.silver(SILVER_ROADS), merge_schema=False),
-        )
-        joined.write.mode("overwrite").parquet(cfg.gold(GOLD_TRAFFIC_ROADS))
-    refresh_gold_reports(spark, cfg)
+
+    # (step, source, source may hold batches of evolved schemas, target)
+    _concurrently(
+        lambda: refresh(traffic.silver, cfg.bronze(traffic.TABLE), True, cfg.silver(SILVER_TRAFFIC)),
+        lambda: refresh(roads.silver, cfg.bronze(roads.TABLE), True, cfg.silver(SILVER_ROADS)),
+    )
+    _concurrently(
+        lambda: refresh(traffic.gold, cfg.silver(SILVER_TRAFFIC), False, cfg.gold(GOLD_TRAFFIC)),
+        lambda: refresh(roads.gold, cfg.silver(SILVER_ROADS), False, cfg.gold(GOLD_ROADS)),
+    )
+
+    def traffic_roads() -> None:
+        if layer_exists(spark, cfg.gold(GOLD_TRAFFIC)) and layer_exists(spark, cfg.silver(SILVER_ROADS)):
+            joined = gold_plan.traffic_roads_join(
+                read_layer(spark, cfg.gold(GOLD_TRAFFIC), merge_schema=False),
+                read_layer(spark, cfg.silver(SILVER_ROADS), merge_schema=False),
+            )
+            joined.write.mode("overwrite").parquet(cfg.gold(GOLD_TRAFFIC_ROADS))
+
+    _concurrently(traffic_roads, lambda: refresh_gold_reports(spark, cfg))
     return BatchRun(cfg, batch_id)
 
 
+def _concurrently(*jobs) -> list:
+    """Run independent driver-side job submissions in parallel threads and
+    re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]
+
+
 def write_landing_csv(df: DataFrame, path: str, display_header: bool = True) -> None:
     """Drop a DataFrame into a landing folder as CSV files with a header line.
 
