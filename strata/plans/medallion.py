@@ -163,7 +163,7 @@ def run_batch(
     # The two feeds are independent: each layer runs their jobs concurrently
     # from two driver threads (as the two bronze streams do), so a small
     # feed never leaves the cluster idle while the other one runs.
-    _concurrently(
+    run_concurrently(
         lambda: validate_and_write(
             with_extract_time(traffic_landing),
             batch_id,
@@ -184,11 +184,11 @@ def run_batch(
             step(src).drop(BATCH_COLUMN).write.mode("overwrite").parquet(target)
 
     # (step, source, source may hold batches of evolved schemas, target)
-    _concurrently(
+    run_concurrently(
         lambda: refresh(traffic.silver, cfg.bronze(traffic.TABLE), True, cfg.silver(SILVER_TRAFFIC)),
         lambda: refresh(roads.silver, cfg.bronze(roads.TABLE), True, cfg.silver(SILVER_ROADS)),
     )
-    _concurrently(
+    run_concurrently(
         lambda: refresh(traffic.gold, cfg.silver(SILVER_TRAFFIC), False, cfg.gold(GOLD_TRAFFIC)),
         lambda: refresh(roads.gold, cfg.silver(SILVER_ROADS), False, cfg.gold(GOLD_ROADS)),
     )
@@ -201,11 +201,11 @@ def run_batch(
             )
             joined.write.mode("overwrite").parquet(cfg.gold(GOLD_TRAFFIC_ROADS))
 
-    _concurrently(traffic_roads, lambda: refresh_gold_reports(spark, cfg))
+    run_concurrently(traffic_roads, lambda: refresh_gold_reports(spark, cfg))
     return BatchRun(cfg, batch_id)
 
 
-def _concurrently(*jobs) -> list:
+def run_concurrently(*jobs) -> list:
     """Run independent driver-side job submissions in parallel threads and
     re-raise the first failure."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:

@@ -79,15 +79,17 @@ def _quarantine_view(q: DataFrame) -> DataFrame:
 
 def _validate_both(spark, sf_dir) -> LayerConfig:
     """Validate both feeds as batch 0 into their bronze tables and one
-    quarantine; return the configuration holding them."""
+    quarantine (the two jobs run concurrently); return their configuration."""
     cfg = LayerConfig.scratch(spark, "quarantine")
-    validate_and_write(
-        _bronze_traffic(spark, sf_dir), 0, suite=traffic.SUITE, target_path=cfg.bronze(traffic.TABLE),
-        quarantine_path=cfg.quarantine(),
-    )
-    validate_and_write(
-        roads_like(spark, sf_dir), 0, suite=roads.SUITE, target_path=cfg.bronze(roads.TABLE),
-        quarantine_path=cfg.quarantine(),
+    medallion.run_concurrently(
+        lambda: validate_and_write(
+            _bronze_traffic(spark, sf_dir), 0, suite=traffic.SUITE, target_path=cfg.bronze(traffic.TABLE),
+            quarantine_path=cfg.quarantine(),
+        ),
+        lambda: validate_and_write(
+            roads_like(spark, sf_dir), 0, suite=roads.SUITE, target_path=cfg.bronze(roads.TABLE),
+            quarantine_path=cfg.quarantine(),
+        ),
     )
     return cfg
 
