@@ -64,10 +64,6 @@ class LayerConfig:
         database = re.sub(r"[^0-9A-Za-z_]", "_", f"{label}_{run.rsplit('-', 1)[-1]}")
         return cls(root=run, environment=environment, database=database)
 
-    @property
-    def catalog_db(self) -> str:
-        return self.database
-
     def landing(self, feed: str = "") -> str:
         return f"{self.root}/landing/{feed}".rstrip("/")
 

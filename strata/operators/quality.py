@@ -22,11 +22,6 @@ def annotate(df: DataFrame, suite: Suite, column: str = VIOLATIONS) -> DataFrame
     return df.withColumn(column, suite.violations())
 
 
-def rule_flags(df: DataFrame, suite: Suite, prefix: str = "failed_") -> DataFrame:
-    """One boolean column per row rule (for inspection and counting)."""
-    return df.withColumns({f"{prefix}{i}": r.failed() for i, r in enumerate(suite.row_rules)})
-
-
 def split(annotated: DataFrame, column: str = VIOLATIONS) -> tuple[DataFrame, DataFrame]:
     """(good rows without the column, bad rows with it)."""
     good = annotated.filter(F.size(column) == 0).drop(column)
