@@ -231,14 +231,36 @@ def write_landing_csv(df: DataFrame, path: str, display_header: bool = True) ->
 MAX_FILES_PER_TRIGGER = 1000
 
 
+# Landing file-name patterns of the two feeds.
+LANDING_GLOBS = {"raw_traffic": "raw_traffic*.csv", "raw_roads": "raw_roads*.csv"}
+
+
+def landing_sources(cfg: LayerConfig, per_feed_folders: bool = False, glob: str | None = None) -> dict:
+    """Where each feed's landing files are: ``{feed: (path, glob)}``.
+
+    By default both feeds share the landing root and are told apart by file
+    name (files may sit in sub-folders; the lookup is recursive).  With
+    ``per_feed_folders`` each feed reads its own folder with ``glob``.
+    """
+    if per_feed_folders:
+        return {feed: (cfg.landing(feed), glob or "*.csv") for feed in LANDING_GLOBS}
+    return {feed: (cfg.landing(), pattern) for feed, pattern in LANDING_GLOBS.items()}
+
+
 def start_bronze_streams(
-    spark: SparkSession, cfg: LayerConfig, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER
+    spark: SparkSession,
+    cfg: LayerConfig,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    sources: dict | None = None,
 ):
-    """Landing folders -> validated bronze + quarantine (one query per feed)."""
+    """Landing files -> validated bronze + quarantine (one query per feed)."""
+    sources = sources or landing_sources(cfg)
+    t_path, t_glob = sources[traffic.TABLE]
+    r_path, r_glob = sources[roads.TABLE]
     traffic_src = with_extract_time(
-        stream_csv(spark, cfg.landing(traffic.TABLE), TRAFFIC_SCHEMA, glob="*.csv", max_files_per_trigger=max_files_per_trigger)
+        stream_csv(spark, t_path, TRAFFIC_SCHEMA, glob=t_glob, max_files_per_trigger=max_files_per_trigger)
     )
-    roads_src = stream_csv(spark, cfg.landing(roads.TABLE), ROADS_SCHEMA, glob="*.csv", max_files_per_trigger=max_files_per_trigger)
+    roads_src = stream_csv(spark, r_path, ROADS_SCHEMA, glob=r_glob, max_files_per_trigger=max_files_per_trigger)
     q1 = start_validated_ingest(
         traffic_src,
         suite=traffic.SUITE,
@@ -341,12 +363,16 @@ def refresh_gold_reports(spark: SparkSession, cfg: LayerConfig) -> None:
 
 
 def run_streams(
-    spark: SparkSession, cfg: LayerConfig, dedup: bool = True, dedup_horizon: str | None = None
+    spark: SparkSession,
+    cfg: LayerConfig,
+    dedup: bool = True,
+    dedup_horizon: str | None = None,
+    sources: dict | None = None,
 ) -> None:
     """One available-now pass of every layer, each layer waited for in turn
     so a later layer never reads a half-written one."""
     setup_tables(spark, cfg)
-    for q in start_bronze_streams(spark, cfg):
+    for q in start_bronze_streams(spark, cfg, sources=sources):
         run_available_now(q)
     for q in start_silver_streams(spark, cfg, dedup=dedup, dedup_horizon=dedup_horizon):
         run_available_now(q)

@@ -614,7 +614,8 @@ def stream_table_chain(spark, sf_dir):
     cfg = LayerConfig.scratch(spark, "chain")
     _land_traffic(spark, cfg.landing(traffic.TABLE), traffic_dup(spark, sf_dir))
     medallion.write_landing_csv(roads_like(spark, sf_dir), cfg.landing(roads.TABLE))
-    medallion.run_streams(spark, cfg)
+    # Spark-written landing files are named part-*; read each feed's folder.
+    medallion.run_streams(spark, cfg, sources=medallion.landing_sources(cfg, per_feed_folders=True))
     g = spark.read.parquet(cfg.gold(medallion.GOLD_TRAFFIC))
     return g.select(
         "Count_point_id",
@@ -629,7 +630,7 @@ def stream_validate_quarantine(spark, sf_dir):
     cfg = LayerConfig.scratch(spark, "stream-validate")
     _land_traffic(spark, cfg.landing(traffic.TABLE), traffic_like(spark, sf_dir))
     medallion.write_landing_csv(roads_like(spark, sf_dir), cfg.landing(roads.TABLE))
-    for q in medallion.start_bronze_streams(spark, cfg):
+    for q in medallion.start_bronze_streams(spark, cfg, sources=medallion.landing_sources(cfg, per_feed_folders=True)):
         run_available_now(q)
     bt = read_layer(spark, cfg.bronze(traffic.TABLE)).select(
         F.lit("bronze").alias("layer"), F.lit(traffic.TABLE).alias("table_name"), F.lit(None).cast("string").alias("violated_rules"),

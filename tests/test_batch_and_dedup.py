@@ -67,7 +67,9 @@ def test_stream_chain_with_bounded_dedup(spark):
     feed = traffic_dup(spark, SF_SMALL)
     medallion.write_landing_csv(feed, cfg.landing("raw_traffic"))
     medallion.write_landing_csv(roads_like(spark, SF_SMALL), cfg.landing("raw_roads"))
-    medallion.run_streams(spark, cfg, dedup_horizon="7 days")
+    medallion.run_streams(
+        spark, cfg, dedup_horizon="7 days", sources=medallion.landing_sources(cfg, per_feed_folders=True)
+    )
     good, _ = split(annotate(with_extract_time(feed), traffic.SUITE))
     silver = spark.read.parquet(cfg.silver(medallion.SILVER_TRAFFIC))
     assert silver.count() == dedup_full_row(good).count()
