@@ -1,12 +1,13 @@
-"""Command-line jobs, one per layer, for ``spark-submit``.
+"""Command-line jobs, one per layer.
 
-    spark-submit -m strata.jobs --root s3a://lake/traffic --env prod setup
+    spark-submit --py-files strata.zip strata/jobs.py --root s3a://lake/traffic --env prod setup
     ... bronze | silver [--dedup-horizon "7 days"] | gold | all | monitor
     ... recover --table raw_traffic --rule "[Count_date] expect_..." [--purge]
 
-``--root`` defaults to ``<spark.checkpoint.dir>/strata/<env>``.  Every stream
-job is an available-now run: it processes what has landed since its last
-checkpoint, waits until done, and exits (schedule it as often as needed).
+Locally: ``python -m strata.jobs <same arguments>``.  ``--root`` defaults to
+``<spark.checkpoint.dir>/strata/<env>``.  Every stream job is an available-now
+run: it processes what has landed since its last checkpoint, waits until
+done, and exits (schedule it as often as needed).
 """
 
 from __future__ import annotations
