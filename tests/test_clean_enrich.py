@@ -110,3 +110,22 @@ def test_region_summary(spark):
     )
     row = gold.region_summary(df).first()
     assert (row.n_records, row.total_motor_vehicles, row.avg_intensity, row.total_link_km) == (2, 30, 2.0, 5.0)
+
+
+def test_gold_join_fallback_without_broadcast(spark):
+    # hot key: a third of the facts share one (region, category)
+    facts = spark.createDataFrame(
+        [(i, 1 if i % 3 == 0 else i % 7, 3 if i % 3 == 0 else i % 5, i % 11) for i in range(3000)],
+        "id int, Region_id int, Road_Category_ID int, Motor_Vehicles_Count int",
+    )
+    dims = spark.createDataFrame(
+        [(k % 7, k % 5, float(k), float(k * 10)) for k in range(200)],
+        "Region_ID int, Road_Category_Id int, Total_Link_Length_Km double, All_Motor_Vehicles double",
+    )
+    broadcast = gold.traffic_roads_join(facts, dims)
+    shuffled = gold.traffic_roads_join(facts, dims, max_broadcast_rows=0)
+    assert "broadcast" in broadcast._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in shuffled._jdf.queryExecution().analyzed().toString().lower()
+    key = ["id", "n_roads", "road_link_km_sum", "road_vehicles_sum"]
+    assert sorted(broadcast.select(*key).collect()) == sorted(shuffled.select(*key).collect())
+    assert shuffled.count() == facts.count()
