@@ -34,7 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata.jobs", description=__doc__.split("\n\n")[0])
     p.add_argument("--root", help="storage root of the environment (shared storage)")
     p.add_argument("--env", default="dev", choices=["dev", "uat", "prod"])
-    p.add_argument("--database", default="traffic_db")
+    p.add_argument("--database", default=None, help="catalog database (default traffic_<env>_db)")
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("setup", help="create the database, bronze and quarantine tables")
     sub.add_parser("bronze", help="landing CSV -> validated bronze + quarantine")
@@ -55,7 +55,9 @@ def _parser() -> argparse.ArgumentParser:
 
 def config(spark: SparkSession, args: argparse.Namespace) -> LayerConfig:
     root = args.root or shared_dir(spark, "strata", args.env)
-    return LayerConfig(root=root.rstrip("/"), environment=args.env, database=args.database)
+    # One metastore may serve every environment: keep their tables apart.
+    database = args.database or f"traffic_{args.env}_db"
+    return LayerConfig(root=root.rstrip("/"), environment=args.env, database=database)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
