@@ -13,6 +13,7 @@ done, and exits (schedule it as often as needed).
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import SparkSession
@@ -20,8 +21,10 @@ from pyspark.sql import SparkSession
 from strata.config import LayerConfig, shared_dir
 from strata.operators.monitor import batch_quality
 from strata.operators.quarantine import purge_quarantine, recover_quarantine
+from strata.operators.rules import suite_from_spec
 from strata.plans import medallion, roads, traffic
 from strata.schemas import ROADS_BRONZE_SCHEMA, TRAFFIC_BRONZE_SCHEMA
+from strata.sinks.tables import layer_exists
 from strata.streaming.ingest import run_available_now
 
 _FEEDS = {
@@ -50,6 +53,11 @@ def _parser() -> argparse.ArgumentParser:
     rec.add_argument("--rule", default=None, help="only rows that broke this rule label")
     rec.add_argument("--batch-id", default="recovery")
     rec.add_argument("--purge", action="store_true", help="remove re-inserted rows from the quarantine")
+    rec.add_argument(
+        "--suite-spec",
+        default=None,
+        help="JSON file with a corrected rule list ({type, kwargs} entries) to revalidate against",
+    )
     return p
 
 
@@ -81,12 +89,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         medallion.run_streams(spark, cfg, dedup_horizon=args.dedup_horizon)
     elif args.command == "monitor":
         medallion.monitor_tables(spark, cfg).show(truncate=False)
-        targets = {t: spark.table(cfg.table(t)) for t in _FEEDS}
-        batch_quality(targets, spark.table(cfg.table(cfg.quarantine_table))).orderBy(
-            "table_name", "batch_id"
-        ).show(truncate=False)
+        targets = {t: spark.table(cfg.table(t)) for t in _FEEDS if layer_exists(spark, cfg.bronze(t))}
+        if targets and layer_exists(spark, cfg.quarantine()):
+            batch_quality(targets, spark.table(cfg.table(cfg.quarantine_table))).orderBy(
+                "table_name", "batch_id"
+            ).show(truncate=False)
     elif args.command == "recover":
         suite, schema = _FEEDS[args.table]
+        if args.suite_spec:
+            with open(args.suite_spec, encoding="utf-8") as fh:
+                suite = suite_from_spec(args.table, json.load(fh))
         qtable = cfg.table(cfg.quarantine_table)
         medallion.refresh_partitions(spark, qtable)
         keys = recover_quarantine(

@@ -26,6 +26,8 @@ def sql_layer_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFram
     """``layer, n_rows`` through SQL: one ``UNION ALL`` statement counting
     every named table or view, planned and run as a single job."""
     parts = [f"SELECT '{layer}' AS layer, COUNT(*) AS n_rows FROM {name}" for layer, name in tables.items()]
+    if not parts:
+        return spark.createDataFrame([], "layer string, n_rows bigint")
     return spark.sql(" UNION ALL ".join(parts))
 
 

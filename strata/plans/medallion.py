@@ -99,24 +99,30 @@ def register_layer_tables(spark: SparkSession, cfg: LayerConfig) -> None:
 
 
 def monitor_tables(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
-    """Row counts of every layer table (one SQL statement, one job)."""
+    """Row counts of every layer table that exists (one SQL statement, one
+    job).  A layer whose folder has not been written yet is left out."""
     from strata.operators.monitor import sql_layer_counts
 
-    for t in (traffic.TABLE, roads.TABLE, cfg.quarantine_table):
-        refresh_partitions(spark, cfg.table(t))
-    names = [
-        traffic.TABLE,
-        roads.TABLE,
-        SILVER_TRAFFIC,
-        SILVER_ROADS,
-        GOLD_TRAFFIC,
-        GOLD_ROADS,
-        GOLD_TRAFFIC_ROADS,
-        GOLD_REGION_SUMMARY,
-        cfg.quarantine_table,
-    ]
+    locations = {
+        traffic.TABLE: cfg.bronze(traffic.TABLE),
+        roads.TABLE: cfg.bronze(roads.TABLE),
+        SILVER_TRAFFIC: cfg.silver(SILVER_TRAFFIC),
+        SILVER_ROADS: cfg.silver(SILVER_ROADS),
+        GOLD_TRAFFIC: cfg.gold(GOLD_TRAFFIC),
+        GOLD_ROADS: cfg.gold(GOLD_ROADS),
+        GOLD_TRAFFIC_ROADS: cfg.gold(GOLD_TRAFFIC_ROADS),
+        GOLD_REGION_SUMMARY: cfg.gold(GOLD_REGION_SUMMARY),
+        cfg.quarantine_table: cfg.quarantine(),
+    }
     present = {r.tableName for r in spark.sql(f"SHOW TABLES IN `{cfg.database}`").collect()}
-    return sql_layer_counts(spark, {n: cfg.table(n) for n in names if n.lower() in present})
+    counted = {}
+    for name, path in locations.items():
+        if name.lower() not in present or not layer_exists(spark, path):
+            continue
+        if name in (traffic.TABLE, roads.TABLE, cfg.quarantine_table):
+            refresh_partitions(spark, cfg.table(name))  # partitions written by path
+        counted[name] = cfg.table(name)
+    return sql_layer_counts(spark, counted)
 
 
 def refresh_partitions(spark: SparkSession, table: str) -> None:

@@ -51,3 +51,33 @@ def test_jobs_end_to_end(spark, capsys):
     assert jobs.main([*base, "recover", "--table", "raw_roads", "--rule", rule, "--purge"], spark=spark) == 0
     counts = {r.layer: r.n_rows for r in medallion.monitor_tables(spark, cfg).collect()}
     assert counts["raw_roads"] == 453 and counts["data_quality_quarantine"] == 12
+
+
+def test_recover_with_corrected_suite(spark, tmp_path):
+    import json
+
+    from strata.operators.rules import suite_to_spec
+    from strata.plans import roads
+
+    cfg = LayerConfig.scratch(spark, "jobs-recover")
+    base = ["--root", cfg.root, "--database", cfg.database]
+    os.makedirs(cfg.landing("raw_roads"))
+    shutil.copy(FIXTURES / "raw_roads" / "raw_roads1.1.csv", cfg.landing("raw_roads"))
+    assert jobs.main([*base, "bronze"], spark=spark) == 0
+    before = {r.layer: r.n_rows for r in medallion.monitor_tables(spark, cfg).collect()}
+    assert before["raw_roads"] == 73 and before["data_quality_quarantine"] == 3
+    # the corrected suite no longer requires Road_ID
+    spec = [e for e in suite_to_spec(roads.SUITE) if e["type"] != "expect_column_values_to_not_be_null"]
+    spec_file = tmp_path / "roads_suite.json"
+    spec_file.write_text(json.dumps(spec))
+    rule = "[Road_ID] expect_column_values_to_not_be_null"
+    args = [*base, "recover", "--table", "raw_roads", "--rule", rule, "--suite-spec", str(spec_file), "--purge"]
+    assert jobs.main(args, spark=spark) == 0
+    after = {r.layer: r.n_rows for r in medallion.monitor_tables(spark, cfg).collect()}
+    assert after["raw_roads"] == 75 and after["data_quality_quarantine"] == 1
+
+
+def test_monitor_before_anything_landed(spark, capsys):
+    cfg = LayerConfig.scratch(spark, "jobs-empty")
+    assert jobs.main(["--root", cfg.root, "--database", cfg.database, "monitor"], spark=spark) == 0
+    assert medallion.monitor_tables(spark, cfg).count() == 0
