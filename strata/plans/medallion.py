@@ -30,7 +30,7 @@ from strata.schemas import (
     TRAFFIC_BRONZE_SCHEMA,
     TRAFFIC_SCHEMA,
 )
-from strata.sinks.tables import create_database, create_table, layer_exists, read_layer
+from strata.sinks.tables import create_database, create_table, layer_exists, path_exists, read_layer
 from strata.sources.files import stream_csv, with_extract_time
 from strata.sources.tables import stream_table
 from strata.streaming.chain import start_table_stream, stream_dedup
@@ -261,27 +261,26 @@ def start_bronze_streams(
 ):
     """Landing files -> validated bronze + quarantine (one query per feed)."""
     sources = sources or landing_sources(cfg)
-    t_path, t_glob = sources[traffic.TABLE]
-    r_path, r_glob = sources[roads.TABLE]
-    traffic_src = with_extract_time(
-        stream_csv(spark, t_path, TRAFFIC_SCHEMA, glob=t_glob, max_files_per_trigger=max_files_per_trigger)
+    feeds = (
+        (traffic, TRAFFIC_SCHEMA, True, "rawTraffic_load"),
+        (roads, ROADS_SCHEMA, False, "rawRoads_load"),
     )
-    roads_src = stream_csv(spark, r_path, ROADS_SCHEMA, glob=r_glob, max_files_per_trigger=max_files_per_trigger)
-    q1 = start_validated_ingest(
-        traffic_src,
-        suite=traffic.SUITE,
-        target_path=cfg.bronze(traffic.TABLE),
-        quarantine_path=cfg.quarantine(),
-        checkpoint=cfg.checkpoint("rawTraffic_load"),
-    )
-    q2 = start_validated_ingest(
-        roads_src,
-        suite=roads.SUITE,
-        target_path=cfg.bronze(roads.TABLE),
-        quarantine_path=cfg.quarantine(),
-        checkpoint=cfg.checkpoint("rawRoads_load"),
-    )
-    return [q1, q2]
+    queries = []
+    for module, schema, stamped, checkpoint in feeds:
+        path, glob = sources[module.TABLE]
+        if not path_exists(spark, path):
+            continue  # nothing has landed for this feed yet
+        src = stream_csv(spark, path, schema, glob=glob, max_files_per_trigger=max_files_per_trigger)
+        queries.append(
+            start_validated_ingest(
+                with_extract_time(src) if stamped else src,
+                suite=module.SUITE,
+                target_path=cfg.bronze(module.TABLE),
+                quarantine_path=cfg.quarantine(),
+                checkpoint=cfg.checkpoint(checkpoint),
+            )
+        )
+    return queries
 
 
 def start_silver_streams(
@@ -297,6 +296,8 @@ def start_silver_streams(
     """
     queries = []
     for module, name, src in ((traffic, SILVER_TRAFFIC, traffic.TABLE), (roads, SILVER_ROADS, roads.TABLE)):
+        if not layer_exists(spark, cfg.bronze(src)):
+            continue  # the feed has no bronze batch yet
         stream = stream_table(spark, cfg.table(src))
         if dedup:
             bounded = dedup_horizon and EXTRACT_TIME in stream.columns
@@ -325,20 +326,30 @@ def start_gold_streams(spark: SparkSession, cfg: LayerConfig, join_roads: bool =
     is re-read for every micro-batch and broadcast when its key count is
     bounded.
     """
-    traffic_stream = traffic.gold(stream_table(spark, cfg.table(SILVER_TRAFFIC), fmt="parquet"))
-    roads_stream = roads.gold(stream_table(spark, cfg.table(SILVER_ROADS), fmt="parquet"))
-    queries = [
-        start_table_stream(
-            traffic_stream,
-            table=cfg.table(GOLD_TRAFFIC),
-            path=cfg.gold(GOLD_TRAFFIC),
-            checkpoint=cfg.checkpoint("gold_traffic_load"),
-        ),
-        start_table_stream(
-            roads_stream, table=cfg.table(GOLD_ROADS), path=cfg.gold(GOLD_ROADS), checkpoint=cfg.checkpoint("gold_roads_load")
-        ),
-    ]
-    if join_roads:
+    queries = []
+    has_traffic = layer_exists(spark, cfg.silver(SILVER_TRAFFIC))
+    has_roads = layer_exists(spark, cfg.silver(SILVER_ROADS))
+    if has_traffic:
+        traffic_stream = traffic.gold(stream_table(spark, cfg.table(SILVER_TRAFFIC), fmt="parquet"))
+        queries.append(
+            start_table_stream(
+                traffic_stream,
+                table=cfg.table(GOLD_TRAFFIC),
+                path=cfg.gold(GOLD_TRAFFIC),
+                checkpoint=cfg.checkpoint("gold_traffic_load"),
+            )
+        )
+    if has_roads:
+        roads_stream = roads.gold(stream_table(spark, cfg.table(SILVER_ROADS), fmt="parquet"))
+        queries.append(
+            start_table_stream(
+                roads_stream,
+                table=cfg.table(GOLD_ROADS),
+                path=cfg.gold(GOLD_ROADS),
+                checkpoint=cfg.checkpoint("gold_roads_load"),
+            )
+        )
+    if join_roads and has_traffic and has_roads:
         spark.catalog.refreshTable(cfg.table(SILVER_ROADS))
         joined = gold_plan.traffic_roads_join(traffic_stream, spark.table(cfg.table(SILVER_ROADS)))
         queries.append(

@@ -77,6 +77,26 @@ def read_layer(spark: SparkSession, path: str, merge_schema: bool = True) -> Dat
     return df.withColumns(labels) if labels else df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does a file or folder exist (on any Hadoop-compatible file system)?
+
+    One ``exists`` call on the file system, not a listing of the tree below
+    the path.  Sessions without a JVM gateway fall back to resolving a text
+    read of the path.
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote session)
+        try:
+            spark.read.text(path).schema  # noqa: B018 - resolves the path only
+            return True
+        except Exception:  # noqa: BLE001 - PATH_NOT_FOUND
+            return False
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(conf).exists(hpath))
+
+
 def layer_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only

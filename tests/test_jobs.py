@@ -81,3 +81,25 @@ def test_monitor_before_anything_landed(spark, capsys):
     cfg = LayerConfig.scratch(spark, "jobs-empty")
     assert jobs.main(["--root", cfg.root, "--database", cfg.database, "monitor"], spark=spark) == 0
     assert medallion.monitor_tables(spark, cfg).count() == 0
+
+
+def test_one_feed_landed_only(spark):
+    cfg = LayerConfig.scratch(spark, "one-feed")
+    os.makedirs(cfg.landing("raw_traffic"))
+    with open(os.path.join(cfg.landing("raw_traffic"), "raw_traffic1.csv"), "w") as fh:
+        fh.write(HEADER + "\n" + "\n".join(FILE1) + "\n")
+    assert jobs.main(["--root", cfg.root, "--database", cfg.database, "all"], spark=spark) == 0
+    counts = {r.layer: r.n_rows for r in medallion.monitor_tables(spark, cfg).collect()}
+    assert counts == {
+        "raw_traffic": 8,
+        "silver_traffic": 8,
+        "gold_traffic": 8,
+        "gold_region_summary": 3,
+        "data_quality_quarantine": 9,
+    }
+    # the roads arrive later: the next run picks them up, traffic adds nothing
+    os.makedirs(cfg.landing("raw_roads"))
+    shutil.copy(FIXTURES / "raw_roads" / "raw_roads1.csv", cfg.landing("raw_roads"))
+    assert jobs.main(["--root", cfg.root, "--database", cfg.database, "all"], spark=spark) == 0
+    counts = {r.layer: r.n_rows for r in medallion.monitor_tables(spark, cfg).collect()}
+    assert counts["raw_traffic"] == 8 and counts["raw_roads"] == 76 and counts["gold_roads"] == 76
