@@ -95,6 +95,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 "table_name", "batch_id"
             ).show(truncate=False)
     elif args.command == "recover":
+        if not layer_exists(spark, cfg.quarantine()):
+            return 0  # nothing has been quarantined yet
         suite, schema = _FEEDS[args.table]
         if args.suite_spec:
             with open(args.suite_spec, encoding="utf-8") as fh:

@@ -79,7 +79,9 @@ def test_recover_with_corrected_suite(spark, tmp_path):
 
 def test_monitor_before_anything_landed(spark, capsys):
     cfg = LayerConfig.scratch(spark, "jobs-empty")
-    assert jobs.main(["--root", cfg.root, "--database", cfg.database, "monitor"], spark=spark) == 0
+    base = ["--root", cfg.root, "--database", cfg.database]
+    for command in (["monitor"], ["silver"], ["gold"], ["recover", "--table", "raw_traffic", "--purge"]):
+        assert jobs.main([*base, *command], spark=spark) == 0
     assert medallion.monitor_tables(spark, cfg).count() == 0
 
 
