@@ -176,3 +176,19 @@ def test_crash_between_writes_then_retry(spark, cfg, bronze, monkeypatch):
     _write(bronze, cfg)  # the retry of the same batch
     good, bad = read_layer(spark, cfg.bronze("t")).count(), read_layer(spark, cfg.quarantine()).count()
     assert good + bad == bronze.count()
+
+
+def test_purge_is_safe_to_repeat(spark, cfg, bronze):
+    _write(bronze, cfg)
+    q = read_layer(spark, cfg.quarantine())
+    n = q.count()
+    # purge the rows that broke the hour rule only
+    rule = "[hour] expect_column_values_to_be_between"
+    keys_path = cfg.root + "/keys"
+    q.filter(F.col("violated_rules") == rule).select("table_name", "gx_batch_id", "raw_data").write.parquet(keys_path)
+    keys = spark.read.parquet(keys_path)
+    n_keys = keys.count()
+    purge_quarantine(spark, cfg.quarantine(), keys)
+    once = read_layer(spark, cfg.quarantine()).count()
+    purge_quarantine(spark, cfg.quarantine(), keys)  # a retried purge
+    assert once == n - n_keys == read_layer(spark, cfg.quarantine()).count()
