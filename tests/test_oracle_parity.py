@@ -11,13 +11,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strata.queries import ORACLE, QUERIES
 from strata.sources.testdata import TABLES
 
 from .conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -39,6 +37,8 @@ def _norm(v):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
