@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixture, sharding, urlfilter
+from . import mixture, neardup, sharding, urlfilter
 
 LLM_QUERIES = {
     "op2_url_rules": urlfilter.op2_url_rules,
+    "op3_near_dedup": neardup.op3_near_dedup,
     "op9_source_mix": mixture.op9_source_mix,
     "op10_rendezvous_shards": sharding.op10_rendezvous_shards,
 }
 
 LLM_ORACLE = {
     "op2_url_rules": urlfilter.OP2_SQL,
+    "op3_near_dedup": neardup.OP3_SQL,
     "op10_rendezvous_shards": sharding.OP10_SQL,
 }
