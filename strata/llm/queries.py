@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixture, neardup, sharding, urlfilter
+from . import decontaminate, langid, mixture, neardup, sharding, urlfilter
 
 LLM_QUERIES = {
+    "op1_language_id": langid.op1_language_id,
     "op2_url_rules": urlfilter.op2_url_rules,
     "op3_near_dedup": neardup.op3_near_dedup,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_source_mix": mixture.op9_source_mix,
     "op10_rendezvous_shards": sharding.op10_rendezvous_shards,
 }

@@ -43,8 +43,8 @@ class RuleTrie:
     that a slash ends.  At a node, ``""`` holds (rest of path, rule, verdict)
     for rules that end there, longest rest first."""
 
-    def __init__(self, rules: Iterable[tuple[str, str, str]]):
-        self.root: dict = {}
+    def __init__(self, rules: Iterable[tuple[str, str, str]] = (), root: dict | None = None):
+        self.root: dict = {} if root is None else root
         for verdict, host, path in sorted(rules, key=lambda r: r[0] != "block"):
             node = self.root
             for label in reversed(host.split(".")):
@@ -100,12 +100,13 @@ def judge_urls(
     parsed = urls.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
     if size > max_trie_bytes:
         return _judge_by_join(parsed, rules, default)
-    trie = urls.sparkSession.sparkContext.broadcast(RuleTrie([tuple(r) for r in rules.collect()]))
+    trie = urls.sparkSession.sparkContext.broadcast(RuleTrie([tuple(r) for r in rules.collect()]).root)
 
     @F.pandas_udf("rule string, verdict string")
     def judged(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        rules_by_host = RuleTrie(root=trie.value)
         for hosts, paths in pairs:
-            yield pd.DataFrame([trie.value.match(h, p) for h, p in zip(hosts, paths)], columns=["rule", "verdict"])
+            yield pd.DataFrame([rules_by_host.match(h, p) for h, p in zip(hosts, paths)], columns=["rule", "verdict"])
 
     found = parsed.withColumn("_found", judged("host", "path"))
     return found.withColumns(
