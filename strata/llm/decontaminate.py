@@ -238,9 +238,31 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
-        "n_near",
     )
 
 
-#: n_near depends on which words are rarest, but can be counted: see the tests.
-OP8_SQL = None
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP8_SQL = f"""
+WITH items AS (SELECT item_id::VARCHAR AS id, {_SQL_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+sized AS (SELECT id, w, least({WINDOW}, len(w)) AS k FROM items WHERE len(w) > 0),
+wins AS (
+  SELECT DISTINCT id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda s: array_to_string(w[s:s + k - 1], ' '))) AS g FROM sized
+),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_SQL_WORDS} AS w FROM documents),
+starts AS (
+  SELECT r, k, unnest(range(1, len(w) - k + 2)) AS s,
+         unnest(list_transform(range(1, len(w) - k + 2), lambda s: array_to_string(w[s:s + k - 1], ' '))) AS g
+  FROM docs, (SELECT DISTINCT k FROM wins)
+),
+hits AS (SELECT r, s, k, id FROM starts JOIN wins USING (k, g)),
+found AS (
+  SELECT r, count(DISTINCT p) AS n_hit, list_sort(list(DISTINCT id)) AS ids
+  FROM (SELECT r, id, unnest(range(s, s + k)) AS p FROM hits) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN found USING (r)
+"""
