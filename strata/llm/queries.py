@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprint, langid, licenses, mixture, neardup, sharding, urlfilter
+from . import decontaminate, fingerprint, langid, licenses, mixture, neardup, sharding, substrings, urlfilter
 
 LLM_QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -10,6 +10,7 @@ LLM_QUERIES = {
     "op3_near_dedup": neardup.op3_near_dedup,
     "op4_fingerprints": fingerprint.op4_fingerprints,
     "op5_license_scan": licenses.op5_license_scan,
+    "op6_suffix_dedup": substrings.op6_suffix_dedup,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_source_mix": mixture.op9_source_mix,
     "op10_rendezvous_shards": sharding.op10_rendezvous_shards,
@@ -18,6 +19,7 @@ LLM_QUERIES = {
 LLM_ORACLE = {
     "op2_url_rules": urlfilter.OP2_SQL,
     "op3_near_dedup": neardup.OP3_SQL,
+    "op6_suffix_dedup": substrings.OP6_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_rendezvous_shards": sharding.OP10_SQL,
 }
