@@ -176,16 +176,20 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5, F.lit(0)) == 0
 
 
-def identify(docs: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
-    """``docs`` with lang_pred and score, learned from its own labels outside
-    the held-out fifth; with ``wanted``, only documents of those languages."""
+def with_language(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_language``, struct(lang_pred, score), learned from its
+    own labels outside the held-out fifth."""
     predicted = predictor(docs.sparkSession, train(docs.where(~held_out())))
-    out = docs.withColumn("_found", predicted(F.col("text")))
-    out = out.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
-    return out if wanted is None else out.where(F.col("lang_pred").isin(list(wanted)))
+    return docs.withColumn("_language", predicted(F.col("text")))
+
+
+def identified(docs: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
+    """The documents that have a language (one of ``wanted``, if given), as they are."""
+    found = F.col("_language.lang_pred")
+    return with_language(docs).where(found != UNKNOWN if wanted is None else found.isin(list(wanted))).drop("_language")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    found = identify(docs.select("doc_id", "text", "lang"))
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    found = with_language(docs.select("doc_id", "text", "lang"))
+    return found.select("doc_id", held_out().alias("held_out"), "_language.lang_pred", "_language.score")

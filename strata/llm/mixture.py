@@ -105,21 +105,22 @@ def mix(
     block_tokens: int = 64,
     docs_per_shard: int = 4000,
     seed: int = 17,
-    keep: Sequence[str] = (),
+    keep_rows: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken
     (tokens the mix takes) and copies (how often it takes the first token: the
-    count of copies of a mix of whole documents), then the columns ``keep``."""
+    count of copies of a mix of whole documents); with ``keep_rows`` also
+    ``row``, the whole row of ``docs`` as a struct."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("_id"),
         F.col(source_col).alias("_src"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(SPACED_WORD)), F.lit(0)).cast("long").alias("_size"),
-        *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
+        *([F.struct(*docs.columns).alias("row")] if keep_rows else []),
     )
-    narrow = rows if keep else cut_lineage(rows)
+    narrow = rows if keep_rows else cut_lineage(rows)
     shards = groups_for(docs.select(F.count("*")).first()[0], docs_per_shard)
     placed = narrow.withColumn("_shard", F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(shards)).cast("int"))
 
@@ -158,7 +159,7 @@ def mix(
         F.col("target"),
         (F.col("_rounds") * F.col("_size") + partly).cast("long").alias("taken"),
         copies.cast("long").alias("copies"),
-        *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep) if c != "doc_id"],
+        *(["row"] if keep_rows else []),
     )
 
 

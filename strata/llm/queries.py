@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprint, langid, licenses, mixture, neardup, sharding, substrings, urlfilter
+from . import decontaminate, fingerprint, langid, licenses, mixture, neardup, sharding, substrings, tokencount, urlfilter
 
 LLM_QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -11,6 +11,7 @@ LLM_QUERIES = {
     "op4_fingerprints": fingerprint.op4_fingerprints,
     "op5_license_scan": licenses.op5_license_scan,
     "op6_suffix_dedup": substrings.op6_suffix_dedup,
+    "op7_token_counts": tokencount.op7_token_counts,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_source_mix": mixture.op9_source_mix,
     "op10_rendezvous_shards": sharding.op10_rendezvous_shards,
