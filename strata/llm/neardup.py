@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import NO_ID, SPACED_WORD, cut_lineage, keyed, lower_ascii, read_table, unkeyed
@@ -94,17 +94,16 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return keyed(docs).mapInArrow(sketch, "_id long, _n long, _set binary, _regs binary")
 
 
-def shingle_set(text: Column, k: int) -> Column:
-    """The distinct shingles of a text, as strings (words contain no space)."""
-    words = F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(SPACED_WORD), F.lit(0))
+def with_shingles(df: DataFrame, text: str, out: str, k: int) -> DataFrame:
+    """Adds ``out``: the distinct shingles of ``text`` as strings (words contain
+    no space).  The words are a column of their own, so they are found once."""
+    words = f"_{out}_words"
     many = F.array_distinct(
         F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))
     )
-    return (
-        F.when(F.size(words) == 0, F.array().cast("array<string>"))
-        .when(F.size(words) < k, F.array(F.array_join(words, " ")))
-        .otherwise(many)
-    )
+    few = F.when(F.size(words) == 0, F.array().cast("array<string>")).otherwise(F.array(F.array_join(words, " ")))
+    found = F.regexp_extract_all(lower_ascii(F.coalesce(F.col(text), F.lit(""))), F.lit(SPACED_WORD), F.lit(0))
+    return df.withColumn(words, found).withColumn(out, F.when(F.size(words) < k, few).otherwise(many)).drop(words)
 
 
 def _could_reach(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -128,7 +127,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     texts = keyed(docs)
     side = lambda s: texts.select(F.col("_id").alias(s), F.col("_text").alias(f"t_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    sets = both.select("a", "b", shingle_set(F.col("t_a"), k).alias("s_a"), shingle_set(F.col("t_b"), k).alias("s_b"))
+    sets = with_shingles(with_shingles(both, "t_a", "s_a", k), "t_b", "s_b", k)
     counted = sets.select(
         "a", "b", F.size("s_a").alias("n_a"), F.size("s_b").alias("n_b"), F.size(F.array_intersect("s_a", "s_b")).alias("common")
     )
