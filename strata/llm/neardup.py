@@ -131,6 +131,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     counted = sets.select(
         "a", "b", F.size("s_a").alias("n_a"), F.size("s_b").alias("n_b"), F.size(F.array_intersect("s_a", "s_b")).alias("common")
     )
+    # Cut here, or the filter would be pushed below and find the words again for each shingle.
+    counted = cut_lineage(counted)
     return counted.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
 
 
