@@ -98,10 +98,9 @@ class TokenTree:
         n, start = 1, 0
         while n < self.width:
             n *= 2
-            if place >= start + self.chars[n]:
-                if any(self.chars[n + 1 : n + 2]):
-                    start += self.chars[n]
-                    n += 1
+            if place >= start + self.chars[n] and self.chars[n + 1]:
+                start += self.chars[n]
+                n += 1
         sizes = self.blocks[n - self.width][0] if n - self.width < len(self.blocks) else []
         at = 0
         while at < len(sizes) - 1 and place >= start + sizes[at]:
@@ -124,14 +123,12 @@ class TokenTree:
         start, end = min(start, size), min(max(start, end), size)
         old, self.text = self.text, self.text[:start] + new + self.text[end:]
         shift = len(new) - (end - start)
-        # Context: back over the pre-token that holds the place, white space
-        # (whose cut looks ahead to the next word) and one pre-token more.
-        here = self._find(max(0, start - 1))
-        more = 1
-        while (earlier := self._back(*here)) is not None and (more or old[here[2]].isspace()):
-            if not old[here[2]].isspace():
-                more = 0
+        # Context: one pre-token back, and on over white space, whose cut looks
+        # ahead to the next word.
+        here, back = self._find(max(0, start - 1)), True
+        while back and (earlier := self._back(*here)) is not None:
             here = earlier
+            back = old[here[2] : here[2] + self.blocks[here[0]][0][here[1]]].isspace()
         block, at, first = here
         # Forward: the old boundaries after the edit, until a new one falls on one.
         pieces, place = [], first
