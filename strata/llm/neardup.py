@@ -5,12 +5,13 @@
    exponent ``floor(1 - log_b(.))``.  The sketch of a union is the register-wise
    maximum, and registers of similar sets agree.
 2. Texts with equal sets are one class (by a 128-bit digest of the whole set).
-3. Bands of ``BAND`` registers are candidate buckets.  Every class is compared
-   with its buckets' smallest class.  Then, in buckets that still hold several
-   components, classes outside the bucket's largest component are compared with
-   all others of other components.  So a group of thousands of near copies
-   costs one comparison each, and no pair that could join two components is
-   passed over.
+3. Bands of ``BAND`` registers are candidate buckets.  A bucket's centre is its
+   class whose buckets hold most others.  Every class is compared with the
+   centres of its buckets, so a group of thousands of near copies costs about
+   one comparison each.  Classes that did not join their centre's component are
+   then compared with the centre's other classes: all of them up to
+   ``SMALL_GROUP``, else those that :func:`_sharing` proves to be possible.  No
+   pair of one bucket that could join two components is passed over.
 4. A pair's Jaccard similarity is first estimated jointly from its registers
    and set sizes by maximum likelihood; pairs that could reach the threshold
    (within 5.8 standard errors) are confirmed on the full shingle sets.
@@ -44,6 +45,8 @@ REGISTERS = 240
 BAND = 6
 _BASE, _RATE, _LIMIT = 1.001, 20.0, 65535
 _ROWS = 512
+#: Centres with so many classes at most have all their pairs looked at.
+SMALL_GROUP = 32
 
 
 def registers(members: np.ndarray) -> np.ndarray:
@@ -136,6 +139,47 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     return counted.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
 
 
+def _sharing(grouped: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``grouped`` (c, x, apart) that could be similar, where a
+    is apart from the centre c: not similar enough to it.
+
+    Similar a and b overlap in at least o = j / (1 + j) * (|a| + |b|) shingles,
+    so at most |a| - o shingles of a are not in b.  If a has more than that
+    outside c, one of those is in b as well.  So a is joined with the members
+    that share one of its rarest shingles outside c: of any |a| - o + 1 one must
+    match, and |a| - o is at most (1 - j) |a|.  Only if a has no more than
+    |a| - o outside c (then b is much smaller) is there no such shingle.
+    """
+    j = percent / 100
+    sizes = reps.groupBy(F.col("node").alias("x")).agg(F.max("_n").alias("n"))
+    texts = keyed(docs)
+    of_centre = grouped.select("c").distinct().join(texts.select(F.col("_id").alias("c"), F.col("_text").alias("t_c")), "c")
+    centre_sets = with_shingles(of_centre, "t_c", "s_c", k).select("c", "s_c")
+    own = grouped.join(texts.select(F.col("_id").alias("x"), F.col("_text").alias("t_x")), "x")
+    outside = with_shingles(own, "t_x", "s_x", k).join(centre_sets, "c").select(
+        "c", "x", "apart", F.transform(F.array_except("s_x", "s_c"), lambda e: F.xxhash64(e)).alias("e")
+    )
+    outside = cut_lineage(outside)
+    places = outside.select("c", "x", "apart", F.explode("e").alias("e"))
+    rare = places.groupBy("c", "e").agg(F.count("*").alias("_times")).withColumnsRenamed({"c": "_c", "e": "_e"})
+    ranked = places.join(rare, (F.col("c") == F.col("_c")) & (F.col("e") == F.col("_e"))).drop("_c", "_e")
+    order = Window.partitionBy("c", "x").orderBy("_times", "e")
+    probes = ranked.where("apart").withColumn("_rank", F.row_number().over(order)).join(sizes, "x")
+    probes = probes.where((F.col("_rank") <= F.floor(F.col("n") * (1 - j)) + 1) & (F.col("_times") > 1)).select("c", "e", F.col("x").alias("a"))
+    holders = ranked.where("_times > 1").select(F.col("c").alias("_c"), F.col("e").alias("_e"), F.col("x").alias("b"))
+    shared = probes.join(holders, (F.col("c") == F.col("_c")) & (F.col("e") == F.col("_e")) & (F.col("a") != F.col("b"))).select("a", "b")
+
+    counted = outside.select("c", "x", "apart", F.size("e").alias("out")).join(sizes, "x")
+    few = counted.where("apart").select("c", F.col("x").alias("a"), "out", F.col("n").alias("n_a"))
+    few = few.where(F.col("out") <= F.col("n_a") * (1 - j))
+    small = counted.select(F.col("c").alias("_c"), F.col("x").alias("b"), F.col("n").alias("n_b"))
+    overlap = (F.col("n_a") + F.col("n_b")) * (j / (1 + j))
+    weak = few.join(
+        small, (F.col("c") == F.col("_c")) & (F.col("n_b") >= F.col("n_a") * j) & (F.col("out") <= F.col("n_a") - overlap + 1e-6) & (F.col("a") != F.col("b"))
+    ).select("a", "b")
+    return shared.unionByName(weak).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles,
     component_id (smallest doc_id reachable), kept (it is that one)."""
@@ -149,8 +193,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         F.xxhash64(F.lit(i), F.substring("_regs", 2 * i + 1, 2 * BAND)) for i in range(0, REGISTERS, BAND)
     ]
     bands = reps.select("node", F.explode(F.array(*keys)).alias("key"))
-    pivots = bands.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("_members")).where("_members > 1")
-    shared = cut_lineage(bands.join(pivots, "key").select("key", "pivot", "node"))
+    filled = bands.groupBy("key").agg(F.count("*").alias("_members")).where("_members > 1")
+    shared = cut_lineage(bands.join(filled, "key").select("key", "node", "_members"))
+    score = shared.groupBy("node").agg(F.sum("_members").alias("score"))
+    central = shared.join(score, "node").groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("c"))
+    grouped = shared.join(central, "key").where("node <> c").select("c", F.col("node").alias("x")).distinct()
+    grouped = cut_lineage(grouped)
 
     def links(pairs: DataFrame) -> DataFrame:
         likely = _could_reach(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), reps, percent)
@@ -159,16 +207,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # Rows of one doc_id with different texts belong together.
     of_id = members.where("node is not null").groupBy("_id").agg(F.min("node").alias("a"), F.max("node").alias("_top")).where("a <> _top")
     same_id = of_id.select("_id", "a").join(members.select("_id", F.col("node").alias("b")), "_id").where("a <> b").select("a", "b")
-
-    found = cut_lineage(links(shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))).unionByName(same_id))
-    placed = shared.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    per_key = placed.groupBy("key", "component").agg(F.count("*").alias("_c"))
-    largest = per_key.groupBy("key").agg(F.max_by("component", F.struct("_c", "component")).alias("largest"), F.count("*").alias("_parts"))
-    open_keys = placed.join(largest.where("_parts > 1"), "key").where("node <> pivot")
-    rest = open_keys.where("component <> largest").select("key", F.col("node").alias("a"), F.col("component").alias("_ca"))
-    others = open_keys.select(F.col("key").alias("_k"), F.col("node").alias("b"), F.col("component").alias("_cb"), (F.col("component") == F.col("largest")).alias("_top"))
-    across = rest.join(others, (F.col("key") == F.col("_k")) & (F.col("_ca") != F.col("_cb")) & (F.col("_top") | (F.col("a") < F.col("b"))))
-    joined = components(found.unionByName(links(across.select("a", "b"))))
+    found = cut_lineage(links(grouped.select(F.col("c").alias("a"), F.col("x").alias("b"))).unionByName(same_id))
+
+    parts = cut_lineage(components(found))
+    part_of = lambda x, name: parts.select(F.col("node").alias(x), F.col("component").alias(name))
+    placed = grouped.join(part_of("x", "p_x"), "x", "left").join(part_of("c", "p_c"), "c", "left")
+    placed = placed.withColumn("apart", F.coalesce("p_x", "x") != F.coalesce("p_c", "c")).select("c", "x", "apart")
+    count = placed.groupBy("c").agg(F.count("*").alias("_all"), F.sum(F.col("apart").cast("long")).alias("_apart"))
+    open_groups = cut_lineage(placed.join(count.where("_all > 1 and _apart > 0"), "c"))
+    few = open_groups.where(F.col("_all") <= SMALL_GROUP)
+    others = few.select(F.col("c").alias("_c"), F.col("x").alias("b"), F.col("apart").alias("_b_apart"))
+    near = few.where("apart").select("c", F.col("x").alias("a")).join(others, (F.col("c") == F.col("_c")) & ((F.col("a") < F.col("b")) | ~F.col("_b_apart")))
+    many = open_groups.where(F.col("_all") > SMALL_GROUP).select("c", "x", "apart")
+    possible = near.select("a", "b").unionByName(_sharing(many, reps, docs, k, percent))
+    apart = possible.join(part_of("a", "p_a"), "a", "left").join(part_of("b", "p_b"), "b", "left")
+    apart = apart.where(F.coalesce("p_a", "a") != F.coalesce("p_b", "b")).select("a", "b")
+    joined = components(found.unionByName(links(apart)))
 
     whole = members.join(joined, "node", "left").withColumn("_to", F.coalesce("component", "node", "_id"))
     return whole.select(

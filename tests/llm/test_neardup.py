@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from strata.llm import neardup
 from strata.llm.words import shingles, spaced
@@ -47,10 +48,14 @@ def test_groups_match_brute_force(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
-def test_buckets_that_hold_several_components(spark, monkeypatch):
-    """With one register a band almost all texts share buckets: no link may depend on the pivots."""
+@pytest.mark.parametrize("small", [0, 32, 10**6])
+def test_buckets_that_hold_several_components(spark, monkeypatch, small):
+    """With one register a band almost all texts share buckets: no link may
+    depend on which class is a bucket's centre, nor on how the rest is searched."""
     monkeypatch.setattr(neardup, "BAND", 1)
-    texts = _texts()[:120]
+    monkeypatch.setattr(neardup, "SMALL_GROUP", small)
+    texts = _texts()[:130]
+    texts += [" ".join(t.split()[: len(t.split()) * 9 // 10]) for t in texts[:40] if t]
     docs = brute.frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 2).collect()}
     assert [got[i] for i in range(len(texts))] == brute.groups(texts, 2)
