@@ -1,8 +1,7 @@
 """Environment configuration: where each layer lives.
 
-The reference picks paths from a notebook widget and an external-location
-lookup; here one frozen dataclass carries the environment, the storage root
-and the database, and every path is derived from it.
+One frozen dataclass carries the environment, the storage root and the
+database, and every path is derived from it.
 """
 
 from __future__ import annotations
@@ -21,13 +20,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder on the storage every executor shares.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster), then from the
-    SparkContext checkpoint dir; only when neither is set (local tests) is a
-    private temporary folder created and registered as the checkpoint dir.
+    SparkContext checkpoint dir.  Only a local session (one machine) may have
+    neither: it gets a private temporary folder, registered as the checkpoint
+    dir.  On a cluster that is an error, since other machines cannot see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         root = tempfile.mkdtemp(prefix="strata-")
         spark.sparkContext.setCheckpointDir(root)
     root = root.rstrip("/")
@@ -76,6 +79,12 @@ class LayerConfig:
     def gold(self, table: str) -> str:
         return f"{self.root}/medallion/gold/{table}"
 
+    def silver_keys(self, table: str) -> str:
+        return f"{self.root}/medallion/silver_keys/{table}"
+
+    def report(self, name: str) -> str:
+        return f"{self.root}/quality/{name}"
+
     def quarantine(self) -> str:
         return f"{self.root}/quality/{self.quarantine_table}"
 

@@ -71,11 +71,18 @@ def matches_strftime(col: Column | str, fmt: str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     regex, groups = compile_strftime(fmt)
     ok = c.rlike(regex)
-    if {"Y", "m", "d"} <= groups.keys():
+    if {"m", "d"} <= groups.keys():
         # Calendar check (2/30, or 2/29 of a common year, must fail): one more
         # regex pass rewrites the matched text to "Y-m-d" through group
-        # references, instead of one extract per component.
-        ymd_ref = f"${groups['Y']}-${groups['m']}-${groups['d']}"
-        ymd = F.regexp_replace(F.regexp_replace(c, regex, ymd_ref), " ", "")
-        ok = ok & F.try_to_date(ymd, "yyyy-M-d").isNotNull()
+        # references, instead of one extract per component.  As in strptime, a
+        # two-digit year from 69 on is 19xx, and no year at all is 1900.
+        day = f"-${groups['m']}-${groups['d']}"
+        if "Y" in groups:
+            ymd = F.regexp_replace(c, regex, f"${groups['Y']}{day}")
+        elif "y" in groups:
+            short = F.regexp_replace(c, regex, f"${groups['y']}{day}")
+            ymd = F.concat(F.when(F.substring(short, 1, 2) >= "69", F.lit("19")).otherwise(F.lit("20")), short)
+        else:
+            ymd = F.regexp_replace(c, regex, f"1900{day}")
+        ok = ok & F.try_to_date(F.regexp_replace(ymd, " ", ""), "yyyy-M-d").isNotNull()
     return F.when(c.isNotNull(), ok)

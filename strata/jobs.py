@@ -2,7 +2,7 @@
 
     spark-submit --py-files strata.zip strata/jobs.py --root s3a://lake/traffic --env prod setup
     ... bronze | silver [--dedup-horizon "7 days"] | gold | all | monitor
-    ... recover --table raw_traffic --rule "[Count_date] expect_..." [--purge]
+    ... recover --table raw_traffic --rule "[Count_date] expect_..." [--repair "Count_date=..."] [--purge]
 
 Locally: ``python -m strata.jobs <same arguments>``.  ``--root`` defaults to
 ``<spark.checkpoint.dir>/strata/<env>``.  Every stream job is an available-now
@@ -15,21 +15,24 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.config import LayerConfig, shared_dir
-from strata.operators.monitor import batch_quality
+from strata.operators.monitor import batch_quality, table_quality
 from strata.operators.quarantine import purge_quarantine, recover_quarantine
 from strata.operators.rules import suite_from_spec
 from strata.plans import medallion, roads, traffic
 from strata.schemas import ROADS_BRONZE_SCHEMA, TRAFFIC_BRONZE_SCHEMA
+from strata.session import get_session
 from strata.sinks.tables import layer_exists
 from strata.streaming.ingest import run_available_now
 
 _FEEDS = {
-    traffic.TABLE: (traffic.SUITE, TRAFFIC_BRONZE_SCHEMA),
-    roads.TABLE: (roads.SUITE, ROADS_BRONZE_SCHEMA),
+    traffic.TABLE: (medallion.TRAFFIC_SUITE, TRAFFIC_BRONZE_SCHEMA),
+    roads.TABLE: (medallion.ROADS_SUITE, ROADS_BRONZE_SCHEMA),
 }
 
 
@@ -40,18 +43,27 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--database", default=None, help="catalog database (default traffic_<env>_db)")
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("setup", help="create the database, bronze and quarantine tables")
-    sub.add_parser("bronze", help="landing CSV -> validated bronze + quarantine")
+    bronze = sub.add_parser("bronze", help="landing CSV -> validated bronze + quarantine")
+    bronze.add_argument("--on-error", default="raise", choices=["raise", "pass_through"])
     silver = sub.add_parser("silver", help="bronze -> silver (dedup, nulls, counts, names)")
     silver.add_argument("--no-dedup", action="store_true")
     silver.add_argument("--dedup-horizon", default=None, help='bound dedup state, e.g. "7 days"')
     sub.add_parser("gold", help="silver -> gold")
     run_all = sub.add_parser("all", help="bronze, silver and gold in order")
     run_all.add_argument("--dedup-horizon", default=None)
+    run_all.add_argument("--on-error", default="raise", choices=["raise", "pass_through"])
     sub.add_parser("monitor", help="row counts of every layer table")
     rec = sub.add_parser("recover", help="re-validate and re-insert quarantined rows")
     rec.add_argument("--table", required=True, choices=sorted(_FEEDS))
     rec.add_argument("--rule", default=None, help="only rows that broke this rule label")
-    rec.add_argument("--batch-id", default="recovery")
+    rec.add_argument("--batch-id", default=None, help="a new label (default: made from the recovered rows)")
+    rec.add_argument(
+        "--repair",
+        action="append",
+        default=[],
+        metavar="COLUMN=SQL",
+        help="set a column to a SQL expression before revalidation (may be repeated)",
+    )
     rec.add_argument("--purge", action="store_true", help="remove re-inserted rows from the quarantine")
     rec.add_argument(
         "--suite-spec",
@@ -61,6 +73,14 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _repair(assignments: list[str]) -> Callable[[DataFrame], DataFrame] | None:
+    """``COLUMN=SQL`` assignments as one step over the quarantined rows."""
+    if not assignments:
+        return None
+    columns = dict(a.split("=", 1) for a in assignments)
+    return lambda rows: rows.withColumns({c: F.expr(sql) for c, sql in columns.items()})
+
+
 def config(spark: SparkSession, args: argparse.Namespace) -> LayerConfig:
     root = args.root or shared_dir(spark, "strata", args.env)
     # One metastore may serve every environment: keep their tables apart.
@@ -70,11 +90,11 @@ def config(spark: SparkSession, args: argparse.Namespace) -> LayerConfig:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"strata-{args.command}").getOrCreate()
+    spark = spark or get_session(app_name=f"strata-{args.command}")
     cfg = config(spark, args)
     medallion.setup_tables(spark, cfg)
     if args.command == "bronze":
-        for q in medallion.start_bronze_streams(spark, cfg):
+        for q in medallion.start_bronze_streams(spark, cfg, on_error=args.on_error):
             run_available_now(q)
     elif args.command == "silver":
         for q in medallion.start_silver_streams(
@@ -86,21 +106,25 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             run_available_now(q)
         medallion.refresh_gold_reports(spark, cfg)
     elif args.command == "all":
-        medallion.run_streams(spark, cfg, dedup_horizon=args.dedup_horizon)
+        medallion.run_streams(spark, cfg, dedup_horizon=args.dedup_horizon, on_error=args.on_error)
     elif args.command == "monitor":
-        medallion.monitor_tables(spark, cfg).show(truncate=False)
-        targets = {t: spark.table(cfg.table(t)) for t in _FEEDS if layer_exists(spark, cfg.bronze(t))}
-        if targets and layer_exists(spark, cfg.quarantine()):
-            batch_quality(targets, spark.table(cfg.table(cfg.quarantine_table))).orderBy(
-                "table_name", "batch_id"
-            ).show(truncate=False)
+        counts = medallion.monitor_tables(spark, cfg)
+        counts.show(counts.count(), truncate=False)  # one row a layer
+        # Every batch is in the written report; the console gets one row a table.
+        report = cfg.report("batch_quality")
+        targets = {t: spark.table(cfg.table(t)) for t in _FEEDS}
+        quarantine = spark.table(cfg.table(cfg.quarantine_table))
+        batch_quality(targets, quarantine).write.mode("overwrite").parquet(report)
+        table_quality(spark.read.parquet(report)).show(len(_FEEDS), truncate=False)
+        print(f"rates of all batches: {report}")
     elif args.command == "recover":
         if not layer_exists(spark, cfg.quarantine()):
             return 0  # nothing has been quarantined yet
         suite, schema = _FEEDS[args.table]
         if args.suite_spec:
-            with open(args.suite_spec, encoding="utf-8") as fh:
-                suite = suite_from_spec(args.table, json.load(fh))
+            # Through Spark, so it may lie on the shared storage.
+            spec = spark.read.text(args.suite_spec, wholetext=True).first()[0]
+            suite = suite_from_spec(args.table, json.loads(spec))
         qtable = cfg.table(cfg.quarantine_table)
         medallion.refresh_partitions(spark, qtable)
         keys = recover_quarantine(
@@ -112,6 +136,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             suite=suite,
             target_path=cfg.bronze(args.table),
             batch_id=args.batch_id,
+            repair=_repair(args.repair),
             quarantine_table=qtable,
         )
         if args.purge:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.schemas import AUDIT_COLUMNS
@@ -16,6 +16,23 @@ def payload_columns(df: DataFrame, exclude: Sequence[str] = AUDIT_COLUMNS) -> li
     return [c for c in df.columns if c not in skip]
 
 
+def payload_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """A 256-bit digest of a record: equal records, and only those, share it.
+
+    Keys of 32 bytes instead of whole records, for dedup state and indexes.
+    Zeros of either sign are one value, as in ``dropDuplicates``.
+    """
+    cols = list(columns) if columns else payload_columns(df)
+    kinds = dict(df.dtypes)
+
+    def plain(c: str) -> Column:
+        if kinds[c] in ("double", "float"):
+            return F.col(c) + F.lit(0.0)
+        return F.col(c).cast("string") if kinds[c].startswith("timestamp") else F.col(c)
+
+    return F.unhex(F.sha2(F.to_json(F.struct(*[plain(c).alias(c) for c in cols])), 256))
+
+
 def dedup_full_row(df: DataFrame, exclude: Sequence[str] = AUDIT_COLUMNS) -> DataFrame:
     """Drop repeated records, comparing payload columns only.
 

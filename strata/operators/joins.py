@@ -1,4 +1,4 @@
-"""Joins against pre-aggregated dimensions, broadcast only when bounded."""
+"""Joins against pre-aggregated dimensions."""
 
 from __future__ import annotations
 
@@ -7,23 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a narrow aggregate are a few dozen bytes; one million of them stay
-# far below executor memory, so this is the broadcast ceiling.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check is ``limit(max_rows + 1).count()``, so it stops early on a
-    large side.  Beyond the bound the plain DataFrame is returned and the
-    join falls back to a shuffle join (AQE may still switch it at run time
-    from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def aggregate_dimension(dim: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """One row per key: a non-unique dimension would multiply fact rows."""
     return dim.groupBy(*keys).agg(*aggs)
@@ -36,21 +19,20 @@ def join_aggregated(
     dim_keys: Sequence[str],
     aggs: Sequence[Column],
     how: str = "left",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Facts joined to the dimension aggregated on its join keys.
 
     The dimension is reduced to one row per key first (partial aggregate, so
-    a hot key is combined map-side), then broadcast if its key count is
-    bounded; the facts are never shuffled in that case.
+    a hot key is combined map-side).  How the join runs is left to Spark: it
+    broadcasts the reduced side when its measured size allows, and otherwise
+    splits a hot key's facts (adaptive skew join).
     """
     agg = aggregate_dimension(dim, dim_keys, aggs)
     renamed = agg
     for fk, dk in zip(fact_keys, dim_keys):
         if fk != dk:
             renamed = renamed.withColumnRenamed(dk, fk)
-    side = broadcast_if_bounded(renamed, max_broadcast_rows)
-    return facts.join(side, on=list(fact_keys), how=how)
+    return facts.join(renamed, on=list(fact_keys), how=how)
 
 
 def anti_join(df: DataFrame, remove: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -69,6 +69,15 @@ def quality_rate(summary: DataFrame) -> DataFrame:
     )
 
 
+def table_quality(batches: DataFrame) -> DataFrame:
+    """``batch_quality`` rolled up to one row per table."""
+    sums = batches.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n_batches"), *[F.sum(c).alias(c) for c in ("n_input", "n_good", "n_quarantined")]
+    )
+    rate = F.round(F.try_divide(F.col("n_good").cast("double"), F.col("n_input").cast("double")), 6)
+    return sums.withColumn("pass_rate", rate)
+
+
 def batch_quality(targets: Mapping[str, DataFrame], quarantine: DataFrame, batch_column: str = "_batch_id") -> DataFrame:
     """Pass rate per (table, batch) from the written layers.
 

@@ -65,6 +65,17 @@ def quarantine_whole_batch(df: DataFrame, table_name: str, batch_id) -> DataFram
     return quarantine_layout(df, table_name, batch_id, list(df.columns), F.lit(TABLE_LEVEL_ERROR))
 
 
+def quarantine_lines(refused: DataFrame, table_name: str, batch_id) -> DataFrame:
+    """Refused landing lines (label, raw) in the quarantine layout."""
+    return refused.select(
+        F.lit(table_name).alias("table_name"),
+        F.lit(str(batch_id)).alias("gx_batch_id"),
+        F.col("label").alias("violated_rules"),
+        F.col("raw").alias("raw_data"),
+        F.current_timestamp().alias("ingestion_time"),
+    )
+
+
 def rule_failure_counts(df: DataFrame, suite: Suite) -> DataFrame:
     """Per rule: failing rows and success flag, from a single aggregate.
 
@@ -119,12 +130,13 @@ def violations_regroup(long: DataFrame, keys: list[str], label: str = "label") -
 
 
 def violations_join_back(df: DataFrame, regrouped: DataFrame, keys: list[str]) -> DataFrame:
-    """Bad rows joined with their regrouped rule text (left join on keys).
+    """All rows with their regrouped rule text, NULL for rows that broke none
+    (left join on keys).
 
     Both sides are keyed by a unique row key, so the join is a plain
     sort-merge (or AQE-broadcast when the violation side turns out small).
     """
-    return df.join(regrouped, on=keys, how="inner")
+    return df.join(regrouped, on=keys, how="left")
 
 
 def summarize_split(annotated: DataFrame, table_name: str, column: str = VIOLATIONS) -> DataFrame:

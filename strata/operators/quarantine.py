@@ -6,11 +6,14 @@ of one-off batch loads.  Order of work per batch:
 1. empty batch: return at once (one ``isEmpty`` probe);
 2. table rules (column set) from the schema: a failure quarantines the whole
    batch with the table-level label, even if row rules fail too;
-3. row rules as one projection; an analysis error (a rule on a column the
-   batch lacks) either raises or, with ``on_error="pass_through"``, lands
-   the whole batch in the target unvalidated;
+3. row rules as one projection; an error of the validation either raises or,
+   with ``on_error="pass_through"``, lands the whole batch unvalidated;
 4. quarantine rows first, then good rows; both writes replace only this
-   batch's partition, so a retry after a failure between them is exact.
+   batch's partition, and a side that has no rows (any more) is cleared, so a
+   retry is exact, also with another suite.
+
+A batch label must belong to one writer: loads, streams and recoveries each
+make labels of their own (see ``strata.labels``).
 """
 
 from __future__ import annotations
@@ -19,22 +22,32 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata import labels
 from strata.config import fresh_dir
 from strata.operators.quality import (
     VIOLATIONS,
     annotate,
+    quarantine_lines,
     quarantine_rows,
     quarantine_whole_batch,
     split,
 )
-from strata.operators.joins import anti_join
 from strata.operators.rules import Suite
-from strata.sinks.tables import read_layer, write_batch, write_quarantine
+from strata.schemas import BATCH_COLUMN, EXTRACT_TIME
+from strata.sinks.tables import (
+    drop_partition,
+    evolve_table,
+    layer_exists,
+    partition_path,
+    path_exists,
+    read_layer,
+    write_batch,
+    write_quarantine,
+)
 
 QUARANTINE_KEY = ("table_name", "gx_batch_id", "raw_data")
 
@@ -56,41 +69,58 @@ def validate_and_write(
     quarantine_path: str,
     table_name: str | None = None,
     on_error: str = "raise",
+    refused: DataFrame | None = None,
+    target_table: str | None = None,
 ) -> BatchOutcome:
-    """Validate one batch and write it to its target and the quarantine."""
+    """Validate one batch and write it to its target and the quarantine.
+
+    ``refused`` are lines that never became rows (``label, raw``); they go to
+    the quarantine with the batch.  With ``target_table`` the catalog table
+    gains the columns that the batch has and it lacks.
+    """
     if on_error not in ("raise", "pass_through"):
         raise ValueError("on_error must be 'raise' or 'pass_through'")
-    bid = str(batch_id)
-    name = table_name or suite.table
-    if df.isEmpty():
+    spark, bid, name = df.sparkSession, str(batch_id), table_name or suite.table
+    empty = df.isEmpty()
+    lines = None if refused is None or refused.isEmpty() else quarantine_lines(refused, name, bid)
+    if empty and lines is None:
         return BatchOutcome(bid, skipped=True)
 
+    def write(bad: DataFrame | None, good: DataFrame | None) -> None:
+        bad = lines if bad is None else bad if lines is None else bad.unionByName(lines)
+        if bad is None:
+            drop_partition(spark, quarantine_path, {"table_name": name, "gx_batch_id": bid})
+        else:
+            write_quarantine(bad, quarantine_path)
+        if good is None:
+            drop_partition(spark, target_path, {BATCH_COLUMN: bid})
+        else:
+            write_batch(good, target_path, bid)
+            if target_table:
+                evolve_table(spark, target_table, good.schema)
+
+    if empty:
+        write(None, None)
+        return BatchOutcome(bid)
     if suite.table_failures(df.columns):
-        write_quarantine(quarantine_whole_batch(df, name, bid), quarantine_path)
+        write(quarantine_whole_batch(df, name, bid), None)
         return BatchOutcome(bid, table_level=True)
-
-    present = {c.lower() for c in df.columns}
-    missing = [r.column for r in suite.row_rules if r.column.lower() not in present]
     try:
-        if missing:
-            raise AnalysisException(f"rule columns missing from the batch: {missing}")
-        annotated = annotate(df, suite)
-        annotated.schema  # noqa: B018 - force analysis so missing columns raise here
-    except AnalysisException:
+        # Several jobs read the batch; keep it so the source is scanned once.
+        # MEMORY_AND_DISK: a lost block is recomputed from the (replayable) source.
+        annotated = annotate(df, suite).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, bad = split(annotated)
+            write(
+                None if bad.isEmpty() else quarantine_rows(annotated, name, bid), None if good.isEmpty() else good
+            )
+        finally:
+            annotated.unpersist()
+    except Exception:
         if on_error == "raise":
             raise
-        write_batch(df, target_path, bid)
+        write(None, df)  # a failing storage fails here again, and raises
         return BatchOutcome(bid, passed_through=True)
-
-    # Two writes read the batch; keep it so the source is scanned once.
-    # MEMORY_AND_DISK: a lost block is recomputed from the (replayable) source.
-    annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_quarantine(quarantine_rows(annotated, name, bid), quarantine_path)
-        good, _ = split(annotated)
-        write_batch(good, target_path, bid)
-    finally:
-        annotated.unpersist()
     return BatchOutcome(bid)
 
 
@@ -106,9 +136,9 @@ def select_quarantined(quarantine: DataFrame, table_name: str, rule: str | None
 def parse_quarantined(selected: DataFrame, schema: StructType, keep_key: bool = True) -> DataFrame:
     """``raw_data`` back into typed columns (fields absent in the JSON are
     NULL).  With ``keep_key`` the quarantine key rides along as ``_q_*``."""
-    parsed = F.from_json(F.col("raw_data"), schema).alias("parsed_data")
+    parsed = F.from_json(F.col("raw_data"), schema).alias("_row")
     keys = [F.col(k).alias(f"_q_{k}") for k in QUARANTINE_KEY] if keep_key else []
-    return selected.select(*keys, parsed).select(*[f"_q_{k}" for k in QUARANTINE_KEY if keep_key], "parsed_data.*")
+    return selected.select(*keys, parsed).select(*[f"_q_{k}" for k in QUARANTINE_KEY if keep_key], "_row.*")
 
 
 def recover_quarantine(
@@ -120,17 +150,21 @@ def recover_quarantine(
     schema: StructType,
     suite: Suite,
     target_path: str,
-    batch_id: str = "recovery",
+    batch_id: str | None = None,
     repair: Callable[[DataFrame], DataFrame] | None = None,
     quarantine_table: str | None = None,
 ) -> DataFrame:
     """Re-ingest quarantined rows of one table (and rule).
 
     The rows are parsed, optionally repaired, revalidated with the table's
-    suite, and the ones that now pass are written to the target as batch
-    ``batch_id``.  Rows that still fail stay in the quarantine untouched.
-    Returns the quarantine keys of the re-inserted rows (for ``purge``),
-    read back from a written table so the caller never re-derives them.
+    suite, and the ones that now pass are written to the target as one batch.
+    Its label comes from the recovered rows: the same recovery tried again
+    replaces itself, any other gets a label of its own.  A label given by the
+    caller must be new.  The ingest time becomes that of the recovery, so the
+    rows count as new in the layers above, whose dedup may have a horizon.
+    Rows that still fail stay in the quarantine untouched.  Returns the
+    quarantine keys of the re-inserted rows (for ``purge``), read back from a
+    written table so the caller never re-derives them.
 
     With ``quarantine_table`` the quarantine is read through the catalog
     (``spark.table``), otherwise by path.
@@ -143,12 +177,20 @@ def recover_quarantine(
     annotated = annotate(rows, suite).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, _ = split(annotated)
-        write_batch(good.drop(*key_cols), target_path, batch_id)
         keys_path = fresh_dir(spark, "recovered-keys")
         good.select(*[F.col(f"_q_{k}").alias(k) for k in QUARANTINE_KEY]).write.parquet(keys_path)
+        keys = spark.read.schema(quarantine.select(*QUARANTINE_KEY).schema).parquet(keys_path)
+        label = labels.recovery(keys) if batch_id is None else batch_id
+        if batch_id is not None and path_exists(spark, partition_path(spark, target_path, {BATCH_COLUMN: label})):
+            raise ValueError(f"batch {label!r} exists already; a recovery needs a label of its own")
+        if not keys.isEmpty():
+            good = good.drop(*key_cols)
+            if EXTRACT_TIME in good.columns:
+                good = good.withColumn(EXTRACT_TIME, F.current_timestamp())
+            write_batch(good, target_path, label)
     finally:
         annotated.unpersist()
-    return spark.read.parquet(keys_path)
+    return keys
 
 
 def purge_quarantine(
@@ -157,51 +199,30 @@ def purge_quarantine(
     """Remove re-inserted rows from the quarantine (parquet has no DELETE).
 
     Only the (table_name, gx_batch_id) partitions that hold recovered rows
-    are rewritten: their remaining rows (anti-join on the full quarantine
-    key) go to a staging table first, because a path must not be overwritten
-    by a plan that reads it; partitions left empty are removed.
+    are rewritten: their remaining rows go to a staging table first, because a
+    path must not be overwritten by a plan that reads it; partitions left
+    empty are removed.  Rows are matched by a digest of their text, so the
+    recovered texts are not shuffled.
     """
     quarantine = read_layer(spark, quarantine_path)
     parts = recovered_keys.select("table_name", "gx_batch_id").distinct()
     touched = quarantine.join(parts, on=["table_name", "gx_batch_id"], how="left_semi")
-    remaining = anti_join(touched, recovered_keys, QUARANTINE_KEY)
+    digest = F.sha2(F.coalesce("raw_data", F.lit("")), 256)
+    done = recovered_keys.select("table_name", "gx_batch_id", digest.alias("_digest")).distinct()
+    remaining = touched.withColumn("_digest", digest).join(done, ["table_name", "gx_batch_id", "_digest"], "left_anti").drop("_digest")
     staging = fresh_dir(spark, "quarantine-staging")
     remaining.write.partitionBy("table_name", "gx_batch_id").parquet(staging)
 
-    # Explicit schema: an empty staging table has no file to infer it from.
-    kept = spark.read.schema(quarantine.schema).parquet(staging)
+    kept = read_layer(spark, staging) if layer_exists(spark, staging) else remaining.limit(0)
     emptied = parts.join(
         kept.select("table_name", "gx_batch_id").distinct(), ["table_name", "gx_batch_id"], "left_anti"
     )
-    # The emptied partition list is bounded by the number of batches, not rows.
+    # A folder each, and as many as recovered batches; rows are never collected.
     for row in emptied.collect():
-        spec = {"table_name": row[0], "gx_batch_id": row[1]}
-        if quarantine_table:
-            _clear_partition_sql(spark, quarantine_table, spec)
-        else:
-            _delete_partition(spark, quarantine_path, spec)
+        drop_partition(spark, quarantine_path, {"table_name": row[0], "gx_batch_id": row[1]}, quarantine_table)
     write_quarantine(kept.select(*quarantine.columns), quarantine_path)
-
-
-def _clear_partition_sql(spark: SparkSession, table: str, spec: dict[str, str]) -> None:
-    """Empty one partition of a catalog table: a static-partition overwrite
-    with no rows removes the partition's files."""
-    part = ", ".join(f"{k} = '{v.replace(chr(39), chr(39) * 2)}'" for k, v in spec.items())
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({part}) "
-        "SELECT CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS TIMESTAMP) WHERE false"
-    )
-
-
-def _delete_partition(spark: SparkSession, table_path: str, spec: dict[str, str]) -> None:
-    """Delete one partition directory through the Hadoop FileSystem API
-    (path-only tables; catalog tables use ``_clear_partition_sql``)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    # Batch ids and table names are plain identifiers, so no path escaping.
-    sub = "/".join(f"{k}={v}" for k, v in spec.items())
-    path = jvm.org.apache.hadoop.fs.Path(f"{table_path}/{sub}")
-    path.getFileSystem(conf).delete(path, True)
+    if quarantine_table:
+        spark.catalog.refreshTable(quarantine_table)
 
 
 __all__ = [

@@ -8,10 +8,11 @@ DataFrame's column list on the driver, which costs no job.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from strata.functions.strftime import compile_strftime, matches_strftime
 
@@ -20,6 +21,7 @@ from strata.functions.strftime import compile_strftime, matches_strftime
 NOT_NULL = "expect_column_values_to_not_be_null"
 BETWEEN = "expect_column_values_to_be_between"
 STRFTIME = "expect_column_values_to_match_strftime_format"
+LENGTH = "expect_column_value_lengths_to_be_between"
 COLUMN_SET = "expect_table_columns_to_match_set"
 TABLE_LEVEL_ERROR = "Table-level Schema/Count Error"
 TABLE_LABEL = "Table"
@@ -40,9 +42,6 @@ class RowRule:
     def failed(self) -> Column:  # pragma: no cover - abstract
         raise NotImplementedError
 
-    def sql_failed(self) -> str:  # pragma: no cover - abstract
-        """The same predicate as Spark SQL text (for ``expr`` users)."""
-        raise NotImplementedError
 
 
 @dataclass(frozen=True)
@@ -52,8 +51,6 @@ class NotNull(RowRule):
     def failed(self) -> Column:
         return F.col(self.column).isNull()
 
-    def sql_failed(self) -> str:
-        return f"`{self.column}` IS NULL"
 
 
 @dataclass(frozen=True)
@@ -79,15 +76,6 @@ class Between(RowRule):
             bad = c > self.max_value
         return F.coalesce(bad, F.lit(False))
 
-    def sql_failed(self) -> str:
-        c = f"`{self.column}`"
-        if self.min_value is not None and self.max_value is not None:
-            bad = f"NOT ({c} BETWEEN {self.min_value} AND {self.max_value})"
-        elif self.min_value is not None:
-            bad = f"{c} < {self.min_value}"
-        else:
-            bad = f"{c} > {self.max_value}"
-        return f"COALESCE({bad}, false)"
 
 
 @dataclass(frozen=True)
@@ -105,21 +93,18 @@ class MatchesStrftime(RowRule):
         c = F.col(self.column)
         return c.isNotNull() & ~F.coalesce(matches_strftime(c, self.strftime_format), F.lit(False))
 
-    def sql_failed(self) -> str:
-        regex, groups = compile_strftime(self.strftime_format)
-        c = f"`{self.column}`"
-        rx = _sql_string(regex)
-        ok = f"{c} RLIKE {rx}"
-        if {"Y", "m", "d"} <= groups.keys():
-            ref = _sql_string(f"${groups['Y']}-${groups['m']}-${groups['d']}")
-            ymd = f"regexp_replace(regexp_replace({c}, {rx}, {ref}), ' ', '')"
-            ok = f"({ok} AND try_to_date({ymd}, 'yyyy-M-d') IS NOT NULL)"
-        return f"({c} IS NOT NULL AND NOT COALESCE({ok}, false))"
 
 
-def _sql_string(text: str) -> str:
-    """A Spark SQL string literal (backslashes and quotes escaped)."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+@dataclass(frozen=True)
+class MaxLength(RowRule):
+    """String of at most ``max_value`` characters.  NULL values pass."""
+
+    max_value: int = 255
+
+    rule_type = LENGTH
+
+    def failed(self) -> Column:
+        return F.coalesce(F.char_length(F.col(self.column)) > self.max_value, F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -166,12 +151,13 @@ class Suite:
         cols = list(columns)
         return [r.label for r in self.table_rules if not r.check(cols)["success"]]
 
-    def sql_violations(self) -> str:
-        """``violations()`` as Spark SQL text, for ``spark.sql`` / ``selectExpr``."""
-        checks = [f"CASE WHEN {r.sql_failed()} THEN {_sql_string(r.label)} END" for r in self.row_rules]
-        if not checks:
-            return "CAST(array() AS array<string>)"
-        return f"array_compact(array({', '.join(checks)}))"
+    def with_lengths(self, schema: StructType, max_value: int = 255) -> Suite:
+        """The suite and, after its rules, a length rule for every string
+        column that has none: what ``VARCHAR(n)`` would enforce, as a
+        quarantine instead of a failed write."""
+        have = {r.column.lower() for r in self.rules if isinstance(r, MaxLength)}
+        strings = [f.name for f in schema.fields if isinstance(f.dataType, StringType) and f.name.lower() not in have]
+        return replace(self, rules=(*self.rules, *(MaxLength(c, max_value) for c in strings)))
 
     def violations(self) -> Column:
         """``array<string>`` of the labels of the row rules a row breaks."""
@@ -185,6 +171,7 @@ _BUILDERS = {
     NOT_NULL: lambda kw: NotNull(kw["column"]),
     BETWEEN: lambda kw: Between(kw["column"], kw.get("min_value"), kw.get("max_value")),
     STRFTIME: lambda kw: MatchesStrftime(kw["column"], kw["strftime_format"]),
+    LENGTH: lambda kw: MaxLength(kw["column"], kw["max_value"]),
     COLUMN_SET: lambda kw: ColumnSet(tuple(kw["column_set"]), kw.get("exact_match", True)),
 }
 
@@ -213,6 +200,8 @@ def suite_to_spec(suite: Suite) -> list[dict]:
         elif isinstance(r, Between):
             kw = {"column": r.column, "min_value": r.min_value, "max_value": r.max_value}
             kw = {k: v for k, v in kw.items() if v is not None}
+        elif isinstance(r, MaxLength):
+            kw = {"column": r.column, "max_value": r.max_value}
         elif isinstance(r, MatchesStrftime):
             kw = {"column": r.column, "strftime_format": r.strftime_format}
         else:

@@ -7,32 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import MAX_BROADCAST_ROWS, join_aggregated
+from strata.operators.joins import join_aggregated
 from strata.plans.traffic import INTENSITY, MOTOR_COUNT
 
 TRAFFIC_KEYS = ("Region_id", "Road_Category_ID")
 ROADS_KEYS = ("Region_ID", "Road_Category_Id")
 
 
-def traffic_roads_join(
-    gold_traffic: DataFrame, silver_roads: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+# Statistics of one (region, category) over its roads: name and SQL.
+ROAD_STATISTICS = (
+    ("n_roads", "count(1)"),
+    ("road_link_km_avg", "avg(Total_Link_Length_Km)"),
+    ("road_link_km_sum", "sum(Total_Link_Length_Km)"),
+    ("road_vehicles_sum", "sum(All_Motor_Vehicles)"),
+)
+
+
+def traffic_roads_join(gold_traffic: DataFrame, silver_roads: DataFrame) -> DataFrame:
     """Every traffic row with the road statistics of its (region, category).
 
     (region, category) is not a key of the roads data -- several roads
     share it -- so the roads side is aggregated to one row per key before
-    the join; a raw join would multiply each traffic row.  The aggregate has
-    at most one row per key and is broadcast when that count is bounded.
+    the join; a raw join would multiply each traffic row.
     """
-    aggs = [
-        F.count(F.lit(1)).alias("n_roads"),
-        F.avg("Total_Link_Length_Km").alias("road_link_km_avg"),
-        F.sum("Total_Link_Length_Km").alias("road_link_km_sum"),
-        F.sum("All_Motor_Vehicles").alias("road_vehicles_sum"),
-    ]
-    return join_aggregated(
-        gold_traffic, silver_roads, TRAFFIC_KEYS, ROADS_KEYS, aggs, how="left", max_broadcast_rows=max_broadcast_rows
-    )
+    aggs = [F.expr(sql).alias(name) for name, sql in ROAD_STATISTICS]
+    return join_aggregated(gold_traffic, silver_roads, TRAFFIC_KEYS, ROADS_KEYS, aggs, how="left")
+
+
+def traffic_roads_sql(gold_traffic: str, silver_roads: str) -> str:
+    """The same join over two catalog tables, as the text of a view: it always
+    shows the roads known now, whatever order the feeds arrived in."""
+    keys = ", ".join(ROADS_KEYS)
+    stats = ", ".join(f"{sql} AS {name}" for name, sql in ROAD_STATISTICS)
+    on = " AND ".join(f"t.{a} = r.{b}" for a, b in zip(TRAFFIC_KEYS, ROADS_KEYS))
+    names = ", ".join(f"r.{name}" for name, _ in ROAD_STATISTICS)
+    return f"SELECT t.*, {names} FROM {gold_traffic} t LEFT JOIN (SELECT {keys}, {stats} FROM {silver_roads} GROUP BY {keys}) r ON {on}"
 
 
 def region_summary(gold_traffic: DataFrame, keys: Sequence[str] = TRAFFIC_KEYS) -> DataFrame:

@@ -4,8 +4,8 @@
 (validated, quarantined), silver and gold, writing every layer under a
 ``LayerConfig``.  ``run_streams`` does the same from CSV landing folders with
 available-now streams: file -> bronze (foreachBatch) -> silver -> gold.  Both
-also write the two gold reports: traffic joined with per-key road statistics
-and the regional summary.
+also give the two gold reports: traffic joined with per-key road statistics
+(a table of batch runs, a view of streamed layers) and the regional summary.
 """
 
 from __future__ import annotations
@@ -17,22 +17,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata import labels
 from strata.config import LayerConfig
+from strata.operators.clean import payload_digest
 from strata.operators.quarantine import validate_and_write
 from strata.plans import gold as gold_plan
 from strata.plans import roads, traffic
 from strata.schemas import (
     BATCH_COLUMN,
     EXTRACT_TIME,
+    QUARANTINE_COMMENTS,
     QUARANTINE_SCHEMA,
     ROADS_BRONZE_SCHEMA,
     ROADS_SCHEMA,
     TRAFFIC_BRONZE_SCHEMA,
     TRAFFIC_SCHEMA,
 )
-from strata.sinks.tables import create_database, create_table, layer_exists, path_exists, read_layer
-from strata.sources.files import stream_csv, with_extract_time
-from strata.sources.tables import stream_table
+from strata.sinks.tables import (
+    create_database,
+    create_table,
+    drop_partition,
+    layer_exists,
+    partition_path,
+    path_exists,
+    read_layer,
+    write_batch,
+)
+from strata.sources.files import CORRUPT, stream_csv, with_extract_time, with_source_file
+from strata.sources.tables import MAX_BYTES_PER_TRIGGER, stream_table
 from strata.streaming.chain import start_table_stream, stream_dedup
 from strata.streaming.ingest import run_available_now, start_validated_ingest
 
@@ -43,6 +55,12 @@ GOLD_ROADS = "gold_roads"
 GOLD_TRAFFIC_ROADS = "gold_traffic_roads"
 GOLD_REGION_SUMMARY = "gold_region_summary"
 
+# Bronze strings have at most 255 characters: longer ones are quarantined.
+TRAFFIC_SUITE = traffic.SUITE.with_lengths(TRAFFIC_SCHEMA, 255)
+ROADS_SUITE = roads.SUITE.with_lengths(ROADS_SCHEMA, 255)
+
+_KEY = "_payload_key"
+
 
 def _with_batch(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField(BATCH_COLUMN, StringType(), True)])
@@ -74,6 +92,7 @@ def setup_tables(spark: SparkSession, cfg: LayerConfig) -> None:
         cfg.quarantine(),
         partitioned_by=["table_name", "gx_batch_id"],
         comment="Rows that failed data-quality validation",
+        column_comments=QUARANTINE_COMMENTS,
     )
     register_layer_tables(spark, cfg)
 
@@ -91,11 +110,23 @@ def register_layer_tables(spark: SparkSession, cfg: LayerConfig) -> None:
         (SILVER_ROADS, cfg.silver(SILVER_ROADS)),
         (GOLD_TRAFFIC, cfg.gold(GOLD_TRAFFIC)),
         (GOLD_ROADS, cfg.gold(GOLD_ROADS)),
-        (GOLD_TRAFFIC_ROADS, cfg.gold(GOLD_TRAFFIC_ROADS)),
         (GOLD_REGION_SUMMARY, cfg.gold(GOLD_REGION_SUMMARY)),
     ):
         if layer_exists(spark, path):
             spark.sql(f"CREATE TABLE IF NOT EXISTS `{cfg.database}`.`{name}` USING parquet LOCATION '{path}'")
+    create_traffic_roads_view(spark, cfg)
+
+
+def create_traffic_roads_view(spark: SparkSession, cfg: LayerConfig) -> None:
+    """``gold_traffic_roads`` as a view of gold traffic and the roads known now.
+
+    A stream that joined at arrival would freeze each row's road statistics,
+    and give another answer than a batch run over the same data.
+    """
+    needed = ((GOLD_TRAFFIC, cfg.gold(GOLD_TRAFFIC)), (SILVER_ROADS, cfg.silver(SILVER_ROADS)))
+    if all(spark.catalog.tableExists(cfg.table(name)) and layer_exists(spark, path) for name, path in needed):
+        body = gold_plan.traffic_roads_sql(cfg.table(GOLD_TRAFFIC), cfg.table(SILVER_ROADS))
+        spark.sql(f"CREATE OR REPLACE VIEW {cfg.table(GOLD_TRAFFIC_ROADS)} AS {body}")
 
 
 def monitor_tables(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
@@ -110,7 +141,7 @@ def monitor_tables(spark: SparkSession, cfg: LayerConfig) -> DataFrame:
         SILVER_ROADS: cfg.silver(SILVER_ROADS),
         GOLD_TRAFFIC: cfg.gold(GOLD_TRAFFIC),
         GOLD_ROADS: cfg.gold(GOLD_ROADS),
-        GOLD_TRAFFIC_ROADS: cfg.gold(GOLD_TRAFFIC_ROADS),
+        GOLD_TRAFFIC_ROADS: cfg.gold(GOLD_TRAFFIC),  # a view of it
         GOLD_REGION_SUMMARY: cfg.gold(GOLD_REGION_SUMMARY),
         cfg.quarantine_table: cfg.quarantine(),
     }
@@ -141,13 +172,49 @@ class BatchRun:
     def quarantine(self, spark: SparkSession) -> DataFrame:
         return read_layer(spark, self.cfg.quarantine())
 
-    # Silver and gold are rewritten whole by one job, so all their files share
-    # one schema and reads skip the footer-by-footer schema merge.
+    # Documented schemas: the batch label stays in bronze, and reads of tables
+    # that one job writes skip the footer-by-footer schema merge.
     def silver(self, spark: SparkSession, table: str) -> DataFrame:
-        return read_layer(spark, self.cfg.silver(table), merge_schema=False)
+        return read_layer(spark, self.cfg.silver(table), merge_schema=False).drop(BATCH_COLUMN)
 
     def gold(self, spark: SparkSession, table: str) -> DataFrame:
-        return read_layer(spark, self.cfg.gold(table), merge_schema=False)
+        return read_layer(spark, self.cfg.gold(table), merge_schema=False).drop(BATCH_COLUMN)
+
+
+def _streamed(spark: SparkSession, path: str) -> bool:
+    """Is a layer written by a stream (whose log lists all its files)?"""
+    return path_exists(spark, f"{path}/_spark_metadata")
+
+
+def append_new(spark: SparkSession, cfg: LayerConfig, module, bronze: str, silver: str, gold: str, label: str) -> None:
+    """One bronze batch's new records into silver and gold, as that batch's partitions.
+
+    ``silver_keys`` holds the digest of every silver record by batch.  Only the
+    batch and those digests are read, not the history; the batch's own keys are
+    left out, so a retry finds the same records new.
+    """
+    if _streamed(spark, cfg.silver(silver)):
+        return  # the streams of this root take the batch from bronze
+    keys_path, spec = cfg.silver_keys(silver), {BATCH_COLUMN: label}
+    for path in (keys_path, cfg.silver(silver), cfg.gold(gold)):  # of an earlier attempt
+        drop_partition(spark, path, spec)
+    if not layer_exists(spark, partition_path(spark, cfg.bronze(bronze), spec)):
+        return
+    batch = read_layer(spark, cfg.bronze(bronze)).where(F.col(BATCH_COLUMN) == label)
+    keyed = batch.drop(BATCH_COLUMN).withColumn(_KEY, payload_digest(batch))
+    new = keyed.select(_KEY).distinct()
+    if layer_exists(spark, keys_path):
+        seen = read_layer(spark, keys_path, merge_schema=False).where(F.col(BATCH_COLUMN) != label)
+        new = new.join(seen.select(_KEY), _KEY, "left_anti")
+    write_batch(new, keys_path, label)
+    if not layer_exists(spark, partition_path(spark, keys_path, spec)):
+        return  # nothing but repeats
+    new = spark.read.schema(new.schema).parquet(partition_path(spark, keys_path, spec))
+    rows = keyed.join(new, _KEY, "left_semi").dropDuplicates([_KEY]).drop(_KEY)
+    write_batch(module.silver(rows, dedup=False), cfg.silver(silver), label)
+    # Read back from its written table: the plan starts at a file scan.
+    source = read_layer(spark, cfg.silver(silver), merge_schema=False).where(F.col(BATCH_COLUMN) == label)
+    write_batch(module.gold(source.drop(BATCH_COLUMN)), cfg.gold(gold), label)
 
 
 def run_batch(
@@ -155,16 +222,17 @@ def run_batch(
     cfg: LayerConfig,
     traffic_landing: DataFrame,
     roads_landing: DataFrame,
-    batch_id: str = "0",
+    batch_id: str | None = None,
 ) -> BatchRun:
     """Load one landing batch of both feeds into bronze (validated, with
-    quarantine), then refresh silver and gold.
+    quarantine), then its new records into silver and gold.
 
-    Bronze is incremental: the batch lands in its own partition.  Silver is
-    the distinct bronze, so batch mode rebuilds silver and gold in full from
-    all bronze batches (a full refresh; ``run_streams`` is the incremental
-    path, with the dedup state kept in the stream checkpoint).
+    Every layer gets the batch as a partition of its own; earlier batches are
+    neither read (but for their record digests) nor rewritten.  Give
+    ``batch_id`` to make a repeated load replace its first attempt; without it
+    every load is a new batch.  The two reports are rebuilt.
     """
+    label = labels.load(batch_id)
     quarantine = cfg.quarantine()
     # The two feeds are independent: each layer runs their jobs concurrently
     # from two driver threads (as the two bronze streams do), so a small
@@ -172,43 +240,32 @@ def run_batch(
     run_concurrently(
         lambda: validate_and_write(
             with_extract_time(traffic_landing),
-            batch_id,
-            suite=traffic.SUITE,
+            label,
+            suite=TRAFFIC_SUITE,
             target_path=cfg.bronze(traffic.TABLE),
             quarantine_path=quarantine,
         ),
         lambda: validate_and_write(
-            roads_landing, batch_id, suite=roads.SUITE, target_path=cfg.bronze(roads.TABLE), quarantine_path=quarantine
+            roads_landing, label, suite=ROADS_SUITE, target_path=cfg.bronze(roads.TABLE), quarantine_path=quarantine
         ),
     )
-
-    def refresh(step, source: str, evolving: bool, target: str) -> None:
-        if layer_exists(spark, source):
-            # Each layer is read back from its written table: the plan of the
-            # next layer starts at a file scan, not at the previous lineage.
-            src = read_layer(spark, source, merge_schema=evolving)
-            step(src).drop(BATCH_COLUMN).write.mode("overwrite").parquet(target)
-
-    # (step, source, source may hold batches of evolved schemas, target)
-    run_concurrently(
-        lambda: refresh(traffic.silver, cfg.bronze(traffic.TABLE), True, cfg.silver(SILVER_TRAFFIC)),
-        lambda: refresh(roads.silver, cfg.bronze(roads.TABLE), True, cfg.silver(SILVER_ROADS)),
-    )
     run_concurrently(
-        lambda: refresh(traffic.gold, cfg.silver(SILVER_TRAFFIC), False, cfg.gold(GOLD_TRAFFIC)),
-        lambda: refresh(roads.gold, cfg.silver(SILVER_ROADS), False, cfg.gold(GOLD_ROADS)),
+        lambda: append_new(spark, cfg, traffic, traffic.TABLE, SILVER_TRAFFIC, GOLD_TRAFFIC, label),
+        lambda: append_new(spark, cfg, roads, roads.TABLE, SILVER_ROADS, GOLD_ROADS, label),
     )
 
     def traffic_roads() -> None:
+        if _streamed(spark, cfg.gold(GOLD_TRAFFIC)) or _streamed(spark, cfg.silver(SILVER_ROADS)):
+            return  # a view there
         if layer_exists(spark, cfg.gold(GOLD_TRAFFIC)) and layer_exists(spark, cfg.silver(SILVER_ROADS)):
             joined = gold_plan.traffic_roads_join(
-                read_layer(spark, cfg.gold(GOLD_TRAFFIC), merge_schema=False),
+                read_layer(spark, cfg.gold(GOLD_TRAFFIC), merge_schema=False).drop(BATCH_COLUMN),
                 read_layer(spark, cfg.silver(SILVER_ROADS), merge_schema=False),
             )
             joined.write.mode("overwrite").parquet(cfg.gold(GOLD_TRAFFIC_ROADS))
 
     run_concurrently(traffic_roads, lambda: refresh_gold_reports(spark, cfg))
-    return BatchRun(cfg, batch_id)
+    return BatchRun(cfg, label)
 
 
 def run_concurrently(*jobs) -> list:
@@ -231,12 +288,6 @@ def write_landing_csv(df: DataFrame, path: str, display_header: bool = True) ->
     out.write.mode("append").option("header", "true").csv(path)
 
 
-# A backlog is split into micro-batches of at most this many files, so one
-# failed batch never means redoing the whole backlog and the persisted batch
-# stays a bounded size.
-MAX_FILES_PER_TRIGGER = 1000
-
-
 # Landing file-name patterns of the two feeds.
 LANDING_GLOBS = {"raw_traffic": "raw_traffic*.csv", "raw_roads": "raw_roads*.csv"}
 
@@ -256,49 +307,64 @@ def landing_sources(cfg: LayerConfig, per_feed_folders: bool = False, glob: str
 def start_bronze_streams(
     spark: SparkSession,
     cfg: LayerConfig,
-    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER,
     sources: dict | None = None,
+    on_error: str = "raise",
 ):
-    """Landing files -> validated bronze + quarantine (one query per feed)."""
+    """Landing files -> validated bronze + quarantine (one query per feed).
+
+    A backlog is split into micro-batches of about ``max_bytes_per_trigger``,
+    so one failed batch never means redoing the whole backlog.
+    """
     sources = sources or landing_sources(cfg)
     feeds = (
-        (traffic, TRAFFIC_SCHEMA, True, "rawTraffic_load"),
-        (roads, ROADS_SCHEMA, False, "rawRoads_load"),
+        (traffic.TABLE, TRAFFIC_SUITE, TRAFFIC_SCHEMA, True),
+        (roads.TABLE, ROADS_SUITE, ROADS_SCHEMA, False),
     )
     queries = []
-    for module, schema, stamped, checkpoint in feeds:
-        path, glob = sources[module.TABLE]
+    for table, suite, schema, stamped in feeds:
+        path, glob = sources[table]
         if not path_exists(spark, path):
             continue  # nothing has landed for this feed yet
-        src = stream_csv(spark, path, schema, glob=glob, max_files_per_trigger=max_files_per_trigger)
+        src = stream_csv(
+            spark, path, schema, glob=glob, corrupt_column=CORRUPT, max_bytes_per_trigger=max_bytes_per_trigger
+        )
         queries.append(
             start_validated_ingest(
-                with_extract_time(src) if stamped else src,
-                suite=module.SUITE,
-                target_path=cfg.bronze(module.TABLE),
+                with_source_file(src),
+                suite=suite,
+                target_path=cfg.bronze(table),
                 quarantine_path=cfg.quarantine(),
-                checkpoint=cfg.checkpoint(checkpoint),
+                checkpoint=cfg.checkpoint(f"bronze_{table}"),
+                on_error=on_error,
+                landing_schema=schema,
+                stamped=stamped,
             )
         )
     return queries
 
 
 def start_silver_streams(
-    spark: SparkSession, cfg: LayerConfig, dedup: bool = True, dedup_horizon: str | None = None
+    spark: SparkSession,
+    cfg: LayerConfig,
+    dedup: bool = True,
+    dedup_horizon: str | None = None,
+    max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER,
 ):
     """bronze tables -> silver tables (stateful dedup, then column steps).
 
-    By default the dedup state keeps every distinct record (exact, growing).
-    With ``dedup_horizon`` (e.g. ``"7 days"``) traffic dedup keeps a record
-    only that long after its ingest time (``Extract_Time``), which bounds the
-    state.  Ingest time only grows, so no row is ever late and dropped; a
-    repeat that arrives after the horizon passes through as a duplicate.
+    By default the dedup state keeps a digest of every distinct record (exact,
+    growing).  With ``dedup_horizon`` (e.g. ``"7 days"``) traffic dedup keeps a
+    record only that long after its ingest time (``Extract_Time``), which
+    bounds the state.  Batches are stamped when they are ingested, recovered
+    rows when they are recovered, so rows newer than all before never come
+    late; a repeat that arrives after the horizon passes through.
     """
     queries = []
     for module, name, src in ((traffic, SILVER_TRAFFIC, traffic.TABLE), (roads, SILVER_ROADS, roads.TABLE)):
         if not layer_exists(spark, cfg.bronze(src)):
             continue  # the feed has no bronze batch yet
-        stream = stream_table(spark, cfg.table(src))
+        stream = stream_table(spark, cfg.table(src), max_bytes_per_trigger=max_bytes_per_trigger)
         if dedup:
             bounded = dedup_horizon and EXTRACT_TIME in stream.columns
             stream = stream_dedup(
@@ -317,47 +383,21 @@ def start_silver_streams(
     return queries
 
 
-def start_gold_streams(spark: SparkSession, cfg: LayerConfig, join_roads: bool = True):
-    """silver tables -> gold tables.
-
-    Besides gold traffic and gold roads, the traffic stream is joined with
-    the roads statistics of its (region, category) into ``gold_traffic_roads``:
-    a stream-static join whose static side (silver roads aggregated per key)
-    is re-read for every micro-batch and broadcast when its key count is
-    bounded.
-    """
+def start_gold_streams(
+    spark: SparkSession, cfg: LayerConfig, max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER
+):
+    """silver tables -> gold tables (``refresh_gold_reports`` then defines the reports)."""
     queries = []
-    has_traffic = layer_exists(spark, cfg.silver(SILVER_TRAFFIC))
-    has_roads = layer_exists(spark, cfg.silver(SILVER_ROADS))
-    if has_traffic:
-        traffic_stream = traffic.gold(stream_table(spark, cfg.table(SILVER_TRAFFIC), fmt="parquet"))
-        queries.append(
-            start_table_stream(
-                traffic_stream,
-                table=cfg.table(GOLD_TRAFFIC),
-                path=cfg.gold(GOLD_TRAFFIC),
-                checkpoint=cfg.checkpoint("gold_traffic_load"),
-            )
-        )
-    if has_roads:
-        roads_stream = roads.gold(stream_table(spark, cfg.table(SILVER_ROADS), fmt="parquet"))
-        queries.append(
-            start_table_stream(
-                roads_stream,
-                table=cfg.table(GOLD_ROADS),
-                path=cfg.gold(GOLD_ROADS),
-                checkpoint=cfg.checkpoint("gold_roads_load"),
-            )
-        )
-    if join_roads and has_traffic and has_roads:
-        spark.catalog.refreshTable(cfg.table(SILVER_ROADS))
-        joined = gold_plan.traffic_roads_join(traffic_stream, spark.table(cfg.table(SILVER_ROADS)))
+    for module, source, name in ((traffic, SILVER_TRAFFIC, GOLD_TRAFFIC), (roads, SILVER_ROADS, GOLD_ROADS)):
+        if not layer_exists(spark, cfg.silver(source)):
+            continue
+        stream = stream_table(spark, cfg.table(source), fmt="parquet", max_bytes_per_trigger=max_bytes_per_trigger)
         queries.append(
             start_table_stream(
-                joined,
-                table=cfg.table(GOLD_TRAFFIC_ROADS),
-                path=cfg.gold(GOLD_TRAFFIC_ROADS),
-                checkpoint=cfg.checkpoint("gold_traffic_roads_load"),
+                module.gold(stream),
+                table=cfg.table(name),
+                path=cfg.gold(name),
+                checkpoint=cfg.checkpoint(f"{name}_load"),
             )
         )
     return queries
@@ -377,6 +417,7 @@ def refresh_gold_reports(spark: SparkSession, cfg: LayerConfig) -> None:
             f"LOCATION '{cfg.gold(GOLD_REGION_SUMMARY)}'"
         )
         spark.catalog.refreshTable(cfg.table(GOLD_REGION_SUMMARY))
+        create_traffic_roads_view(spark, cfg)
 
 
 def run_streams(
@@ -385,11 +426,12 @@ def run_streams(
     dedup: bool = True,
     dedup_horizon: str | None = None,
     sources: dict | None = None,
+    on_error: str = "raise",
 ) -> None:
     """One available-now pass of every layer, each layer waited for in turn
     so a later layer never reads a half-written one."""
     setup_tables(spark, cfg)
-    for q in start_bronze_streams(spark, cfg, sources=sources):
+    for q in start_bronze_streams(spark, cfg, sources=sources, on_error=on_error):
         run_available_now(q)
     for q in start_silver_streams(spark, cfg, dedup=dedup, dedup_horizon=dedup_horizon):
         run_available_now(q)

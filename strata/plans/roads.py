@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from strata.operators.clean import dedup_full_row, null_policy
 from strata.operators.enrich import classify_contains, map_codes
 from strata.operators.rules import Between, ColumnSet, NotNull, Suite
-from strata.schemas import ROADS_COLUMNS
+from strata.schemas import BATCH_COLUMN, ROADS_COLUMNS
 
 TABLE = "raw_roads"
 
@@ -48,7 +48,7 @@ def silver(bronze: DataFrame, dedup: bool = True) -> DataFrame:
 
 
 def silver_stream_step(bronze: DataFrame) -> DataFrame:
-    return road_type(category_name(null_policy(bronze)))
+    return road_type(category_name(null_policy(bronze.drop(BATCH_COLUMN))))
 
 
 def gold(silver_df: DataFrame) -> DataFrame:

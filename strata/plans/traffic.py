@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from strata.operators.clean import dedup_full_row, null_policy
 from strata.operators.enrich import ratio, stamp, sum_columns
 from strata.operators.rules import Between, ColumnSet, MatchesStrftime, NotNull, Suite
-from strata.schemas import EXTRACT_TIME, LOADING_TIME, TRAFFIC_COLUMNS, TRANSFORMED_TIME
+from strata.schemas import BATCH_COLUMN, EXTRACT_TIME, LOADING_TIME, TRAFFIC_COLUMNS, TRANSFORMED_TIME
 
 TABLE = "raw_traffic"
 
@@ -26,6 +26,7 @@ SUITE = Suite(
     ),
 )
 
+# The derived columns of the published silver and gold schemas.
 EV_COUNT = "Electrics_Vehicles_Count"
 MOTOR_COUNT = "Motor_Vehicles_Count"
 INTENSITY = "Vehicle_Indensity"  # spelling of the published gold schema
@@ -56,8 +57,9 @@ def silver(bronze: DataFrame, dedup: bool = True) -> DataFrame:
 
 
 def silver_stream_step(bronze: DataFrame) -> DataFrame:
-    """The stateless part of ``silver`` (streams dedup separately, with state)."""
-    return stamp(motor_count(ev_count(null_policy(bronze))), TRANSFORMED_TIME)
+    """The stateless part of ``silver`` (streams dedup separately, with state);
+    the batch label belongs to bronze only."""
+    return stamp(motor_count(ev_count(null_policy(bronze.drop(BATCH_COLUMN)))), TRANSFORMED_TIME)
 
 
 def gold(silver_df: DataFrame) -> DataFrame:

@@ -222,15 +222,27 @@ def _count(layer: str) -> str:
     return f"(SELECT n_rows FROM counts WHERE layer = '{layer}')"
 
 
+def _firsts(src: str, columns: str) -> str:
+    """Distinct good records, as those that are the first of their like."""
+    return (
+        f"(SELECT count(*) FROM (SELECT row_number() OVER (PARTITION BY {columns}) AS k FROM {src} WHERE NOT bad) WHERE k = 1)"
+    )
+
+
+def _grouped(src: str, columns: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT 1 FROM {src} WHERE NOT bad GROUP BY {columns}))"
+
+
 def _reconcile_sql() -> str:
     checks = [
         ("traffic_landing_split", _count("landing_traffic"), f"{_count('bronze_traffic')} + {_count('quarantine_traffic')}"),
         ("roads_landing_split", _count("landing_roads"), f"{_count('bronze_roads')} + {_count('quarantine_roads')}"),
-        ("traffic_silver_distinct", _count("silver_traffic"), _count("silver_traffic")),
-        ("roads_silver_distinct", _count("silver_roads"), _count("silver_roads")),
-        ("traffic_gold_silver", _count("gold_traffic"), _count("silver_traffic")),
-        ("roads_gold_silver", _count("gold_roads"), _count("silver_roads")),
-        ("traffic_roads_join_rows", _count("gold_traffic_roads"), _count("gold_traffic")),
+        # The two sides are counted in different ways, so a wrong side shows.
+        ("traffic_silver_distinct", _count("silver_traffic"), _firsts("tc", TP)),
+        ("roads_silver_distinct", _count("silver_roads"), _firsts("rc", RP)),
+        ("traffic_gold_silver", _firsts("tc", TP), _grouped("tc", TP)),
+        ("roads_gold_silver", _firsts("rc", RP), _grouped("rc", RP)),
+        ("traffic_roads_join_rows", _grouped("tc", TP), _firsts("tc", TP)),
     ]
     rows = " UNION ALL ".join(
         f"SELECT '{name}' AS \"check\", CAST({lhs} AS BIGINT) AS lhs, CAST({rhs} AS BIGINT) AS rhs, "
@@ -326,17 +338,27 @@ FROM roads_like""",
 FROM traffic_like""",
     "rule_min_only": _with(ROADS_LIKE)
     + "SELECT Road_ID, Total_Link_Length_Km, COALESCE(Total_Link_Length_Km < 0, false) AS failed FROM roads_like",
-    "rule_strftime": _with(TRAFFIC_LIKE)
-    + """SELECT Count_point_id, Count_date,
-  (Count_date IS NOT NULL AND try_strptime(Count_date, '%m/%d/%Y %H:%M') IS NULL) AS failed
-FROM traffic_like""",
+    "rule_strftime": _with(
+        TRAFFIC_LIKE,
+        """dated AS (SELECT *, lpad(CAST(Count_point_id % 12 + 1 AS VARCHAR), 2, '0') || '/'
+    || lpad(CAST(Count_point_id % 31 + 1 AS VARCHAR), 2, '0') AS month_day,
+  lpad(CAST(Count_point_id % 100 AS VARCHAR), 2, '0') AS yy FROM traffic_like)""",
+    )
+    + """SELECT Count_point_id, Count_date, month_day || '/' || yy AS short_date, month_day,
+  (Count_date IS NOT NULL AND try_strptime(Count_date, '%m/%d/%Y %H:%M') IS NULL) AS failed,
+  try_strptime(month_day || '/' || CASE WHEN yy >= '69' THEN '19' ELSE '20' END || yy, '%m/%d/%Y') IS NULL AS short_failed,
+  try_strptime(month_day || '/1900', '%m/%d/%Y') IS NULL AS month_day_failed
+FROM dated""",
+    "rule_max_length": _with(TRAFFIC_LIKE)
+    + """SELECT Count_point_id, Local_authority_name, length(Local_authority_name) > 11 AS failed FROM traffic_like""",
     "rule_column_set": """SELECT 'raw_traffic' AS table_name, count(*) AS n_rows, true AS success, '' AS missing,
   '' AS unexpected FROM events
 UNION ALL SELECT 'raw_traffic_extra_column', count(*), false, '', 'Unexpected' FROM events
 UNION ALL SELECT 'raw_roads', count(*), true, '', '' FROM orders
 UNION ALL SELECT 'raw_roads_missing_column', count(*), false, 'All_Motor_Vehicles', '' FROM orders""",
     "rule_header_match": _with(ROADS_LIKE)
-    + "SELECT Region_ID, Region_ID <> 4 AS header_ok, count(*) AS n_rows FROM roads_like GROUP BY Region_ID",
+    + """SELECT Region_ID, Region_ID NOT IN (2, 4) AS header_ok,
+  count(*) - CASE WHEN Region_ID = 2 THEN 1 ELSE 0 END AS n_rows FROM roads_like GROUP BY Region_ID""",
     "validate_suite": _TC + "SELECT Count_point_id, NULLIF(vr, '') AS violated_rules, NOT bad AS is_valid FROM tc",
     "rule_failure_counts": _TRC
     + _rule_counts("raw_traffic", "tc", TRAFFIC_FLAGS)
@@ -346,7 +368,7 @@ UNION ALL SELECT 'raw_roads_missing_column', count(*), false, 'All_Motor_Vehicle
     "violations_regroup": _long_regroup() + "SELECT Count_point_id, violated_rules FROM rg",
     "violations_join_back": _long_regroup()
     + """SELECT t.Count_point_id, t.Record_ID, t.Count_date, t."hour", t.Road_Category_ID, rg.violated_rules
-FROM tc t JOIN rg ON t.Count_point_id = rg.Count_point_id""",
+FROM tc t LEFT JOIN rg ON t.Count_point_id = rg.Count_point_id""",
     "split_valid": _TC + f"SELECT {TP} FROM tc WHERE NOT bad",
     "quarantine_rows": _quarantine_sql(),
     "quarantine_table_level": _with(TRAFFIC_LIKE)
@@ -367,6 +389,21 @@ FROM b LEFT JOIN s ON b.batch_id = s.batch_id""",
     "purge_quarantine": _TC
     + f"""SELECT 'raw_traffic' AS table_name, '0' AS gx_batch_id, vr AS violated_rules, Count_point_id AS row_key
 FROM tc WHERE bad AND NOT ({_RECOVERABLE})""",
+    "recover_twice": _TC.rstrip()
+    + f""",
+left_over AS (SELECT * FROM tc WHERE bad AND NOT ({_RECOVERABLE}) AND NOT (f_hour AND NOT f_nn AND NOT f_fmt AND NOT f_cat))
+SELECT 'landing' AS layer, count(*) AS n_rows FROM traffic_like
+UNION ALL SELECT 'bronze', (SELECT count(*) FROM traffic_like) - (SELECT count(*) FROM left_over)
+UNION ALL SELECT 'quarantine', count(*) FROM left_over""",
+    "stream_recover_chain": _TC.rstrip()
+    + f""",
+kept AS (
+  SELECT * FROM tc WHERE NOT bad
+  UNION ALL SELECT * REPLACE (strftime(_event_ts, '%-m/%-d/%Y %-H:%M') AS Count_date) FROM tc WHERE {_RECOVERABLE}),
+{traffic_silver("kept", "ts")}
+SELECT Count_point_id, Count_date, Motor_Vehicles_Count FROM ts""",
+    "schema_evolution_stream": _TC
+    + "SELECT Count_point_id, CASE WHEN Region_id >= 3 THEN 'S' || CAST(Region_id AS VARCHAR) END AS Survey FROM tc WHERE NOT bad",
     "schema_evolution_append": _with(TRAFFIC_LIKE)
     + """SELECT Count_point_id, CASE WHEN Region_id < 3 THEN 1 ELSE 2 END AS batch_id,
   CASE WHEN Region_id < 3 THEN NULL
@@ -408,11 +445,11 @@ FROM traffic_like""",
         "rgood AS (SELECT * FROM rc WHERE NOT bad)",
         roads_silver("rgood", "rs"),
         """ra AS (SELECT Region_ID, Road_Category_Id, count(*) AS n_roads,
-  sum(Total_Link_Length_Km) AS link_sum, sum(All_Motor_Vehicles) AS road_vehicles_sum FROM rs
+  avg(Total_Link_Length_Km) AS link_avg, sum(Total_Link_Length_Km) AS link_sum, sum(All_Motor_Vehicles) AS road_vehicles_sum FROM rs
   GROUP BY Region_ID, Road_Category_Id)""",
     )
     + """SELECT t.Count_point_id, t.Region_id, t.Road_Category_ID, t.Motor_Vehicles_Count, ra.n_roads,
-  round(ra.link_sum, 2) AS road_link_km_sum, ra.road_vehicles_sum
+  round(ra.link_avg, 4) AS road_link_km_avg, round(ra.link_sum, 2) AS road_link_km_sum, ra.road_vehicles_sum
 FROM ts t LEFT JOIN ra ON t.Region_id = ra.Region_ID AND t.Road_Category_ID = ra.Road_Category_Id""",
     "gold_region_summary": _gold_good_traffic(False) + _region_summary("Region_id, Road_Category_ID"),
     "traffic_region_report": _gold_good_traffic(True) + _region_summary("Region_id"),
@@ -439,6 +476,9 @@ UNION ALL SELECT 2, CAST(0 AS BIGINT)
 UNION ALL SELECT 3, count(*) FROM traffic_like WHERE Region_id >= 3""",
     "stream_dedup": _with(TRAFFIC_LIKE) + f"SELECT DISTINCT {TP} FROM traffic_like",
     "stream_table_chain": _gold_good_traffic(True)
-    + "SELECT Count_point_id, Motor_Vehicles_Count, Vehicle_Indensity, true AS has_loading_time FROM tg",
+    + f"""SELECT {TP}, Electrics_Vehicles_Count, Motor_Vehicles_Count, Vehicle_Indensity,
+  true AS has_extract_time, true AS has_transformed_time, true AS has_loading_time FROM tg""",
     "stream_validate_quarantine": _bronze_union_sql(),
 }
+# The same rows whether the roads came at once or in two waves.
+ORACLE["stream_traffic_roads_join"] = ORACLE["gold_traffic_roads_join"]

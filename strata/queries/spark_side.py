@@ -23,7 +23,7 @@ from strata.operators.quarantine import (
     recover_quarantine,
     validate_and_write,
 )
-from strata.operators.rules import STRFTIME, NotNull, Suite
+from strata.operators.rules import BETWEEN, STRFTIME, MatchesStrftime, MaxLength, NotNull, Suite
 from strata.plans import gold as gold_plan
 from strata.plans import medallion, roads, traffic
 from strata.schemas import (
@@ -39,6 +39,7 @@ from strata.schemas import (
 from strata.sinks.tables import read_layer, write_batch
 from strata.sources.files import header_report, read_csv, stream_csv, with_extract_time
 from strata.sources.testdata import load, roads_like, traffic_dup, traffic_like
+from strata.sources.tables import stream_table
 from strata.streaming.chain import stream_dedup
 from strata.streaming.ingest import run_available_now
 
@@ -141,9 +142,23 @@ def rule_min_only(spark, sf_dir):
 
 
 def rule_strftime(spark, sf_dir):
+    """V5: the feed's own format, a two-digit year, and no year at all; every
+    month and day up to 12/31 occurs, so 2/29, 2/30 and 4/31 do."""
+    day = F.date_format(F.expr("make_date(2000, 1, 1) + CAST(Count_point_id % 31 AS INT)"), "dd")
+    month, year = F.lpad((F.col("Count_point_id") % 12 + 1).cast("string"), 2, "0"), F.lpad((F.col("Count_point_id") % 100).cast("string"), 2, "0")
+    df = traffic_like(spark, sf_dir).withColumns(
+        {"short_date": F.concat_ws("/", month, day, year), "month_day": F.concat_ws("/", month, day)}
+    )
+    rules = {"failed": traffic.SUITE.row_rules[1], "short_failed": MatchesStrftime("short_date", "%m/%d/%y"),
+             "month_day_failed": MatchesStrftime("month_day", "%m/%d")}
+    return df.select("Count_point_id", "Count_date", "short_date", "month_day", *[r.failed().alias(n) for n, r in rules.items()])
+
+
+def rule_max_length(spark, sf_dir):
+    """K6: strings longer than a column allows break a row rule."""
     df = traffic_like(spark, sf_dir)
-    rule = traffic.SUITE.row_rules[1]
-    return df.select("Count_point_id", "Count_date", rule.failed().alias("failed"))
+    rule = MaxLength("Local_authority_name", 11)
+    return df.select("Count_point_id", "Local_authority_name", rule.failed().alias("failed"))
 
 
 def rule_column_set(spark, sf_dir):
@@ -174,16 +189,22 @@ def rule_column_set(spark, sf_dir):
 
 def rule_header_match(spark, sf_dir):
     """Header check per landing file; region 4 arrives with a renamed
-    header column.  Reported per region: all files ok, data rows."""
+    header column, region 3 with every cell quoted, region 2 without a header
+    (so the reader takes its first row for one).  Reported per region: all
+    files ok, data rows."""
     src = roads_like(spark, sf_dir).withColumn("region", F.col("Region_ID"))
     root = fresh_dir(spark, "header-landing")
-    good = src.filter(F.col("region") != 4)
-    bad = src.filter(F.col("region") == 4).withColumnRenamed("Road_ID", "Road_Identifier")
-    for part in (good, bad):
+    parts = (
+        (src.filter(~F.col("region").isin(2, 3, 4)), {}),
+        (src.filter(F.col("region") == 4).withColumnRenamed("Road_ID", "Road_Identifier"), {}),
+        (src.filter(F.col("region") == 3), {"quoteAll": "true"}),
+        (src.filter(F.col("region") == 2).coalesce(1), {"header": "false"}),
+    )
+    for part, options in parts:
         display = part.select(
             *[F.col(c).alias(c.replace("_", " ")) for c in part.columns if c != "region"], F.col("region")
         )
-        display.write.mode("append").option("header", "true").partitionBy("region").csv(root)
+        display.write.mode("append").options(**{"header": "true", **options}).partitionBy("region").csv(root)
     report = header_report(spark, root, ROADS_SCHEMA, glob="*.csv")
     region = F.regexp_extract("file_path", r"region=([0-9]+)", 1).cast("int")
     return (
@@ -223,7 +244,7 @@ def violations_regroup(spark, sf_dir):
 
 
 def violations_join_back(spark, sf_dir):
-    """Records joined with their regrouped rule text."""
+    """All records with their regrouped rule text, NULL if none is broken."""
     base = _bronze_traffic(spark, sf_dir).select("Count_point_id", "Record_ID", "Count_date", "hour", "Road_Category_ID")
     return quality.violations_join_back(base, violations_regroup(spark, sf_dir), ["Count_point_id"])
 
@@ -358,6 +379,51 @@ def recover_quarantine_q(spark, sf_dir):
     return target.filter(F.col(BATCH_COLUMN) == "recovery").select(*TRAFFIC_PAYLOAD)
 
 
+def _recover_rule(spark, cfg, rule: str, suite: Suite, repair=None) -> None:
+    """Recover one rule's rows and purge them."""
+    keys = recover_quarantine(
+        spark, quarantine_path=cfg.quarantine(), table_name=traffic.TABLE, rule=rule, schema=TRAFFIC_BRONZE_SCHEMA,
+        suite=suite, target_path=cfg.bronze(traffic.TABLE), repair=repair,
+    )
+    purge_quarantine(spark, cfg.quarantine(), keys)
+
+
+def recover_twice(spark, sf_dir):
+    """Two rules recovered and purged one after the other; no row of
+    the landing is lost or doubled."""
+    cfg = LayerConfig.scratch(spark, "recover-twice")
+    landing = _bronze_traffic(spark, sf_dir)
+    validate_and_write(
+        landing, 0, suite=traffic.SUITE, target_path=cfg.bronze(traffic.TABLE), quarantine_path=cfg.quarantine()
+    )
+    _recover_rule(spark, cfg, f"[Count_date] {STRFTIME}", traffic.SUITE, _repair_day_first)
+    hours_allowed = Suite(traffic.TABLE, tuple(r for r in traffic.SUITE.rules if r.column != "hour"))
+    _recover_rule(spark, cfg, f"[hour] {BETWEEN}", hours_allowed)
+    return monitor.layer_counts(
+        {
+            "landing": landing,
+            "bronze": read_layer(spark, cfg.bronze(traffic.TABLE)),
+            "quarantine": read_layer(spark, cfg.quarantine()),
+        }
+    )
+
+
+def stream_recover_chain(spark, sf_dir):
+    """Stream, quarantine, silver with a dedup horizon; then recover,
+    purge and silver again: recovered rows are not late."""
+    cfg = LayerConfig.scratch(spark, "recover-chain")
+    _land_traffic(spark, cfg.landing(traffic.TABLE), traffic_dup(spark, sf_dir))
+    medallion.setup_tables(spark, cfg)
+    for q in medallion.start_bronze_streams(spark, cfg, sources=medallion.landing_sources(cfg, per_feed_folders=True)):
+        run_available_now(q)
+    for _ in range(2):
+        for q in medallion.start_silver_streams(spark, cfg, dedup_horizon="2 seconds"):
+            run_available_now(q)
+        _recover_rule(spark, cfg, f"[Count_date] {STRFTIME}", traffic.SUITE, _repair_day_first)
+    silver = spark.read.parquet(cfg.silver(medallion.SILVER_TRAFFIC))
+    return silver.select("Count_point_id", "Count_date", traffic.MOTOR_COUNT)
+
+
 def purge_quarantine_q(spark, sf_dir):
     """After recovery, re-inserted rows leave the quarantine."""
     cfg, keys = _recover(spark, sf_dir)
@@ -377,6 +443,30 @@ def schema_evolution_append(spark, sf_dir):
     )
 
 
+def schema_evolution_stream(spark, sf_dir):
+    """K4: the second batch has a column more; the catalog table gains it and
+    the stream that reads the table carries it on."""
+    cfg = LayerConfig.scratch(spark, "evolving-stream")
+    medallion.setup_tables(spark, cfg)
+    table, bronze = cfg.table(traffic.TABLE), _bronze_traffic(spark, sf_dir)
+    rows_only = Suite(traffic.TABLE, tuple(traffic.SUITE.row_rules))
+    waves = [
+        bronze.filter(F.col("Region_id") < 3),
+        bronze.filter(F.col("Region_id") >= 3).withColumn("Survey", F.concat(F.lit("S"), F.col("Region_id").cast("string"))),
+    ]
+    for i, wave in enumerate(waves):
+        validate_and_write(
+            wave, i, suite=rows_only, target_path=cfg.bronze(traffic.TABLE), quarantine_path=cfg.quarantine(), target_table=table
+        )
+    out = cfg.silver("evolved")
+    q = (
+        stream_table(spark, table).writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", cfg.checkpoint("evolved")).trigger(availableNow=True).start()
+    )
+    run_available_now(q)
+    return spark.read.parquet(out).select("Count_point_id", "Survey")
+
+
 # -------------------------------------------------------- cleaning
 
 
@@ -452,21 +542,25 @@ def _gold_traffic(spark, sf_dir, dup: bool = False) -> DataFrame:
     return traffic.gold(traffic.silver(_good_traffic(spark, sf_dir, dup)))
 
 
-def gold_traffic_roads_join(spark, sf_dir):
-    """Traffic with its (region, category) road statistics."""
-    silver_roads = roads.silver(_good_roads(spark, sf_dir))
-    joined = gold_plan.traffic_roads_join(_gold_traffic(spark, sf_dir), silver_roads)
+def _joined_view(joined: DataFrame) -> DataFrame:
     return joined.select(
         "Count_point_id",
         "Region_id",
         "Road_Category_ID",
         traffic.MOTOR_COUNT,
         "n_roads",
+        F.round("road_link_km_avg", 4).alias("road_link_km_avg"),
         F.round("road_link_km_sum", 2).alias("road_link_km_sum"),
         "road_vehicles_sum",
     )
 
 
+def gold_traffic_roads_join(spark, sf_dir):
+    """Traffic with its (region, category) road statistics."""
+    silver_roads = roads.silver(_good_roads(spark, sf_dir))
+    return _joined_view(gold_plan.traffic_roads_join(_gold_traffic(spark, sf_dir), silver_roads))
+
+
 def gold_region_summary(spark, sf_dir):
     """Per region and category: records, vehicles, mean intensity."""
     return gold_plan.region_summary(_gold_traffic(spark, sf_dir))
@@ -616,13 +710,24 @@ def stream_table_chain(spark, sf_dir):
     medallion.write_landing_csv(roads_like(spark, sf_dir), cfg.landing(roads.TABLE))
     # Spark-written landing files are named part-*; read each feed's folder.
     medallion.run_streams(spark, cfg, sources=medallion.landing_sources(cfg, per_feed_folders=True))
+    # Every column that gold has, so one too many shows; audit stamps as flags.
     g = spark.read.parquet(cfg.gold(medallion.GOLD_TRAFFIC))
-    return g.select(
-        "Count_point_id",
-        traffic.MOTOR_COUNT,
-        traffic.INTENSITY,
-        F.col(LOADING_TIME).isNotNull().alias("has_loading_time"),
-    )
+    stamps = (EXTRACT_TIME, TRANSFORMED_TIME, LOADING_TIME)
+    return g.select(*[F.col(c).isNotNull().alias(f"has_{c.lower()}") if c in stamps else F.col(c) for c in g.columns])
+
+
+def stream_traffic_roads_join(spark, sf_dir):
+    """J2 from streams: the roads land in two waves around the traffic; the
+    result is that of one batch."""
+    cfg = LayerConfig.scratch(spark, "join-waves")
+    rds = roads_like(spark, sf_dir)
+    sources = medallion.landing_sources(cfg, per_feed_folders=True)
+    _land_traffic(spark, cfg.landing(traffic.TABLE), traffic_like(spark, sf_dir))
+    medallion.write_landing_csv(rds.filter(F.col("Region_ID") < 3), cfg.landing(roads.TABLE))
+    medallion.run_streams(spark, cfg, sources=sources)
+    medallion.write_landing_csv(rds.filter(F.col("Region_ID") >= 3), cfg.landing(roads.TABLE))
+    medallion.run_streams(spark, cfg, sources=sources)
+    return _joined_view(spark.table(cfg.table(medallion.GOLD_TRAFFIC_ROADS)))
 
 
 def stream_validate_quarantine(spark, sf_dir):
@@ -652,6 +757,7 @@ QUERIES = {
     "rule_between": rule_between,
     "rule_min_only": rule_min_only,
     "rule_strftime": rule_strftime,
+    "rule_max_length": rule_max_length,
     "rule_column_set": rule_column_set,
     "rule_header_match": rule_header_match,
     "validate_suite": validate_suite,
@@ -668,7 +774,9 @@ QUERIES = {
     "empty_batch_skip": empty_batch_skip,
     "recover_quarantine": recover_quarantine_q,
     "purge_quarantine": purge_quarantine_q,
+    "recover_twice": recover_twice,
     "schema_evolution_append": schema_evolution_append,
+    "schema_evolution_stream": schema_evolution_stream,
     "dedup_full_row": dedup_full_row,
     "dedup_by_key": dedup_by_key,
     "null_fill_strings": null_fill_strings,
@@ -692,5 +800,7 @@ QUERIES = {
     "stream_incremental": stream_incremental,
     "stream_dedup": stream_dedup_q,
     "stream_table_chain": stream_table_chain,
+    "stream_traffic_roads_join": stream_traffic_roads_join,
+    "stream_recover_chain": stream_recover_chain,
     "stream_validate_quarantine": stream_validate_quarantine,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
@@ -86,12 +88,23 @@ def with_corrupt_record(schema: StructType, column: str = "_corrupt_record") ->
     return StructType(list(schema.fields) + [StructField(column, StringType(), True)])
 
 
-def ddl(schema: StructType, varchar: int | None = None) -> str:
+# The comments of the quarantine columns.
+QUARANTINE_COMMENTS = {
+    "table_name": "Table the rows were meant for",
+    "gx_batch_id": "Batch that delivered the rows",
+    "violated_rules": "Labels of the broken rules, joined with semicolons",
+    "raw_data": "The row as JSON",
+    "ingestion_time": "When the row was quarantined",
+}
+
+
+def ddl(schema: StructType, varchar: int | None = None, comments: Mapping[str, str] | None = None) -> str:
     """Column list for ``CREATE TABLE``; strings become ``VARCHAR(n)`` if asked."""
     parts = []
     for field in schema.fields:
         type_sql = field.dataType.simpleString().upper()
         if varchar and isinstance(field.dataType, StringType):
             type_sql = f"VARCHAR({varchar})"
-        parts.append(f"`{field.name}` {type_sql}")
+        note = (comments or {}).get(field.name)
+        parts.append(f"`{field.name}` {type_sql}" + (f" COMMENT '{note}'" if note else ""))
     return ", ".join(parts)

@@ -1,18 +1,20 @@
-"""Table sinks: idempotent per-batch writes, schema-merging appends, DDL."""
+"""Table sinks: idempotent per-batch writes, schema evolution, DDL."""
 
 from strata.sinks.tables import (
-    append_merge_schema,
     create_database,
     create_table,
+    drop_partition,
+    evolve_table,
     read_layer,
     write_batch,
     write_quarantine,
 )
 
 __all__ = [
-    "append_merge_schema",
     "create_database",
     "create_table",
+    "drop_partition",
+    "evolve_table",
     "read_layer",
     "write_batch",
     "write_quarantine",

@@ -8,7 +8,8 @@ different batches may carry different schemas; readers merge them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import threading
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,57 +53,91 @@ def write_quarantine(df: DataFrame, path: str) -> None:
     )
 
 
-def append_merge_schema(df: DataFrame, path: str, batch_id=None) -> None:
-    """Append that tolerates new columns (schema evolution on write).
+_INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
+_READ_LOCK = threading.Lock()
 
-    Parquet files keep their own schema; ``read_layer`` merges them, and
-    rows of older batches read NULL in columns added later.  With a batch id
-    the append is idempotent.
-    """
-    if batch_id is None:
-        df.write.mode("append").parquet(path)
-    else:
-        write_batch(df, path, batch_id)
 
+def read_layer(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
+    """Batch read of a layer table by path, merging evolved schemas.
 
-# Partition columns that hold batch labels: partition discovery would turn
-# "0" into an integer, so they are read back as strings.
-_LABEL_COLUMNS = (BATCH_COLUMN, "gx_batch_id", "table_name")
+    Partition values are batch labels: they are read as the strings they were
+    written as (type inference would turn ``007`` into 7).
+    """
+    with _READ_LOCK:  # the setting is the session's, and layers are read from several threads
+        before = spark.conf.get(_INFER)
+        spark.conf.set(_INFER, "false")
+        try:
+            return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+        finally:
+            spark.conf.set(_INFER, before)
 
 
-def read_layer(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    """Batch read of a layer table by path, merging evolved schemas."""
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
-    labels = {c: F.col(c).cast("string") for c in _LABEL_COLUMNS if c in df.columns}
-    return df.withColumns(labels) if labels else df
+def _located(spark: SparkSession, path: str):
+    """(file system, path) on any Hadoop-compatible storage."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does a file or folder exist (on any Hadoop-compatible file system)?
+    """Does a file or folder exist?  One call, not a listing; errors rise."""
+    fs, hpath = _located(spark, path)
+    return bool(fs.exists(hpath))
 
-    One ``exists`` call on the file system, not a listing of the tree below
-    the path.  Sessions without a JVM gateway fall back to resolving a text
-    read of the path.
-    """
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote session)
-        try:
-            spark.read.text(path).schema  # noqa: B018 - resolves the path only
-            return True
-        except Exception:  # noqa: BLE001 - PATH_NOT_FOUND
-            return False
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(conf).exists(hpath))
+
+def list_files(spark: SparkSession, path: str) -> Iterator[str]:
+    """All files below a folder."""
+    fs, hpath = _located(spark, path)
+    files = fs.listFiles(hpath, True)
+    while files.hasNext():
+        yield files.next().getPath().toString()
 
 
 def layer_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
-        return True
-    except Exception:  # noqa: BLE001 - AnalysisException: path missing / empty
+    """Has anything been written to a layer?
+
+    Walks the folder until the first data file.  Only a missing folder or one
+    without data files is "no": a failing storage or a broken file is an error
+    of whoever reads the layer, never a layer that is silently left out.
+    """
+    fs, hpath = _located(spark, path)
+    if not fs.exists(hpath):
         return False
+    root = len(fs.makeQualified(hpath).toString())
+    for name in list_files(spark, path):
+        parts = name[root:].strip("/").split("/")
+        # Folders such as _temporary hold no data; _batch_id=... is a partition.
+        if not any(p.startswith(".") or (p.startswith("_") and "=" not in p) for p in parts):
+            return True
+    return False
+
+
+def partition_path(spark: SparkSession, table_path: str, spec: Mapping[str, str]) -> str:
+    """The folder of one partition, with its values escaped as Spark does."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join([table_path.rstrip("/"), *(f"{k}={escape(v)}" for k, v in spec.items())])
+
+
+def drop_partition(spark: SparkSession, table_path: str, spec: Mapping[str, str], table: str | None = None) -> None:
+    """Remove one partition of a table stored at ``table_path`` (no error if
+    there is none), and from the catalog if ``table`` names it there."""
+    if table:
+        part = ", ".join(f"{k} = '{v.replace(chr(39), chr(39) * 2)}'" for k, v in spec.items())
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part})")
+    fs, hpath = _located(spark, partition_path(spark, table_path, spec))
+    fs.delete(hpath, True)
+
+
+def evolve_table(spark: SparkSession, table: str, schema: StructType) -> list[str]:
+    """Add the columns of ``schema`` that a catalog table lacks; returns them.
+
+    Older files have no such column and read as NULL; a stream that reads the
+    table sees the new columns from its next start.
+    """
+    known = {c.lower() for c in spark.table(table).columns}
+    new = StructType([f for f in schema.fields if f.name.lower() not in known])
+    if new.fields:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({ddl(new)})")
+    return new.fieldNames()
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -118,17 +153,19 @@ def create_table(
     partitioned_by: Sequence[str] = (),
     varchar: int | None = None,
     comment: str | None = None,
+    column_comments: Mapping[str, str] | None = None,
 ) -> None:
     """``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION``.
 
-    With ``varchar`` set, string columns are declared ``VARCHAR(n)`` and
-    Spark rejects longer values on write.  Never drops an existing table.
+    With ``varchar`` set, string columns are declared ``VARCHAR(n)``.  Batches
+    are written by path, so the length is enforced by row rules
+    (``Suite.with_lengths``).  Never drops an existing table.
     """
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partitioned_by)})" if partitioned_by else ""
     note = f" COMMENT '{comment}'" if comment else ""
     db, _, table = name.rpartition(".")
     qualified = f"`{db}`.`{table}`" if db else f"`{table}`"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {qualified} ({ddl(schema, varchar)}) USING parquet{parts}"
+        f"CREATE TABLE IF NOT EXISTS {qualified} ({ddl(schema, varchar, column_comments)}) USING parquet{parts}"
         f" LOCATION '{location}'{note}"
     )

@@ -37,7 +37,7 @@ def _text(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
-def traffic_like(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -> DataFrame:
+def traffic_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A traffic feed, one row per ``events`` row.
 
     Dirt: Record_ID NULL every 97th event; Count_date day-first every 7th
@@ -81,10 +81,7 @@ def traffic_like(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -> Dat
         "EV_Car": _int(uid % 5),
         "EV_Bike": F.when(_every("event_id", 29), null.cast("int")).otherwise(_int(uid % 2)),
     }
-    out = [cols[name].alias(name) for name, _ in TRAFFIC_COLUMNS]
-    if keep_ts:
-        out.append(ts.alias("_event_ts"))
-    return ev.select(*out)
+    return ev.select(*[cols[name].alias(name) for name, _ in TRAFFIC_COLUMNS])
 
 
 def traffic_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

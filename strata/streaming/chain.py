@@ -14,9 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.operators.clean import payload_columns
+from strata.operators.clean import payload_columns, payload_digest
 from strata.schemas import AUDIT_COLUMNS
 
+_KEY = "_payload_key"
+
 
 def stream_dedup(
     stream: DataFrame,
@@ -26,14 +28,17 @@ def stream_dedup(
 ) -> DataFrame:
     """Drop repeated records across micro-batches and restarts.
 
-    Without a watermark the state keeps every distinct key (exact, growing);
-    with ``watermark_column`` the within-watermark form bounds the state and
-    may let a repeat through that arrives later than the delay.
+    Without a watermark the state keeps the digest of every distinct record
+    (exact; 32 bytes each, growing); with ``watermark_column`` the
+    within-watermark form bounds the state and may let a repeat through that
+    arrives later than the delay.  All deliveries of one record reach one state
+    partition: streaming dedup has no map-side step.
     """
     cols = list(columns) if columns else payload_columns(stream, AUDIT_COLUMNS)
+    keyed = stream.withColumn(_KEY, payload_digest(stream, cols))
     if watermark_column:
-        return stream.withWatermark(watermark_column, watermark_delay).dropDuplicatesWithinWatermark(cols)
-    return stream.dropDuplicates(cols)
+        return keyed.withWatermark(watermark_column, watermark_delay).dropDuplicatesWithinWatermark([_KEY]).drop(_KEY)
+    return keyed.dropDuplicates([_KEY]).drop(_KEY)
 
 
 def start_table_stream(

@@ -2,17 +2,21 @@
 
 The file source remembers processed files in the checkpoint, so every run
 only reads new files; each micro-batch is validated and written by
-``validate_and_write`` with the micro-batch id as the batch label, which
-makes a replayed batch overwrite its own output (exactly once).
+``validate_and_write`` with a label of the checkpoint's id and the micro-batch
+number, which makes a replayed batch overwrite its own output (exactly once)
+and no other stream's, nor that of an earlier checkpoint.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from strata import labels
 from strata.operators.quarantine import validate_and_write
 from strata.operators.rules import Suite
+from strata.sources.files import split_landing, with_extract_time
 
 
 def start_validated_ingest(
@@ -24,21 +28,40 @@ def start_validated_ingest(
     checkpoint: str,
     table_name: str | None = None,
     on_error: str = "raise",
-    batch_prefix: str = "",
     query_name: str | None = None,
+    landing_schema: StructType | None = None,
+    stamped: bool = False,
+    target_table: str | None = None,
 ) -> StreamingQuery:
-    """Start an available-now stream whose sink validates each micro-batch."""
+    """Start an available-now stream whose sink validates each micro-batch.
+
+    With ``landing_schema`` the stream holds raw landing rows (see
+    ``split_landing``): files with a wrong header and malformed lines are
+    quarantined first.  ``stamped`` adds the ingest time.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        validate_and_write(
-            batch,
-            f"{batch_prefix}{batch_id}",
-            suite=suite,
-            target_path=target_path,
-            quarantine_path=quarantine_path,
-            table_name=table_name,
-            on_error=on_error,
-        )
+        refused = None
+        if landing_schema is not None:
+            batch = batch.persist()
+        try:
+            rows = batch
+            if landing_schema is not None:
+                rows, refused = split_landing(batch, landing_schema)
+            validate_and_write(
+                with_extract_time(rows) if stamped else rows,
+                labels.stream(batch.sparkSession, checkpoint, batch_id),
+                suite=suite,
+                target_path=target_path,
+                quarantine_path=quarantine_path,
+                table_name=table_name,
+                on_error=on_error,
+                refused=refused,
+                target_table=target_table,
+            )
+        finally:
+            if landing_schema is not None:
+                batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if query_name:

@@ -10,7 +10,6 @@ sys.path.insert(0, str(ROOT))
 
 from strata.session import get_session  # noqa: E402
 
-FIXTURES = ROOT / "tests" / "fixtures"
 SF_SMALL = "/root/testdata/sf0.001"
 
 

@@ -74,3 +74,44 @@ def test_stream_chain_with_bounded_dedup(spark):
     silver = spark.read.parquet(cfg.silver(medallion.SILVER_TRAFFIC))
     assert silver.count() == dedup_full_row(good).count()
     assert os.path.isdir(cfg.checkpoint("silver_traffic_load"))
+
+
+def _layer_rows(spark, cfg):
+    from strata.sinks.tables import read_layer
+
+    return read_layer(spark, cfg.bronze("raw_traffic")).count(), read_layer(spark, cfg.quarantine()).count()
+
+
+def test_a_stream_a_reset_checkpoint_and_a_load_keep_each_others_rows(spark):
+    import shutil
+
+    cfg = LayerConfig.scratch(spark, "labels")
+    feed = traffic_dup(spark, SF_SMALL)
+    sources = medallion.landing_sources(cfg, per_feed_folders=True)
+    medallion.write_landing_csv(feed, cfg.landing("raw_traffic"))
+    medallion.run_streams(spark, cfg, sources=sources)
+    good, bad = _layer_rows(spark, cfg)
+    assert good + bad == feed.count()
+    one = feed.limit(40)
+    medallion.run_batch(spark, LayerConfig(root=cfg.root, database="none"), one, roads_like(spark, SF_SMALL).limit(0), "0")
+    after = _layer_rows(spark, cfg)
+    assert sum(after) == feed.count() + 40
+    shutil.rmtree(cfg.checkpoint("bronze_raw_traffic"))
+    for q in medallion.start_bronze_streams(spark, cfg, sources=sources):
+        run_available_now(q)
+    assert _layer_rows(spark, cfg) == (after[0] + good, after[1] + bad)  # delivered twice, none replaced
+
+
+def test_a_repeated_load_replaces_itself_in_every_layer(spark):
+    cfg = LayerConfig.scratch(spark, "repeat-load")
+    feed, rds = traffic_dup(spark, SF_SMALL), roads_like(spark, SF_SMALL)
+    runs = [medallion.run_batch(spark, cfg, feed, rds, "a") for _ in range(2)]
+    runs.append(medallion.run_batch(spark, cfg, feed, rds, "b"))  # all repeats: nothing new above bronze
+    good, _ = split(annotate(with_extract_time(feed), traffic.SUITE))
+    distinct = dedup_full_row(good).count()
+    for run in runs:
+        assert run.silver(spark, medallion.SILVER_TRAFFIC).count() == distinct
+        assert run.gold(spark, medallion.GOLD_TRAFFIC).count() == distinct
+    assert runs[0].bronze(spark, "raw_traffic").count() == 2 * good.count()
+    first = runs[0].gold(spark, medallion.GOLD_TRAFFIC)
+    assert first.columns[-2:] == ["Vehicle_Indensity", "Loading_Time"] and "_batch_id" not in first.columns

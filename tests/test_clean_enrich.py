@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pandas as pd
-from strata.operators import clean, enrich, joins, monitor
+from strata.operators import clean, enrich, monitor
 from strata.plans import gold, roads, traffic
 from strata.sources.testdata import load
 
@@ -76,15 +76,6 @@ def test_motor_count_excludes_pedal_cycles(spark):
     assert row.Motor_Vehicles_Count == 2 + 3 + 4 + 5 + 6 + 15
 
 
-def test_broadcast_only_when_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    plan_small = joins.broadcast_if_bounded(small, 50)._jdf.queryExecution().analyzed().toString()
-    plan_big = joins.broadcast_if_bounded(big, 50)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan_small.lower()
-    assert "broadcast" not in plan_big.lower()
-
-
 def test_gold_join_does_not_multiply_facts(spark):
     facts = spark.createDataFrame([(1, 1, 1, 10), (2, 1, 2, 20)], "id int, Region_id int, Road_Category_ID int, Motor_Vehicles_Count int")
     dims = spark.createDataFrame(
@@ -112,7 +103,7 @@ def test_region_summary(spark):
     assert (row.n_records, row.total_motor_vehicles, row.avg_intensity, row.total_link_km) == (2, 30, 2.0, 5.0)
 
 
-def test_gold_join_fallback_without_broadcast(spark):
+def test_gold_join_without_broadcast_and_without_jobs(spark):
     # hot key: a third of the facts share one (region, category)
     facts = spark.createDataFrame(
         [(i, 1 if i % 3 == 0 else i % 7, 3 if i % 3 == 0 else i % 5, i % 11) for i in range(3000)],
@@ -122,10 +113,21 @@ def test_gold_join_fallback_without_broadcast(spark):
         [(k % 7, k % 5, float(k), float(k * 10)) for k in range(200)],
         "Region_ID int, Road_Category_Id int, Total_Link_Length_Km double, All_Motor_Vehicles double",
     )
-    broadcast = gold.traffic_roads_join(facts, dims)
-    shuffled = gold.traffic_roads_join(facts, dims, max_broadcast_rows=0)
-    assert "broadcast" in broadcast._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in shuffled._jdf.queryExecution().analyzed().toString().lower()
     key = ["id", "n_roads", "road_link_km_sum", "road_vehicles_sum"]
-    assert sorted(broadcast.select(*key).collect()) == sorted(shuffled.select(*key).collect())
-    assert shuffled.count() == facts.count()
+    results = []
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sparkContext.setJobGroup("plan-only", "no job may run while the join is planned")
+        joined = gold.traffic_roads_join(facts, dims)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+        spark.sparkContext.setJobGroup("run", "")
+        results.append(sorted(joined.select(*key).collect()))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert results[0] == results[1] and len(results[0]) == 3000
+
+
+def test_payload_digest_is_one_for_equal_records(spark):
+    rows = [(1, 0.0, None, "a"), (1, -0.0, None, "a"), (1, 0.0, "", "a"), (1, 0.0, None, "b"), (None, 0.0, None, "a"), (1, None, None, "a")]
+    df = spark.createDataFrame(rows, "i int, d double, s string, t string")
+    got = [bytes(r.k) for r in df.select(clean.payload_digest(df).alias("k")).collect()]
+    assert got[0] == got[1] and len(set(got)) == 5

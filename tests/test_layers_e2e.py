@@ -1,15 +1,13 @@
 """End to end through the streaming layers.
 
-Roads: the six CSV files shipped with the source project (one with three
-planted errors) give golden counts.  Traffic: a synthetic CSV covering the
-edge cases (bad dates, ranges, NULLs, malformed cells, a short row, a long
-string, a repeat delivered in a later file).
+Roads: generated files with planted defects (``roads_feed``).  Traffic: a
+synthetic CSV covering the edge cases (bad dates, ranges, NULLs, malformed
+cells, a short row, a long string, a repeat delivered in a later file).
 """
 
 from __future__ import annotations
 
 import os
-import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,11 +15,13 @@ from pyspark.sql import functions as F
 from strata.plans import medallion
 from strata.sinks.tables import read_layer
 
-from .conftest import FIXTURES
+from . import roads_feed
 
 NN = "[Record_ID] expect_column_values_to_not_be_null"
 FMT = "[Count_date] expect_column_values_to_match_strftime_format"
 HOUR = "[hour] expect_column_values_to_be_between"
+LINE = "[Line] malformed_csv_line"
+LENGTH = "[Road_name] expect_column_value_lengths_to_be_between"
 CAT = "[Road_Category_Id] expect_column_values_to_be_between"
 
 HEADER = (
@@ -67,7 +67,8 @@ FILE1 = [
     _row(17, **{"Road name": "R" * 300}),
 ]
 FILE2 = [_row(1), _row(18)]
-EXPECTED_QUARANTINE = {2: NN, 3: FMT, 4: FMT, 5: HOUR, 6: HOUR, 7: CAT, 8: CAT, 10: f"{NN}; {HOUR}", 14: NN}
+EXPECTED_QUARANTINE = {2: NN, 3: FMT, 4: FMT, 5: HOUR, 6: HOUR, 7: CAT, 8: CAT, 10: f"{NN}; {HOUR}", 14: NN,
+                       16: LINE, 17: LENGTH}
 
 
 def _land_traffic(cfg, name, rows):
@@ -77,19 +78,12 @@ def _land_traffic(cfg, name, rows):
         fh.write(HEADER + "\n" + "\n".join(rows) + "\n")
 
 
-def _land_roads(cfg):
-    folder = cfg.landing("raw_roads")
-    os.makedirs(folder, exist_ok=True)
-    for f in sorted(os.listdir(FIXTURES / "raw_roads")):
-        shutil.copy(FIXTURES / "raw_roads" / f, os.path.join(folder, f))
-
-
 @pytest.fixture(scope="module")
 def layers(spark):
     from strata.config import LayerConfig
 
     cfg = LayerConfig.scratch(spark, "e2e")
-    _land_roads(cfg)
+    roads_feed.land(cfg.landing("raw_roads"))
     _land_traffic(cfg, "raw_traffic1.csv", FILE1)
     medallion.run_streams(spark, cfg)
     return cfg
@@ -104,20 +98,19 @@ def test_roads_golden_counts(spark, layers):
         "[Road_ID] expect_column_values_to_not_be_null",
         "[Road_ID] expect_column_values_to_not_be_null",
     ]
-    assert read_layer(spark, cfg.bronze("raw_roads")).count() == 453
+    assert read_layer(spark, cfg.bronze("raw_roads")).count() == roads_feed.N_BRONZE
     silver = spark.read.parquet(cfg.silver(medallion.SILVER_ROADS))
-    assert silver.count() == 380
-    assert silver.select("Road_ID").distinct().count() == 380
+    assert silver.count() == silver.select("Road_ID").distinct().count() == roads_feed.N_SILVER
     types = {r.Road_Type: r.n for r in silver.groupBy("Road_Type").agg(F.count("*").alias("n")).collect()}
-    assert types == {"Major": 295, "Minor": 85}
+    assert types == {"Major": 96, "Minor": 24}
     cats = {r.Road_Category: r.n for r in silver.groupBy("Road_Category").agg(F.count("*").alias("n")).collect()}
-    assert cats == {"TM": 86, "PM": 38, "TA": 86, "PA": 85, "M": 85}
-    assert silver.select("Region_ID", "Road_Category_Id").distinct().count() == 49
-    assert spark.read.parquet(cfg.gold(medallion.GOLD_ROADS)).count() == 380
-    # as coded in the source pipeline (its duplicate check has no effect): 453
+    assert cats == dict.fromkeys(roads_feed.CODES, 24)
+    assert silver.select("Region_ID", "Road_Category_Id").distinct().count() == 30
+    assert spark.read.parquet(cfg.gold(medallion.GOLD_ROADS)).count() == roads_feed.N_SILVER
+    # without dedup the repeated deliveries stay
     from strata.plans import roads
 
-    assert roads.silver(read_layer(spark, cfg.bronze("raw_roads")), dedup=False).count() == 453
+    assert roads.silver(read_layer(spark, cfg.bronze("raw_roads")), dedup=False).count() == roads_feed.N_BRONZE
 
 
 def test_traffic_edge_cases(spark, layers):
@@ -129,17 +122,16 @@ def test_traffic_edge_cases(spark, layers):
     }
     assert got == EXPECTED_QUARANTINE
     bronze = read_layer(spark, cfg.bronze("raw_traffic"))
-    assert sorted(r.Count_point_id for r in bronze.collect()) == [1, 9, 11, 12, 13, 15, 16, 17]
+    assert sorted(r.Count_point_id for r in bronze.collect()) == [1, 9, 11, 12, 13, 15]
     gold = {r.Count_point_id: r for r in spark.read.parquet(cfg.gold(medallion.GOLD_TRAFFIC)).collect()}
     assert gold[11].Direction_of_travel == "Unknown" and gold[11].Pedal_cycles == 0 and gold[11].EV_Bike == 0
     assert gold[12].Vehicle_Indensity is None and gold[13].Vehicle_Indensity is None and gold[13].Link_length_km == 0.0
     assert gold[15].hour == 0
     assert gold[1].Motor_Vehicles_Count == 2 + 30 + 4 + 5 + 6 + 15
     assert gold[1].Vehicle_Indensity == pytest.approx(62 / 2.5)
-    assert len(gold[17].Road_name) == 300
     assert all(r.Loading_Time is not None and r.Transformed_Time is not None for r in gold.values())
-    # One joined row per traffic row; roads of (region 1, category 3) from the fixture files
-    joined = spark.read.parquet(cfg.gold(medallion.GOLD_TRAFFIC_ROADS))
+    # One joined row per traffic row; roads of (region 1, category 3)
+    joined = spark.table(cfg.table(medallion.GOLD_TRAFFIC_ROADS))
     assert joined.count() == len(gold)
     roads_key = spark.read.parquet(cfg.silver(medallion.SILVER_ROADS)).filter(
         (F.col("Region_ID") == 1) & (F.col("Road_Category_Id") == 3)
@@ -162,7 +154,14 @@ def test_restart_reads_only_new_files(spark, layers):
     medallion.run_streams(spark, cfg)
     assert read_layer(spark, cfg.bronze("raw_traffic")).count() == before + 2
     silver = spark.read.parquet(cfg.silver(medallion.SILVER_TRAFFIC))
-    assert sorted(r.Count_point_id for r in silver.collect()) == [1, 9, 11, 12, 13, 15, 16, 17, 18]
+    assert sorted(r.Count_point_id for r in silver.collect()) == [1, 9, 11, 12, 13, 15, 18]
+
+
+def _files(folder, **texts):
+    os.makedirs(folder)
+    for name, text in texts.items():
+        with open(os.path.join(folder, f"{name}.csv"), "w") as fh:
+            fh.write(text)
 
 
 def test_header_report(spark):
@@ -170,16 +169,48 @@ def test_header_report(spark):
     from strata.schemas import ROADS_SCHEMA
     from strata.sources.files import header_report
 
-    root = fresh_dir(spark, "headers")
-    os.makedirs(root)
-    good = (FIXTURES / "raw_roads" / "raw_roads1.csv").read_text()
-    with open(os.path.join(root, "raw_roads_ok.csv"), "w") as fh:
-        fh.write(good)
-    with open(os.path.join(root, "raw_roads_renamed.csv"), "w") as fh:
-        fh.write(good.replace("Road ID", "Road Number", 1))
-    with open(os.path.join(root, "raw_roads_none.csv"), "w") as fh:
-        fh.write(good.split("\n", 1)[1])
-    rep = {os.path.basename(r.file_path): r for r in header_report(spark, root, ROADS_SCHEMA, glob="*.csv").collect()}
-    assert rep["raw_roads_ok.csv"].header_ok and rep["raw_roads_ok.csv"].n_rows == 76
-    assert not rep["raw_roads_renamed.csv"].header_ok
-    assert not rep["raw_roads_none.csv"].header_ok
+    root, good = fresh_dir(spark, "headers"), roads_feed.text("raw_roads1.csv")
+    header, rest = good.split("\n", 1)
+    quoted = ",".join(f'"{c}"' for c in header.split(","))
+    _files(
+        root, ok=good, renamed=good.replace("Road ID", "Road Number", 1), none=rest, late=rest.split("\n")[0] + "\n" + good,
+        quoted=quoted + "\n" + rest, empty="", blanks=good + "\n\n", swapped=good.replace("Road ID,Road category id", "Road category id,Road ID", 1),
+        short=header.rsplit(",", 1)[0] + "\n" + rest, only=header + "\n", marked="\ufeff" + good,
+    )
+    got = {os.path.basename(r.file_path)[:-4]: (r.header_ok, r.n_rows) for r in header_report(spark, root, ROADS_SCHEMA, glob="*.csv").collect()}
+    n = len(roads_feed.FILES["raw_roads1.csv"])
+    assert got == {
+        "ok": (True, n), "renamed": (False, n), "none": (False, n - 1), "late": (False, n + 1), "quoted": (True, n), "empty": (False, 0),
+        "blanks": (True, n), "swapped": (False, n), "short": (False, n), "only": (True, 0), "marked": (True, n),
+    }
+
+
+def test_files_with_wrong_headers_and_malformed_lines_are_quarantined(spark):
+    from strata.config import LayerConfig
+
+    cfg = LayerConfig.scratch(spark, "wrong-headers")
+    good = roads_feed.text("raw_roads1.csv")
+    lines = good.strip().split("\n")
+    swapped = good.replace("Road ID,Road category id", "Road category id,Road ID", 1)
+    _files(
+        cfg.landing("raw_roads"), raw_roads_ok=good, raw_roads_swapped=swapped,
+        raw_roads_lines="\n".join([lines[0], "7,1,TM", "8,1,TM,1,R,1.5,1.0,10,extra,more", '999,1,TM,1,"R, quoted",1.5,1.0,10', ""]),
+    )
+    for _ in range(2):  # the second run finds nothing new
+        medallion.run_streams(spark, cfg)
+        q = read_layer(spark, cfg.quarantine())
+        labels = sorted(r.violated_rules for r in q.collect())
+        assert labels == ["Table-level Schema/Count Error"] * len(lines) + ["[Line] malformed_csv_line"] * 2
+        raw = " ".join(r.raw_data for r in q.collect())
+        assert "raw_roads_swapped" in raw and "Road category id,Road ID" in raw and "7,1,TM" in raw
+        bronze = read_layer(spark, cfg.bronze("raw_roads"))
+        assert bronze.count() == len(lines) - 1 + 1
+        assert bronze.where("Road_ID = 999").first().Region_Name == "R, quoted"
+
+
+def test_streamed_layers_have_the_documented_columns(spark, layers):
+    from strata.schemas import TRAFFIC_COLUMNS
+
+    silver = [n for n, _ in TRAFFIC_COLUMNS] + ["Extract_Time", "Electrics_Vehicles_Count", "Motor_Vehicles_Count", "Transformed_Time"]
+    assert spark.read.parquet(layers.silver(medallion.SILVER_TRAFFIC)).columns == silver
+    assert spark.read.parquet(layers.gold(medallion.GOLD_TRAFFIC)).columns == [*silver, "Vehicle_Indensity", "Loading_Time"]

@@ -92,7 +92,7 @@ def test_recover_and_purge(spark, cfg, bronze):
     n_rec = keys.count()
     assert 0 < n_rec <= n_fmt
     target = read_layer(spark, cfg.bronze("t"))
-    assert target.filter(F.col("_batch_id") == "recovery").count() == n_rec
+    assert target.filter(F.col("_batch_id").startswith("recovery-")).count() == n_rec
     purge_quarantine(spark, cfg.quarantine(), keys)
     after = read_layer(spark, cfg.quarantine())
     assert after.count() == n_q - n_rec
@@ -192,3 +192,103 @@ def test_purge_is_safe_to_repeat(spark, cfg, bronze):
     once = read_layer(spark, cfg.quarantine()).count()
     purge_quarantine(spark, cfg.quarantine(), keys)  # a retried purge
     assert once == n - n_keys == read_layer(spark, cfg.quarantine()).count()
+
+
+def _recover(spark, cfg, rule, suite=traffic.SUITE, **kw):
+    return recover_quarantine(
+        spark, quarantine_path=cfg.quarantine(), table_name=traffic.TABLE, rule=rule, schema=TRAFFIC_BRONZE_SCHEMA,
+        suite=suite, target_path=cfg.bronze("t"), **kw
+    )
+
+
+def test_recoveries_do_not_replace_each_other_and_retries_do(spark, cfg, bronze):
+    _write(bronze, cfg)
+    n = bronze.count()
+    rule = f"[Count_date] {STRFTIME}"
+    before = read_layer(spark, cfg.bronze("t")).count()
+    first = _recover(spark, cfg, rule, repair=_repair)
+    again = _recover(spark, cfg, rule, repair=_repair)  # a retry before the purge
+    assert first.count() == again.count()
+    assert read_layer(spark, cfg.bronze("t")).count() == before + first.count()
+    purge_quarantine(spark, cfg.quarantine(), first)
+    loose = Suite(traffic.TABLE, tuple(r for r in traffic.SUITE.rules if r.column != "Record_ID"))
+    purge_quarantine(spark, cfg.quarantine(), _recover(spark, cfg, "[Record_ID] expect_column_values_to_not_be_null", loose))
+    assert read_layer(spark, cfg.bronze("t")).count() + read_layer(spark, cfg.quarantine()).count() == n
+    with pytest.raises(ValueError, match="exists already"):
+        _recover(spark, cfg, "[hour] expect_column_values_to_be_between", Suite(traffic.TABLE, ()), batch_id="0")
+
+
+def test_recovered_rows_get_a_new_ingest_time(spark, cfg, bronze):
+    old = F.lit("2020-01-01").cast("timestamp")
+    _write(bronze.withColumn("Extract_Time", old), cfg)
+    _recover(spark, cfg, f"[Count_date] {STRFTIME}", repair=_repair)
+    rows = read_layer(spark, cfg.bronze("t")).where("_batch_id <> '0'")
+    assert rows.count() > 0 and rows.where(F.col("Extract_Time") <= old).count() == 0
+
+
+def test_retry_under_a_corrected_suite_is_exact(spark, cfg):
+    df = spark.createDataFrame([(None, "x"), (None, "y")], "Record_ID int, v string")
+    strict, loose = Suite("t", (NotNull("Record_ID"),)), Suite("t", (NotNull("v"),))
+    _write(df, cfg, suite=strict)
+    _write(df, cfg, suite=loose)  # now all rows are good
+    assert read_layer(spark, cfg.bronze("t")).count() == 2
+    assert not os.path.exists(os.path.join(cfg.quarantine(), "table_name=t", "gx_batch_id=0"))
+    _write(df, cfg, suite=strict)  # and back
+    assert read_layer(spark, cfg.quarantine()).count() == 2
+    assert not os.path.exists(os.path.join(cfg.bronze("t"), "_batch_id=0"))
+
+
+def test_labels_with_special_characters_and_leading_zeros(spark, cfg):
+    df = spark.createDataFrame([(None, "x"), (1, "y")], "Record_ID int, v string")
+    suite = Suite("t", (NotNull("Record_ID"),))
+    for label in ("run:1/a=b", "007"):
+        _write(df, cfg, batch=label, suite=suite)
+    q = read_layer(spark, cfg.quarantine())
+    assert sorted(r.gx_batch_id for r in q.collect()) == ["007", "run:1/a=b"]
+    keys_path = cfg.root + "/keys"
+    q.where("gx_batch_id = 'run:1/a=b'").select("table_name", "gx_batch_id", "raw_data").write.parquet(keys_path)
+    purge_quarantine(spark, cfg.quarantine(), spark.read.parquet(keys_path))
+    assert [r.gx_batch_id for r in read_layer(spark, cfg.quarantine()).collect()] == ["007"]
+
+
+def test_fail_open_on_errors_while_rules_run(spark, cfg):
+    from dataclasses import dataclass
+
+    from strata.operators.rules import RowRule
+
+    @dataclass(frozen=True)
+    class Broken(RowRule):
+        def failed(self):
+            return (F.lit(1) / (F.col(self.column) - F.col(self.column))) > 0
+
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "Record_ID int, v string")
+    suite = Suite("t", (Broken("Record_ID"),))
+    with pytest.raises(Exception):
+        _write(df, cfg, suite=suite)
+    assert _write(df, cfg, suite=suite, on_error="pass_through").passed_through
+    assert read_layer(spark, cfg.bronze("t")).count() == 2
+
+
+def test_layer_exists_only_tells_of_data_files(spark, cfg):
+    from strata.sinks.tables import layer_exists
+
+    path = cfg.bronze("x")
+    assert not layer_exists(spark, path)
+    os.makedirs(path + "/_temporary/0")
+    for name in ("_SUCCESS", "_temporary/0/part-0.parquet"):
+        open(os.path.join(path, name), "w").close()
+    assert not layer_exists(spark, path)
+    os.makedirs(path + "/_batch_id=1")
+    with open(path + "/_batch_id=1/part-0.parquet", "w") as fh:
+        fh.write("not a parquet file")
+    assert layer_exists(spark, path)
+    with pytest.raises(Exception):
+        read_layer(spark, path).count()
+
+
+def test_quarantine_columns_are_commented(spark, cfg):
+    from strata.plans import medallion
+
+    medallion.setup_tables(spark, cfg)
+    rows = spark.sql(f"DESCRIBE {cfg.table(cfg.quarantine_table)}").collect()
+    assert all(r.comment for r in rows if r.col_name in ("table_name", "gx_batch_id", "violated_rules", "raw_data", "ingestion_time"))

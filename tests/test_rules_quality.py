@@ -144,14 +144,19 @@ def test_suite_spec_roundtrip(spark):
         suite_from_spec("t", [{"type": "expect_column_values_to_be_unique", "kwargs": {"column": "a"}}])
 
 
-def test_sql_forms_match_column_forms(spark):
-    from .test_strftime import ACCEPTED, REJECTED
-
-    dates = ACCEPTED + REJECTED + [None]
-    rows = [(i, None if i % 5 == 0 else i, d, i % 27 - 1, i % 8 - 1) for i, d in enumerate(dates)]
-    df = spark.createDataFrame(rows, "i int, Record_ID int, Count_date string, hour int, Road_Category_ID int")
-    df.createOrReplaceTempView("sql_form_rows")
-    by_col = {r.i: r.v for r in quality.annotate(df, traffic.SUITE).select("i", F.col(quality.VIOLATIONS).alias("v")).collect()}
-    by_sql = {r.i: r.v for r in spark.sql(f"SELECT i, {traffic.SUITE.sql_violations()} AS v FROM sql_form_rows").collect()}
-    assert by_col == by_sql
-    assert any(by_col.values()) and not all(by_col.values())
+def test_length_rules_from_a_schema(spark):
+    from strata.operators.rules import MaxLength, suite_from_spec, suite_to_spec
+
+    suite = SUITE.with_lengths(_df(spark).schema, 3)
+    assert suite.rules[-1] == MaxLength("name", 3) and suite.with_lengths(_df(spark).schema, 9) == suite
+    df = spark.createDataFrame([(1, 1, 1.0, "abc"), (2, 1, 1.0, "\u00e9\u00e9\u00e9"), (3, 1, 1.0, "abcd"), (4, 1, 1.0, None)], SCHEMA)
+    got = {r.id: r.v for r in quality.annotate(df, suite).select("id", quality.violated_rules_text().alias("v")).collect()}
+    assert got == {1: "", 2: "", 3: "[name] expect_column_value_lengths_to_be_between", 4: ""}
+    assert suite_from_spec("t", suite_to_spec(suite)) == suite
+
+
+def test_join_back_keeps_rows_without_violations(spark):
+    df = _df(spark)
+    regrouped = quality.violations_regroup(quality.violations_long(quality.annotate(df, SUITE), ["name"]), ["name"])
+    got = {r.name: r.violated_rules for r in quality.violations_join_back(df, regrouped, ["name"]).collect()}
+    assert set(got) == set("abcdef") and got["a"] is None and got["f"].count(";") == 2

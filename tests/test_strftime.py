@@ -96,3 +96,14 @@ def test_other_format_with_seconds(spark):
     got = spark_ok(spark, values, fmt)
     for i, v in enumerate(values):
         assert got[i] == python_ok(v, fmt), repr(v)
+
+
+def test_two_digit_and_missing_years(spark):
+    for fmt, values in {
+        "%m/%d/%y": ["02/29/24", "02/30/24", "02/29/23", "2/29/00", "04/31/10", "12/31/68", "12/31/69", "02/29/68", "02/29/70"],
+        "%m/%d": ["02/29", "02/28", "04/31", "12/31", "13/01"],
+        "%d.%m.": ["31.04.", "30.04.", "29.02."],
+    }.items():
+        got = spark_ok(spark, values, fmt)
+        for i, v in enumerate(values):
+            assert got[i] == python_ok(v, fmt), (fmt, v)
