@@ -9,8 +9,8 @@
    class whose buckets hold most others.  Every class is compared with the
    centres of its buckets, so a group of thousands of near copies costs about
    one comparison each.  Classes that did not join their centre's component are
-   then compared with the centre's other classes: all of them up to
-   ``SMALL_GROUP``, else those that :func:`_sharing` proves to be possible.  No
+   then compared with the centre's other classes: with all if at most
+   ``FEW_APART`` are apart, else those that :func:`_sharing` proves possible.  No
    pair of one bucket that could join two components is passed over.
 4. A pair's Jaccard similarity is first estimated jointly from its registers
    and set sizes by maximum likelihood; pairs that could reach the threshold
@@ -45,8 +45,8 @@ REGISTERS = 240
 BAND = 6
 _BASE, _RATE, _LIMIT = 1.001, 20.0, 65535
 _ROWS = 512
-#: Centres with so many classes at most have all their pairs looked at.
-SMALL_GROUP = 32
+#: With so few classes apart from a centre, each is compared with all its others.
+FEW_APART = 32
 
 
 def registers(members: np.ndarray) -> np.ndarray:
@@ -215,10 +215,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     placed = placed.withColumn("apart", F.coalesce("p_x", "x") != F.coalesce("p_c", "c")).select("c", "x", "apart")
     count = placed.groupBy("c").agg(F.count("*").alias("_all"), F.sum(F.col("apart").cast("long")).alias("_apart"))
     open_groups = cut_lineage(placed.join(count.where("_all > 1 and _apart > 0"), "c"))
-    few = open_groups.where(F.col("_all") <= SMALL_GROUP)
+    few = open_groups.where(F.col("_apart") <= FEW_APART)
     others = few.select(F.col("c").alias("_c"), F.col("x").alias("b"), F.col("apart").alias("_b_apart"))
     near = few.where("apart").select("c", F.col("x").alias("a")).join(others, (F.col("c") == F.col("_c")) & ((F.col("a") < F.col("b")) | ~F.col("_b_apart")))
-    many = open_groups.where(F.col("_all") > SMALL_GROUP).select("c", "x", "apart")
+    many = open_groups.where(F.col("_apart") > FEW_APART).select("c", "x", "apart")
     possible = near.select("a", "b").unionByName(_sharing(many, reps, docs, k, percent))
     apart = possible.join(part_of("a", "p_a"), "a", "left").join(part_of("b", "p_b"), "b", "left")
     apart = apart.where(F.coalesce("p_a", "a") != F.coalesce("p_b", "b")).select("a", "b")

@@ -48,12 +48,12 @@ def test_groups_match_brute_force(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
-@pytest.mark.parametrize("small", [0, 32, 10**6])
-def test_buckets_that_hold_several_components(spark, monkeypatch, small):
+@pytest.mark.parametrize("few", [0, 32, 10**6])
+def test_buckets_that_hold_several_components(spark, monkeypatch, few):
     """With one register a band almost all texts share buckets: no link may
     depend on which class is a bucket's centre, nor on how the rest is searched."""
     monkeypatch.setattr(neardup, "BAND", 1)
-    monkeypatch.setattr(neardup, "SMALL_GROUP", small)
+    monkeypatch.setattr(neardup, "FEW_APART", few)
     texts = _texts()[:130]
     texts += [" ".join(t.split()[: len(t.split()) * 9 // 10]) for t in texts[:40] if t]
     docs = brute.frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])
