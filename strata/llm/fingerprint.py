@@ -37,20 +37,19 @@ def with_bins(df: DataFrame, text: str, out: str, k: int = SHINGLE) -> DataFrame
     text without words.  Each step is a column of its own, so none is computed twice."""
     w, h, firsts, full = f"_{out}_w", f"_{out}_h", f"_{out}_f", f"_{out}_b"
     words = F.regexp_extract_all(lower_ascii(F.coalesce(F.col(text), F.lit(""))), F.lit(SPACED_WORD), F.lit(0))
-    hashes = F.transform(F.col(w), lambda x: F.xxhash64(x))
-    grams = F.transform(
-        F.sequence(F.lit(1), F.size(h) - k + 1), lambda i: F.xxhash64(*[F.element_at(h, i + j) for j in range(k)])
-    )
-    shingles = F.when(F.size(h) == 0, F.array().cast("array<bigint>")).when(F.size(h) < k, F.array(F.xxhash64(h))).otherwise(grams)
-    top = lambda x: F.shiftright(x, _TOP)
-    first_of_bin = F.filter(
-        F.col(h), lambda x, i: F.when(i == 0, F.lit(True)).otherwise(top(x) != top(F.element_at(h, F.greatest(i, F.lit(1)))))
-    )
-    bin_of = lambda x: (top(x) + BINS // 2).cast("int")
+    grams = F.transform(F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.xxhash64(F.slice(w, i, k)))
+    shingles = F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(w) < k, F.array(F.xxhash64(w))).otherwise(grams)
+    # In sorted order, the first hash and every hash whose top bits are not its predecessor's.
+    new_bin = F.filter(F.col(h), lambda x, i: F.shiftright(x.bitwiseXOR(F.get(F.col(h), i - 1)), _TOP) != 0)
+    bin_of = lambda x: (F.shiftright(x, _TOP) + BINS // 2).cast("int")
     low = lambda x: x.bitwiseAND(2**BITS - 1).cast("int")
-    by_bin = F.map_from_arrays(F.transform(firsts, bin_of), F.transform(firsts, low))
+    nothing = F.lit(None).cast("int")
+    # Nulls for the empty bins before each full one, its bits, and nulls up to the end.
+    gap = lambda x, i: bin_of(x) - F.coalesce(bin_of(F.get(F.col(firsts), i - 1)), F.lit(-1)) - 1
+    spaced_out = F.flatten(F.transform(firsts, lambda x, i: F.concat(F.array_repeat(nothing, gap(x, i)), F.array(low(x)))))
+    padded = F.slice(F.concat(spaced_out, F.array_repeat(nothing, BINS)), 1, BINS)
     bins = F.sequence(F.lit(0), F.lit(BINS - 1))
-    filled = F.when(F.size(firsts) == BINS, F.transform(firsts, low)).otherwise(F.transform(bins, lambda j: by_bin[j]))
+    filled = F.when(F.size(firsts) == BINS, F.transform(firsts, low)).otherwise(padded)
 
     def borrowed(j: Column) -> Column:
         probe = F.aggregate(
@@ -66,9 +65,8 @@ def with_bins(df: DataFrame, text: str, out: str, k: int = SHINGLE) -> DataFrame
     )
     return (
         df.withColumn(w, words)
-        .withColumn(h, hashes)
         .withColumn(h, F.sort_array(shingles))
-        .withColumn(firsts, first_of_bin)
+        .withColumn(firsts, F.concat(F.slice(h, 1, 1), new_bin))
         .withColumn(full, filled)
         .withColumn(out, F.when(F.size(firsts) == 0, F.array().cast("array<int>")).otherwise(dense))
         .drop(w, h, firsts, full)
