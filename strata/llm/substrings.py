@@ -36,14 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import keyed, read_table, unkeyed
+from .common import cut_lineage, keyed, read_table, unkeyed
 from .suffixes import adjacent_prefixes, eights, joined, suffix_array
 from .words import mix64, powers, random64, text_bytes
 
 LENGTH = 100
 ANCHOR = 32
-HOT_PIECES = 20_000
-BATCH_BYTES = 4 << 20
+HOT_PIECES = 5_000
+#: Bytes of pieces that one suffix array holds: its numpy arrays take some 150 bytes for each.
+BATCH_BYTES = 1 << 20
 _PIECE = 1 << 19
 _TIE_BITS = 24
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -237,8 +238,8 @@ def _by_digest(fetched: DataFrame) -> DataFrame:
 
 
 def _fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of pieces (anchor, _id, _at, hot)."""
-    per_doc = wanted.groupBy("_id", F.expr(_TIE).alias("_tie")).agg(F.collect_list(F.struct("anchor", "_at", "hot")).alias("own"))
+    """The bytes of pieces (anchor, _id, _at)."""
+    per_doc = wanted.groupBy("_id", F.expr(_TIE).alias("_tie")).agg(F.collect_list(F.struct("anchor", "_at")).alias("own"))
     rows = texts.join(per_doc, ["_id", "_tie"]).select("_id", "_text", "own")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,13 +253,12 @@ def _fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                         pa.array([x["anchor"] for x in own], pa.int64()),
                         pa.array([doc] * len(own), pa.int64()),
                         pa.array([x["_at"] for x in own], pa.int64()),
-                        pa.array([x["hot"] for x in own], pa.bool_()),
                         pa.array([body[p : p + more + LENGTH] for p, more in spans], pa.binary()),
                     ],
-                    names=["anchor", "_id", "_at", "hot", "body"],
+                    names=["anchor", "_id", "_at", "body"],
                 )
 
-    return rows.mapInArrow(fetch, "anchor long, _id long, _at long, hot boolean, body binary")
+    return rows.mapInArrow(fetch, "anchor long, _id long, _at long, body binary")
 
 
 def _without(texts: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -311,8 +311,10 @@ def repeated_substrings(docs: DataFrame, hot_pieces: int = HOT_PIECES) -> DataFr
     )
     whole = marked.where("not new").select("_id", F.expr(_TIE).alias("_tie"), F.expr(_FIRST).alias("lo"), F.expr(f"{_FIRST} + {_MORE}").alias("hi"))
     open_pieces = marked.where("new and _kinds > 1").select("anchor", "_id", "_at", (F.col("_kinds") > hot_pieces).alias("hot"))
-    fetched = _fetch(texts, open_pieces)
-    ranges = whole.unionByName(_by_suffix_array(fetched.where("not hot"))).unionByName(_by_digest(fetched.where("hot")))
+    open_pieces = cut_lineage(open_pieces)
+    ranges = whole.unionByName(_by_suffix_array(_fetch(texts, open_pieces.where("not hot"))))
+    if not open_pieces.where("hot").isEmpty():
+        ranges = ranges.unionByName(_by_digest(_fetch(texts, open_pieces.where("hot"))))
     result = _without(texts, ranges).withColumnsRenamed({"_id": "_fid", "_tie": "_ftie"})
 
     all_rows = digests.join(firsts, "_md5").join(result, (F.col("first._id") == F.col("_fid")) & (F.col("first._tie") == F.col("_ftie")))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .words import powers, random64
+
 
 def joined(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All strings as one array of 1..256 with a 0 after each, and their starts."""
@@ -40,17 +42,26 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
     return (text[change] < after[change]) | (text == 0)
 
 
-def direct_sort(key: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
+def prefix_hashes(text: np.ndarray, depth: int) -> np.ndarray:
+    """A 64-bit hash of the next ``depth`` symbols at each place (fewer at the end)."""
+    n = len(text)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(random64(257, 31)[text] * powers(n), out=sums[1:])
+        ends = np.minimum(np.arange(n) + depth, n)
+        return (sums[ends] - sums[:n]) * powers(n, inverse=True)
+
+
+def direct_sort(key: np.ndarray, whole: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """``places`` in order of the suffixes there, by seven symbols at a time;
-    only ties go on."""
-    order = places[np.argsort(key[places], kind="stable")]
+    only ties whose next ``depth`` symbols (``whole``) differ go on."""
+    order = places[np.argsort(key[places])]
     group = np.concatenate([[0], np.cumsum(key[order[1:]] != key[order[:-1]])]) if len(order) else order
     for d in range(7, depth, 7):
-        tied = np.zeros(len(order), bool)
-        same = group[1:] == group[:-1]
-        tied[1:] |= same
-        tied[:-1] |= same
-        at = np.flatnonzero(tied)
+        unlike = (group[1:] == group[:-1]) & (whole[order[1:]] != whole[order[:-1]])
+        going = np.zeros(int(group[-1]) + 1 if len(group) else 0, bool)
+        going[group[1:][unlike]] = True
+        at = np.flatnonzero(going[group])
         if not len(at):
             break
         further = order[at] + d
@@ -72,7 +83,7 @@ def suffix_array(text: np.ndarray, key: np.ndarray, depth: int) -> np.ndarray:
     rank[ends] = np.arange(len(ends))
     order, filled = [ends], len(ends)
 
-    sorted_s = direct_sort(key, np.flatnonzero(direct & (text > 0)), depth)
+    sorted_s = direct_sort(key, prefix_hashes(text, depth), np.flatnonzero(direct & (text > 0)), depth)
     s_bounds = np.searchsorted(text[sorted_s], np.arange(1, 258))
     rest = np.flatnonzero(~direct)
     rest = rest[np.argsort(text[rest], kind="stable")]
