@@ -148,9 +148,9 @@ def _sharing(grouped: DataFrame, reps: DataFrame, docs: DataFrame, k: int, perce
     outside c, one of those is in b as well.  So a is joined with the members
     that share one of its rarest shingles outside c: of any |a| - o + 1 one must
     match, and |a| - o is at most (1 - j) |a|.  Only if a has no more than
-    |a| - o outside c (then b is much smaller) is there no such shingle.
+    |a| - o outside c (then b is much smaller) is there no such shingle.  All in
+    whole numbers: as doubles, the bounds of many sizes are one too low.
     """
-    j = percent / 100
     sizes = reps.groupBy(F.col("node").alias("x")).agg(F.max("_n").alias("n"))
     texts = keyed(docs)
     of_centre = grouped.select("c").distinct().join(texts.select(F.col("_id").alias("c"), F.col("_text").alias("t_c")), "c")
@@ -165,17 +165,17 @@ def _sharing(grouped: DataFrame, reps: DataFrame, docs: DataFrame, k: int, perce
     ranked = places.join(rare, (F.col("c") == F.col("_c")) & (F.col("e") == F.col("_e"))).drop("_c", "_e")
     order = Window.partitionBy("c", "x").orderBy("_times", "e")
     probes = ranked.where("apart").withColumn("_rank", F.row_number().over(order)).join(sizes, "x")
-    probes = probes.where((F.col("_rank") <= F.floor(F.col("n") * (1 - j)) + 1) & (F.col("_times") > 1)).select("c", "e", F.col("x").alias("a"))
+    probes = probes.where(((F.col("_rank") - 1) * 100 <= F.col("n") * (100 - percent)) & (F.col("_times") > 1)).select("c", "e", F.col("x").alias("a"))
     holders = ranked.where("_times > 1").select(F.col("c").alias("_c"), F.col("e").alias("_e"), F.col("x").alias("b"))
     shared = probes.join(holders, (F.col("c") == F.col("_c")) & (F.col("e") == F.col("_e")) & (F.col("a") != F.col("b"))).select("a", "b")
 
     counted = outside.select("c", "x", "apart", F.size("e").alias("out")).join(sizes, "x")
     few = counted.where("apart").select("c", F.col("x").alias("a"), "out", F.col("n").alias("n_a"))
-    few = few.where(F.col("out") <= F.col("n_a") * (1 - j))
+    few = few.where(F.col("out") * 100 <= F.col("n_a") * (100 - percent))
     small = counted.select(F.col("c").alias("_c"), F.col("x").alias("b"), F.col("n").alias("n_b"))
-    overlap = (F.col("n_a") + F.col("n_b")) * (j / (1 + j))
+    enough = (F.col("n_a") + F.col("n_b")) * percent <= (F.col("n_a") - F.col("out")) * (100 + percent)
     weak = few.join(
-        small, (F.col("c") == F.col("_c")) & (F.col("n_b") >= F.col("n_a") * j) & (F.col("out") <= F.col("n_a") - overlap + 1e-6) & (F.col("a") != F.col("b"))
+        small, (F.col("c") == F.col("_c")) & (F.col("n_b") * 100 >= F.col("n_a") * percent) & enough & (F.col("a") != F.col("b"))
     ).select("a", "b")
     return shared.unionByName(weak).distinct()
 

@@ -61,6 +61,24 @@ def test_buckets_that_hold_several_components(spark, monkeypatch, few):
     assert [got[i] for i in range(len(texts))] == brute.groups(texts, 2)
 
 
+def _exactly_at_the_threshold(size):
+    """A centre, a class near it, one at exactly 0.8 to that but not to the
+    centre, and forty others apart from the centre."""
+    centre = [f"c{i}" for i in range(size)]
+    near = ["b0", *centre[1:]]
+    far = near + [f"a{i}" for i in range(size // 4)]
+    others = [centre + [f"o{n}_{i}" for i in range(size * 26 // 100)] for n in range(40)]
+    return [" ".join(w) for w in (centre, near, far, *others)]
+
+
+def test_pairs_at_exactly_the_threshold_are_possible(spark):
+    texts = _exactly_at_the_threshold(100)
+    docs = brute.frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    grouped = spark.createDataFrame([(0, x, x != 1) for x in range(1, len(texts))], "c long, x long, apart boolean")
+    reps = neardup.sketches(docs, 1).selectExpr("_id AS node", "_n", "_regs")
+    assert (2, 1) in {tuple(r) for r in neardup._sharing(grouped, reps, docs, 1, 80).collect()}
+
+
 def test_rows_of_one_id_and_null_ids(spark):
     long = " ".join(VOCABULARY[:80])
     other = " ".join(VOCABULARY[100:180])
