@@ -50,6 +50,26 @@ def test_targets_taken_and_limits(spark):
         assert all(abs(taken[s] - want[s]) <= 8 * shards for s in names), (taken, want)
 
 
+def test_small_sources_of_short_texts_come_near_their_targets(spark):
+    """However many shards a table has: a source with one document a shard, one
+    that is taken once, and one whose texts are mostly empty."""
+    rows = [(i, " ".join(["w"] * 100), None, "a") for i in range(600)]
+    rows += [(1000 + i, " ".join(["w"] * 10), None, "b") for i in range(100)]
+    rows += [(2000 + i, "w w w" if i % 10 == 0 else "", None, "c") for i in range(100)]
+    for per_shard, weights in ((4000, (1, 2, 3)), (8, (1, 2, 3)), (8, (1, 0.02, 0.001))):
+        got = mix(brute.frame(spark, rows), weights, docs_per_shard=per_shard).collect()
+        assert len(got) == len(rows)
+        for lo, hi, size, want in zip((0, 1000, 2000), (600, 1100, 2100), (60000, 1000, 30), _targets([60000, 1000, 30], weights)):
+            own = [r for r in got if lo <= r.doc_id < hi]
+            assert {(r.source_size, r.size == 0 and r.taken > 0) for r in own} == {(size, False)}
+            assert abs(sum(r.taken for r in own) - want) <= 64, (per_shard, weights, want)
+            if lo == 1000 and want == 3 * size:
+                assert sum(r.copies for r in own) >= 3 * len(own) - 7
+            assert all(r.taken <= 3 * r.size for r in own)
+    once = [r.taken / r.size for r in got if 1000 <= r.doc_id < 1100]
+    assert max(once) - min(once) <= 1
+
+
 def test_reruns_agree(spark):
     docs = brute.frame(spark, _docs())
     runs = [sorted((r.doc_id or -1, r.size, r.taken, r.copies) for r in mix(d, docs_per_shard=60).collect()) for d in (docs, docs.repartition(5, "text"))]
@@ -84,6 +104,14 @@ def test_apportionment_matches_the_highest_quotients(spark):
         assert [r.quota for r in got if r.g == g] == _highest_quotients(votes, n)
 
 
+def test_seats_go_to_the_parties_that_win_them(spark):
+    """As for sources: one group, in the order of ``_rank``."""
+    votes = [57940, 3000, 90]
+    parties = spark.createDataFrame([(i, v, 954) for i, v in enumerate(votes)], "_rank int, v long, n long")
+    got = {r._rank: r.quota for r in sainte_lague(parties, [], "v", "n", ["_rank"]).collect()}
+    assert [got[i] for i in range(3)] == _highest_quotients(votes, 954)
+
+
 def test_no_python_in_the_plan(spark):
     plan = mix(brute.frame(spark, _docs()).withColumn("x", F.lit(1)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
