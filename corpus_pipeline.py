@@ -21,8 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by five-word shingles at 0.8, the smallest doc_id stays."""
-    return neardup.drop_near_duplicates(docs).select(*docs.columns)
+    """Of each group of texts linked by five-word shingles at 0.8, the smallest doc_id stays."""
+    return neardup.drop_near_duplicate_texts(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,13 +28,14 @@ component); an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import NO_ID, SPACED_WORD, cut_lineage, keyed, lower_ascii, read_table, unkeyed
@@ -242,6 +243,36 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> Data
     return stay.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row", "_kept_id")
 
 
+def _text_key(docs: DataFrame) -> Column:
+    """A 64-bit key of each row's (doc_id, text), different for all different
+    ones of ``docs``: the first of a series of hashes without a collision."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text")
+    own = [doc_id.isNull(), text.isNull(), doc_id, text]
+    digest = F.struct(doc_id, F.md5(F.encode(text, "utf-8")))
+    for seed in itertools.count():
+        key = F.xxhash64(F.lit(seed), *own)
+        of_key = docs.select(key.alias("key"), digest.alias("d")).groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+        if not of_key.where((~F.col("lo").eqNullSafe(F.col("hi"))) | (F.col("key") == NO_ID)).count():
+            return key
+
+
+def drop_near_duplicate_texts(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The documents that stay, where every text counts for itself, whatever its
+    id: of each group of linked texts the one with the smallest doc_id (null
+    last).  Texts are not linked by a null or repeated id; rows of one doc_id and
+    one text are one document, and the first by their other columns stays."""
+    key = _text_key(docs)
+    groups = near_duplicates(docs.select(key.alias("doc_id"), "text"), k, percent)
+    groups = groups.select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).distinct()
+    ids = docs.select(key.alias("_of"), F.col("doc_id").cast("long").alias("_doc")).distinct()
+    order = F.struct(F.col("_doc").isNull(), "_doc", "_key")
+    kept = groups.join(ids, F.col("_key") == F.col("_of")).groupBy("_group").agg(F.min_by("_key", order).alias("_kept"))
+    kept = cut_lineage(kept.select("_kept"))
+    stay = docs.withColumn("_key", key).join(kept, F.col("_key") == F.col("_kept"))
+    first = Window.partitionBy("_key").orderBy("_key", *[F.col(c).asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")])
+    return stay.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(*docs.columns)
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), k=2)
 

@@ -91,6 +91,23 @@ def test_rows_of_one_id_and_null_ids(spark):
     assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "apart"), (3, long + " y")]
 
 
+def test_texts_are_not_linked_by_null_or_repeated_ids(spark):
+    long, other, third = (" ".join(VOCABULARY[i : i + 80]) for i in (0, 100, 200))
+    rows = [(None, long, None, None), (None, other, None, None), (None, other, None, "s"), (None, None, None, None), (5, other + " x", None, None)]
+    rows += [(7, third, None, None), (7, "apart", None, None), (7, "apart", None, None), (9, "", None, None), (3, third + " y", None, None)]
+    kept = neardup.drop_near_duplicate_texts(brute.frame(spark, rows, clash=True))
+    assert kept.columns == brute.frame(spark, rows, clash=True).columns
+    want = [(None, long), (None, None), (5, other + " x"), (7, "apart"), (9, ""), (3, third + " y")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert neardup.drop_near_duplicate_texts(brute.frame(spark, [])).count() == 0
+
+
+def test_text_keys_differ(spark):
+    rows = [(i, t, None, None) for i in (None, 0, 1) for t in (None, "", "a", "b")]
+    docs = brute.frame(spark, rows + rows)
+    assert docs.select(neardup._text_key(docs)).distinct().count() == len(rows)
+
+
 def test_empty_table(spark):
     assert neardup.near_duplicates(brute.frame(spark, [])).count() == 0
 

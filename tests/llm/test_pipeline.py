@@ -43,6 +43,17 @@ def test_one_of_each_group_stays(stages):
     assert after == [r for i, r in enumerate(before) if group[i] == i]
 
 
+def test_documents_without_an_id_stay_if_their_texts_differ(spark):
+    texts = [" ".join(f"t{n}w{i}" for i in range(30)) for n in range(6)]
+    docs = brute.frame(spark, [(None if n % 2 else n, t, None, None) for n, t in enumerate(texts)] + [(None, texts[0], None, None)])
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF_SMALL)
+    assert Counter(_rows_of(got)) == Counter((None if n % 2 else n, t) for n, t in enumerate(texts))
+
+
+def _rows_of(df):
+    return [(r.doc_id, r.text) for r in df.collect()]
+
+
 def test_leaks_go_and_clean_documents_stay(spark, stages):
     before, after = map(_rows, stages[2])
     items = [tuple(r) for r in read_table(spark, SF_SMALL, "benchmark").select("item_id", "text").collect()]
