@@ -2,9 +2,9 @@
 
 The index holds the words of all licence phrases and templates with their
 inverse document frequency over the scanned documents.  A file's licence words
-are looked up by the rarest words of each template; a word's place less its
-place in the template is where the template would start.  There, phrases must
-stand word for word, and longer templates must agree with ``MIN_SHARE`` of
+are looked up by the rarest words of each template, so many that a text without
+any of them in place cannot reach ``MIN_SHARE``; a word's place less its place
+in the template is where the template would start.  There, phrases must stand word for word, and longer templates must agree with ``MIN_SHARE`` of
 their IDF weight and contain their mandatory key phrases.
 
 Native: array expressions over each text's words; only the word counts are
@@ -44,7 +44,7 @@ TEMPLATES = [
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
 ]
 MIN_SHARE = 0.8
-#: Rarest words by which a template is looked up.
+#: Rarest words by which a template is looked up, at least.
 RARE_WORDS = 2
 
 
@@ -60,6 +60,15 @@ def _rarest(phrase: Sequence[str], idf: dict[str, float]) -> list[str]:
     return sorted(set(phrase), key=lambda w: (-idf[w], w))
 
 
+def _lookup_words(template: Sequence[str], idf: dict[str, float]) -> list[str]:
+    """The rarest words that together weigh more than what a match may lack."""
+    rarest, total = _rarest(template, idf), sum(idf[w] for w in template)
+    n = RARE_WORDS
+    while n < len(rarest) and sum(idf[w] for w in template if w in rarest[:n]) <= (1 - MIN_SHARE + 1e-9) * total:
+        n += 1
+    return rarest[:n]
+
+
 def _starts(word: str, place: int) -> Column:
     """Where a template with ``word`` at ``place`` would start."""
     return F.transform(F.filter("_posted", lambda x: x["w"] == word), lambda x: x["i"] - place)
@@ -78,7 +87,7 @@ def _phrase_starts(phrase: Sequence[str], idf: dict[str, float]) -> Column:
 def _template_score(template: Sequence[str], keys: Sequence[Sequence[str]], idf: dict[str, float]) -> Column:
     """The best share of the template's IDF weight at any start where all key
     phrases stand nearby (within the template's length); 0 if there is none."""
-    starts = F.array_distinct(F.concat(*[_starts(w, p) for w in _rarest(template, idf)[:RARE_WORDS] for p, x in enumerate(template) if x == w]))
+    starts = F.array_distinct(F.concat(*[_starts(w, p) for w in _lookup_words(template, idf) for p, x in enumerate(template) if x == w]))
     total = sum(idf[w] for w in template)
 
     def share(s: Column) -> Column:
@@ -104,7 +113,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words = docs.select(F.col(id_col).alias("doc_id"), F.regexp_extract_all(text, F.lit(PLAIN_WORD), F.lit(0)).alias("_words"))
     idf = word_idf(words, vocabulary)
 
-    looked_up = sorted({_rarest(p, idf)[0] for p, _ in phrases} | {w for _, t, _ in templates for w in _rarest(t, idf)[:RARE_WORDS]})
+    looked_up = sorted({_rarest(p, idf)[0] for p, _ in phrases} | {w for _, t, _ in templates for w in _lookup_words(t, idf)})
     posted = F.filter(F.transform("_words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(looked_up))
     none = F.array().cast("array<struct<w:string,i:int>>")
     rows = words.withColumn("_posted", F.when(F.arrays_overlap("_words", F.array(*[F.lit(w) for w in looked_up])), posted).otherwise(none))

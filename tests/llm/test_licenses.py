@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from strata.llm.common import read_table
-from strata.llm.licenses import PHRASES, op5_license_scan, scan_licenses
+from strata.llm.licenses import PHRASES, TEMPLATES, op5_license_scan, scan_licenses
 from . import brute
 from ..conftest import SF_SMALL
 
@@ -59,3 +59,11 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = op5_license_scan(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_templates_without_their_rarest_words_are_found(spark):
+    changed = {label: t for label, t, _ in TEMPLATES}["mit"].replace("copy", "duplicate").replace("software", "program")
+    rows = [(0, f"x {changed} y", None, None)] + [(i, "nothing", None, None) for i in range(1, 50)]
+    got = {r.doc_id: r for r in scan_licenses(brute.frame(spark, rows)).collect()}
+    assert got[0].labels == "mit" and 0.8 <= got[0].score < 1
+    assert got[1].labels == ""
