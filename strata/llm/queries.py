@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprint, langid, licenses, mixture, neardup, sharding, substrings, tokencount, urlfilter
+from . import bytebpe, decontaminate, filteraudit, fingerprint, langid, licenses, mixture, neardup, sharding, substrings, tokencount, urlfilter
 
 LLM_QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -15,6 +15,8 @@ LLM_QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_source_mix": mixture.op9_source_mix,
     "op10_rendezvous_shards": sharding.op10_rendezvous_shards,
+    "op11_filter_audit": filteraudit.op11_filter_audit,
+    "op13_byte_bpe": bytebpe.op13_byte_bpe,
 }
 
 LLM_ORACLE = {
@@ -23,4 +25,5 @@ LLM_ORACLE = {
     "op6_suffix_dedup": substrings.OP6_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_rendezvous_shards": sharding.OP10_SQL,
+    "op11_filter_audit": filteraudit.OP11_SQL,
 }

@@ -121,6 +121,34 @@ class WordHasher:
         return hashes, np.searchsorted(cuts[1:] - base, starts, side="right")
 
 
+def word_pieces(data: bytes, table: bytes | None = None, size: int = PIECE) -> Iterator[list[bytes]]:
+    """The words of a text (UTF-8) between ASCII white space, some at a time;
+    ``table`` replaces bytes first, as in ``bytes.translate``."""
+    head: list[bytes] = []  # a word that the end of a piece cuts
+    for start in range(0, len(data), size):
+        piece = data[start : start + size] if len(data) > size else data
+        if table is not None:
+            piece = piece.translate(table)
+        words = piece.split()
+        if head and (not words or piece[:1].isspace()):
+            yield [b"".join(head)]
+            head = []
+        if not words:
+            continue
+        cut = start + size < len(data) and not piece[-1:].isspace()
+        if head:
+            head.append(words[0])
+            if cut and len(words) == 1:
+                continue
+            words[0] = b"".join(head)
+            head = []
+        if cut:
+            head = [words.pop()]
+        yield words
+    if head:
+        yield [b"".join(head)]
+
+
 def _flags(separators: list[int]) -> np.ndarray:
     flags = np.ones(256, bool)
     flags[separators] = False

@@ -14,7 +14,7 @@ from ..conftest import SF_SMALL
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in LLM_QUERIES) == list(range(1, 12)) + [13]
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(LLM_ORACLE) <= set(LLM_QUERIES)
 
@@ -22,7 +22,7 @@ def test_one_query_for_each_operator():
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "labels"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_SMALL}/{table}.parquet'")
     df, rel = LLM_QUERIES[name](spark, SF_SMALL), con.sql(LLM_ORACLE[name])
     columns = sorted(df.columns)
