@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import bytebpe, decontaminate, filteraudit, fingerprint, langid, licenses, mixture, neardup, sharding, substrings, tokencount, urlfilter
+from . import (
+    bytebpe,
+    decontaminate,
+    divergence,
+    filteraudit,
+    fingerprint,
+    langid,
+    licenses,
+    mixture,
+    neardup,
+    sharding,
+    substrings,
+    tokencount,
+    urlfilter,
+)
 
 LLM_QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -16,6 +30,7 @@ LLM_QUERIES = {
     "op9_source_mix": mixture.op9_source_mix,
     "op10_rendezvous_shards": sharding.op10_rendezvous_shards,
     "op11_filter_audit": filteraudit.op11_filter_audit,
+    "op12_source_divergence": divergence.op12_source_divergence,
     "op13_byte_bpe": bytebpe.op13_byte_bpe,
 }
 
@@ -26,4 +41,5 @@ LLM_ORACLE = {
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_rendezvous_shards": sharding.OP10_SQL,
     "op11_filter_audit": filteraudit.OP11_SQL,
+    "op12_source_divergence": divergence.OP12_SQL,
 }

@@ -14,7 +14,7 @@ from ..conftest import SF_SMALL
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in LLM_QUERIES) == list(range(1, 12)) + [13]
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in LLM_QUERIES) == list(range(1, 14))
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(LLM_ORACLE) <= set(LLM_QUERIES)
 
