@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+from heapq import heappop
 
+import numpy as np
 import pytest
 
 from strata.llm.bytebpe import RankQueue, Splitter, Vocabulary, decode_ids, encode_texts, op13_byte_bpe
@@ -22,6 +24,10 @@ def _digests(text):
     return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def merged(vocabulary, text):
+    return vocabulary.merge([text.encode()])[0].tolist()
+
+
 def test_the_queue_gives_ranks_and_places_in_order():
     rnd = random.Random(2)
     queue, kept = RankQueue(60_000), []
@@ -31,21 +37,35 @@ def test_the_queue_gives_ranks_and_places_in_order():
             kept.append(entry)
             queue.push(*entry)
         elif kept:
-            assert queue.pop() == min(kept)
-            kept.remove(min(kept))
+            _pop(queue, kept)
     while kept:
-        assert queue.pop() == min(kept)
-        kept.remove(min(kept))
-    assert queue.pop() is None and not queue.buckets
+        _pop(queue, kept)
+    assert queue.lowest() is None and not queue.buckets and not any(queue.low) and not any(queue.middle)
+
+
+def _pop(queue, kept):
+    rank = queue.lowest()
+    place = heappop(queue.buckets[rank])
+    if not queue.buckets[rank]:
+        queue.drop(rank)
+    assert (rank, place) == min(kept)
+    kept.remove(min(kept))
 
 
 def test_merges_of_pre_tokens_equal_the_library():
     rnd = random.Random(3)
+    pieces, ids = [], []
     alphabets = ["ab", "aA", "theing", "é日本ß", "=-", "0123456789", "aeiou \n"]
     for k in range(1500):
         piece = "".join(rnd.choice(alphabets[k % len(alphabets)]) for _ in range(rnd.choice([1, 2, 3, 7, 30, 300])))
         want = tiktoken.Encoding("one", pat_str=r"[\s\S]+", mergeable_ranks=VOCABULARY.ranks, special_tokens={}) if k == 0 else want
-        assert VOCABULARY.merge(piece.encode()) == want.encode_ordinary(piece)
+        pieces.append(piece)
+        ids.append(want.encode_ordinary(piece))
+        if len(ids[-1]) > 1:
+            assert merged(VOCABULARY, piece) == ids[-1]
+    assert VOCABULARY.encode([pieces, [], pieces[:9]]) == [np.array(sum(x, []), np.int32).tobytes() for x in (ids, [], ids[:9])]
+    some = [(p, i) for p, i in zip(pieces, ids) if len(i) > 1]
+    assert [m.tolist() for m in VOCABULARY.merge([p.encode() for p, _ in some])] == [i for _, i in some]
 
 
 def test_a_vocabulary_whose_lower_ranks_appear_late():
@@ -58,13 +78,15 @@ def test_a_vocabulary_whose_lower_ranks_appear_late():
             ranks[word.encode()] = 256 + n
         text = "".join(rnd.choice("ab") for _ in range(40))
         plain = tiktoken.Encoding("odd", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        assert Vocabulary(ranks).merge(text.encode()) == plain.encode_ordinary(text)
+        other = "".join(rnd.choice("ab") for _ in range(9))
+        got = Vocabulary(ranks).merge([text.encode(), other.encode(), text.encode(), b"a"])
+        assert [g.tolist() for g in got] == [plain.encode_ordinary(t) for t in (text, other, text, "a")]
 
 
 def test_a_very_long_pre_token_takes_steps_in_proportion():
     piece = "".join(random.Random(5).choice("abcdefgh") for _ in range(200_000))
-    assert VOCABULARY.merge(piece.encode()) == PLAIN.encode_ordinary(piece)
-    assert VOCABULARY.decode(__import__("numpy").array(VOCABULARY.merge(b"a" * 100_000))) == b"a" * 100_000
+    assert merged(VOCABULARY, piece) == PLAIN.encode_ordinary(piece)
+    assert VOCABULARY.decode(VOCABULARY.merge([b"a" * 100_000])[0]) == b"a" * 100_000
 
 
 def test_texts_are_cut_as_the_library_cuts_them():
@@ -73,10 +95,22 @@ def test_texts_are_cut_as_the_library_cuts_them():
     parts = ["a", "Z", "'s", "'re", "'", " ", "  ", "\n", "\t", " ", "　", "\x1c", "\x85", "1", "½", "٣", "é", "日", "!", "..", "​", *new]
     for _ in range(4000):
         text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12)))
-        ids = [i for pieces in split(text) for piece in pieces for i in VOCABULARY.merge(piece.encode())]
+        ids = np.frombuffer(b"".join(VOCABULARY.encode(list(split(text)))), np.int32).tolist()
         assert ids == PLAIN.encode_ordinary(text), ascii(text)
 
 
+def test_what_is_kept_does_not_matter(monkeypatch):
+    from strata.llm import bytebpe
+
+    monkeypatch.setattr(bytebpe, "CACHE", 5)
+    own, rnd = Vocabulary(VOCABULARY.ranks), random.Random(7)
+    for _ in range(300):
+        pieces = ["".join(rnd.choice("abcx") for _ in range(rnd.randint(1, 6))) for _ in range(rnd.randint(0, 9))]
+        want = [i for p in pieces for i in PLAIN.encode_ordinary(p)]
+        assert np.frombuffer(own.encode([pieces])[0], np.int32).tolist() == want
+        assert len(own._kept) < 20 and len(own._older) < 20
+
+
 def test_every_document_of_the_table(spark):
     texts = {r.doc_id: r.text for r in read_table(spark, SF_SMALL, "documents").collect()}
     got = op13_byte_bpe(spark, SF_SMALL).collect()
