@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import shared_dir
+from strata.config import fresh_dir, shared_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -53,6 +53,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Written once as Parquet to the shared folder and read back: smaller than a
+    checkpoint for tables of many rows with repeated values."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def groups_for(n: int, rows_each: int) -> int:
     """So many groups that none expects more than ``rows_each`` of ``n`` rows."""
     return max(1, math.ceil(n / rows_each))

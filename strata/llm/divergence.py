@@ -25,7 +25,6 @@ table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, read_table
+from .common import cut_lineage, read_table, written
 from .words import text_bytes, word_pieces
 
 MIN_DOCS = 10
@@ -41,8 +40,8 @@ TOP_TERMS = 10
 SCALE = 1_000_000_000
 #: Bytes of the table of (language, source) groups that may be broadcast; beyond, it is joined.
 MAX_BROADCAST = 8 << 20
-#: Kept counts of a task before they leave it.
-HELD = 200_000
+#: Counts that a task adds up before they leave it (50 MB).
+HELD = 400_000
 #: Letters and non-ASCII bytes stay, A-Z lower-cased; all else becomes a space.
 _TERM_BYTES = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
@@ -55,11 +54,14 @@ def text_terms(data: bytes) -> Counter:
     return found
 
 
+def _named(docs: DataFrame, *columns: str) -> DataFrame:
+    return docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns))
+
+
 def collapsed(docs: DataFrame) -> DataFrame:
     """``(lang, digest, text, sources)``: each language's different texts, with an
     array of (source, n rows)."""
-    empty = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
-    rows = docs.select(empty("lang"), empty("source"), empty("text"))
+    rows = _named(docs, "lang", "source", "text")
     rows = rows.withColumn("digest", F.unhex(F.md5(F.encode("text", "utf-8"))))
     per_source = rows.groupBy("lang", "digest", "source").agg(F.count("*").alias("n"))
     sources = per_source.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "n")).alias("sources"))
@@ -68,40 +70,65 @@ def collapsed(docs: DataFrame) -> DataFrame:
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """``(lang, source, term, n, docs)``: occurrences of every term in a group and
-    documents that hold it; each group's documents without a term are a null one."""
+    """``(lang, term, docs, sources, counts)``: parts of each term's documents and of
+    its occurrences by source, added up over some thousands of texts at a time."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list[int]] = {}
+        held: dict[str, dict[bytes, list]] = {}
 
         def sent() -> pa.RecordBatch:
-            keys = list(held)
-            columns = [*([k[i] for k in keys] for i in range(2)), [k[2] and k[2].decode() for k in keys]]
-            sums = ([v[i] for v in held.values()] for i in range(2))
-            arrays = [*(pa.array(c, pa.string()) for c in columns), *(pa.array(c, pa.int64()) for c in sums)]
-            return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "docs"])
-
+            langs, terms, docs, sources, counts, ends = [], [], [], [], [], [0]
+            for lang, found in held.items():
+                langs += [lang] * len(found)
+                for term, (times, by_source) in found.items():
+                    terms.append(term.decode())
+                    docs.append(times)
+                    sources += by_source
+                    counts += by_source.values()
+                    ends.append(len(sources))
+            ends = pa.array(ends, pa.int32())
+            lists = (pa.ListArray.from_arrays(ends, v) for v in (pa.array(sources, pa.string()), pa.array(counts, pa.int64())))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(terms, pa.string()), pa.array(docs, pa.int64()), *lists],
+                names=["lang", "term", "docs", "sources", "counts"],
+            )
+
+        n_held = 0
         for batch in batches:
             data, bounds = text_bytes(batch.column(1))
             for i, (lang, sources) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2))):
+                groups = [(g["source"], g["n"]) for g in sources.as_py()]
+                times, found = sum(n for _, n in groups), held.setdefault(lang, {})
                 terms = text_terms(data[bounds[i] : bounds[i + 1]].tobytes())
-                for group in sources.as_py():
-                    source, times = group["source"], group["n"]
-                    for term, n in terms.items() if terms else ((None, 0),):
-                        sums = held.get(key := (lang, source, term))
-                        if sums is None:
-                            held[key] = [n * times, times]
-                        else:
-                            sums[0] += n * times
-                            sums[1] += times
-                    if len(held) >= HELD:
-                        yield sent()
-                        held.clear()
-        if held:
+                for term, n in terms.items():
+                    entry = found.get(term)
+                    if entry is None:
+                        entry = found[term] = [0, {}]
+                    entry[0] += times
+                    by_source = entry[1]
+                    for source, rows in groups:
+                        by_source[source] = by_source.get(source, 0) + n * rows
+                n_held += len(terms) * len(groups)
+                if n_held >= HELD:
+                    yield sent()
+                    held.clear()
+                    n_held = 0
+        if n_held:
             yield sent()
 
-    found = texts.select("lang", "text", "sources").mapInArrow(count, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    kinds = "lang string, term string, docs long, sources array<string>, counts array<long>"
+    return texts.select("lang", "text", "sources").mapInArrow(count, kinds)
+
+
+def kept_counts(docs: DataFrame, min_docs: int) -> DataFrame:
+    """``(lang, source, term, n, all_n)`` of the terms that a language keeps, where
+    a source has them; one shuffle by (lang, term)."""
+    parts = term_counts(collapsed(docs))
+    of_term = Window.partitionBy("lang", "term")
+    frequent = parts.withColumn("_docs", F.sum("docs").over(of_term)).where(F.col("_docs") >= min_docs)
+    each = frequent.select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("x"))
+    counts = each.groupBy("lang", "term", F.col("x.sources").alias("source")).agg(F.sum("x.counts").alias("n"))
+    return counts.withColumn("all_n", F.sum("n").over(of_term)).select("lang", "source", "term", "n", "all_n")
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
@@ -125,18 +152,16 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int
     """``(lang, source, part, item, value, rank)``: for each source of a language
     the others by divergence (part ``pair``) and the ``top_terms`` kept terms that
     it uses more than its language does (part ``term``)."""
-    counts = cut_lineage(term_counts(collapsed(docs)))
-    whole = counts.where("term is not null").groupBy("lang", "term").agg(F.sum("docs").alias("_docs"), F.sum("n").alias("all_n"))
-    terms = whole.where(F.col("_docs") >= min_docs).select("lang", "term", "all_n")
-    kept = cut_lineage(counts.join(terms, ["lang", "term"]).select("lang", "source", "term", "n", "all_n"))
+    kept = written(kept_counts(docs, min_docs), "kept-terms")
     of_lang = kept.groupBy("lang").agg(F.count_distinct("term").alias("n_terms"), F.sum("n").alias("all_total"))
     of_group = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
-    groups = counts.select("lang", "source").distinct().join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left")
+    groups = _named(docs, "lang", "source").distinct().join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left")
     groups = groups.na.fill(0, ["total", "own", "n_terms", "all_total"])
     groups = _sized(cut_lineage(groups.withColumn("p0", F.when(F.col("n_terms") > 0, share(F.lit(0), F.col("total"), F.col("n_terms"))))))
 
     shares = kept.join(groups, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("n_terms")))
-    shares = cut_lineage(shares.withColumn("q", share(F.col("all_n"), F.col("all_total"), F.col("n_terms"))).select("lang", "source", "term", "p", "p0", "q"))
+    shares = shares.withColumn("q", share(F.col("all_n"), F.col("all_total"), F.col("n_terms")))
+    shares = written(shares.select("lang", "source", "term", "p", "p0", "q"), "term-shares")
 
     other = groups.select(F.col("lang").alias("_lang"), F.col("source").alias("item"), F.col("own").alias("_own"), F.col("p0").alias("_p0"))
     differ = (F.col("lang") == F.col("_lang")) & (F.col("source") != F.col("item"))
