@@ -23,7 +23,7 @@ all documents share reaches its task once a batch.
 
 Defined cases: a null text is empty; rows equal in doc_id and text are one
 document and get equal results each; texts that share a doc_id follow each
-other by checksum; a null doc_id comes first; an empty table gives no rows.
+other by MD5; a null doc_id comes first; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,7 +46,6 @@ HOT_PIECES = 5_000
 #: Bytes of pieces that one suffix array holds: its numpy arrays take some 150 bytes for each.
 BATCH_BYTES = 1 << 20
 _PIECE = 1 << 19
-_TIE_BITS = 24
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -112,12 +111,12 @@ def pieces(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, anchor: i
     return of, first - bounds[of], more, key, whole
 
 
-def _place(tie: np.ndarray, first: np.ndarray, more: np.ndarray) -> np.ndarray:
-    """Tie, first window and further windows in one number that sorts as they do."""
-    return (tie.astype(np.int64) << 39) | (first.astype(np.int64) << 7) | more.astype(np.int64)
+def _place(first: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """First window and further windows in one number that sorts as they do."""
+    return (first.astype(np.int64) << 7) | more.astype(np.int64)
 
 
-_TIE, _FIRST, _MORE = "shiftright(_at, 39)", "(shiftright(_at, 7) & 4294967295)", "(_at & 127)"
+_FIRST, _MORE = "shiftright(_at, 7)", "(_at & 127)"
 
 
 def _all_pieces(texts: DataFrame) -> DataFrame:
@@ -128,7 +127,7 @@ def _all_pieces(texts: DataFrame) -> DataFrame:
             data, bounds = text_bytes(batch.column("_text"))
             of, first, more, anchor, piece = pieces(data, bounds)
             ids = batch.column("_id").to_numpy()[of]
-            at = _place(batch.column("_tie").to_numpy()[of], first, more)
+            at = _place(first, more)
             order = np.lexsort((at, ids, piece, anchor))
             again = np.zeros(len(order), bool)
             again[order[1:]] = (anchor[order[1:]] == anchor[order[:-1]]) & (piece[order[1:]] == piece[order[:-1]])
@@ -140,7 +139,7 @@ def _all_pieces(texts: DataFrame) -> DataFrame:
                 names=["anchor", "piece", "_id", "_at", "again"],
             )
 
-    return texts.select("_id", "_tie", "_text").mapInArrow(cut, "anchor long, piece long, _id long, _at long, again boolean")
+    return texts.select("_id", "_text").mapInArrow(cut, "anchor long, piece long, _id long, _at long, again boolean")
 
 
 def repeated_windows(rows: list[tuple[int, int, bytes]], length: int = LENGTH) -> list[tuple[int, int]]:
@@ -173,7 +172,7 @@ def repeated_windows(rows: list[tuple[int, int, bytes]], length: int = LENGTH) -
 
 
 def _by_suffix_array(fetched: DataFrame) -> DataFrame:
-    """``(_id, _tie, lo, hi)``: repeating windows (first, last) of pieces (anchor, _id, _at, bytes)."""
+    """``(_id, lo, hi)``: repeating windows (first, last) of pieces (anchor, _id, _at, bytes)."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, anchors, size = [], [], 0
@@ -181,21 +180,17 @@ def _by_suffix_array(fetched: DataFrame) -> DataFrame:
         def found(upto: int) -> pa.RecordBatch:
             part = rows[:upto]
             hits = sorted(repeated_windows(part))
-            ids, ties, lo, hi = [], [], [], []
+            ids, lo, hi = [], [], []
             for r, w in hits:
-                place = (part[r][1] >> 7) & 0xFFFFFFFF
+                place = part[r][1] >> 7
                 ids.append(part[r][0])
-                ties.append(part[r][1] >> 39)
-                if len(lo) and hi[-1] == place + w - 1 and ids[-2] == ids[-1] and ties[-2] == ties[-1]:
+                if len(lo) and hi[-1] == place + w - 1 and ids[-2] == ids[-1]:
                     hi[-1] = place + w
                     ids.pop()
-                    ties.pop()
                 else:
                     lo.append(place + w)
                     hi.append(place + w)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in (ids, ties, lo, hi)], names=["_id", "_tie", "lo", "hi"]
-            )
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, lo, hi)], names=["_id", "lo", "hi"])
 
         for batch in batches:
             for anchor, doc, at, body in zip(*(batch.column(c).to_pylist() for c in ("anchor", "_id", "_at", "body"))):
@@ -211,7 +206,7 @@ def _by_suffix_array(fetched: DataFrame) -> DataFrame:
             yield found(len(rows))
 
     spread = fetched.repartition("anchor").sortWithinPartitions("anchor")
-    return spread.mapInArrow(search, "_id long, _tie long, lo long, hi long")
+    return spread.mapInArrow(search, "_id long, lo long, hi long")
 
 
 def _by_digest(fetched: DataFrame) -> DataFrame:
@@ -220,34 +215,33 @@ def _by_digest(fetched: DataFrame) -> DataFrame:
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, at, body in zip(*(batch.column(c).to_pylist() for c in ("_id", "_at", "body"))):
-                n, first = len(body) - LENGTH + 1, (at >> 7) & 0xFFFFFFFF
+                n, first = len(body) - LENGTH + 1, at >> 7
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([hashlib.blake2b(body[i : i + LENGTH], digest_size=16).digest() for i in range(n)], pa.binary()),
                         pa.array([doc] * n, pa.int64()),
-                        pa.array([at >> 39] * n, pa.int64()),
                         pa.array(range(first, first + n), pa.int64()),
                     ],
-                    names=["w", "_id", "_tie", "lo"],
+                    names=["w", "_id", "lo"],
                 )
 
-    rows = fetched.mapInArrow(windows, "w binary, _id long, _tie long, lo long")
-    least = rows.groupBy("w").agg(F.min(F.struct("_id", "_tie", "lo")).alias("least"))
-    late = rows.join(least, "w").where(F.struct("_id", "_tie", "lo") > F.col("least"))
-    return late.select("_id", "_tie", "lo", F.col("lo").alias("hi"))
+    rows = fetched.mapInArrow(windows, "w binary, _id long, lo long")
+    least = rows.groupBy("w").agg(F.min(F.struct("_id", "lo")).alias("least"))
+    late = rows.join(least, "w").where(F.struct("_id", "lo") > F.col("least"))
+    return late.select("_id", "lo", F.col("lo").alias("hi"))
 
 
 def _fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of pieces (anchor, _id, _at)."""
-    per_doc = wanted.groupBy("_id", F.expr(_TIE).alias("_tie")).agg(F.collect_list(F.struct("anchor", "_at")).alias("own"))
-    rows = texts.join(per_doc, ["_id", "_tie"]).select("_id", "_text", "own")
+    per_doc = wanted.groupBy("_id").agg(F.collect_list(F.struct("anchor", "_at")).alias("own"))
+    rows = texts.join(per_doc, "_id").select("_id", "_text", "own")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = text_bytes(batch.column("_text"))
             for i, doc in enumerate(batch.column("_id").to_pylist()):
                 body, own = data[bounds[i] : bounds[i + 1]].tobytes(), batch.column("own")[i].as_py()
-                spans = [((x["_at"] >> 7) & 0xFFFFFFFF, x["_at"] & 127) for x in own]
+                spans = [(x["_at"] >> 7, x["_at"] & 127) for x in own]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([x["anchor"] for x in own], pa.int64()),
@@ -263,8 +257,8 @@ def _fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _without(texts: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each text's repeating windows (lo, hi) as removed byte ranges: n_bytes, n_removed, n_spans, kept_sha256, kept."""
-    per_doc = ranges.groupBy("_id", "_tie").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
-    rows = texts.join(per_doc, ["_id", "_tie"], "left").select("_id", "_tie", "_text", "lo", "hi")
+    per_doc = ranges.groupBy("_id").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
+    rows = texts.join(per_doc, "_id", "left").select("_id", "_text", "lo", "hi")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,22 +278,24 @@ def _without(texts: DataFrame, ranges: DataFrame) -> DataFrame:
                 out.append((len(body), int(gone.sum()), spans, hashlib.sha256(body[~gone].tobytes()).hexdigest()))
             sizes = [pa.array([o[c] for o in out], pa.int64()) for c in range(3)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_tie"), *sizes, pa.array([o[3] for o in out], pa.string())],
-                names=["_id", "_tie", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                [batch.column("_id"), *sizes, pa.array([o[3] for o in out], pa.string())],
+                names=["_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    return rows.mapInArrow(remove, "_id long, _tie long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.mapInArrow(remove, "_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def repeated_substrings(docs: DataFrame, hot_pieces: int = HOT_PIECES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     rows = keyed(docs).select("_id", F.coalesce("_text", F.lit("")).alias("_text"))
-    rows = rows.withColumn("_tie", F.pmod(F.crc32(F.encode("_text", "utf-8")), F.lit(1 << _TIE_BITS)))
-    own = F.struct("_id", "_tie")
-    digests = rows.select("_id", "_tie", F.md5(F.encode("_text", "utf-8")).alias("_md5"), F.octet_length("_text").alias("_n"))
-    firsts = digests.groupBy("_md5").agg(F.min(own).alias("first"))
-    distinct = rows.groupBy("_id", "_tie").agg(F.any_value("_text").alias("_text"))
-    texts = distinct.join(firsts.select("first._id", "first._tie"), ["_id", "_tie"])
+    rows = rows.withColumn("_md5", F.unhex(F.md5(F.encode("_text", "utf-8"))))
+    digests = cut_lineage(rows.select("_id", "_md5", F.octet_length("_text").alias("_n")))
+    # Documents in order: a number that grows with (doc_id, text digest).
+    ordered = digests.select("_id", "_md5").distinct().repartitionByRange("_id", "_md5").sortWithinPartitions("_id", "_md5")
+    numbered = cut_lineage(ordered.withColumn("_doc", F.monotonically_increasing_id()))
+    firsts = numbered.groupBy("_md5").agg(F.min("_doc").alias("first"))
+    texts = rows.groupBy("_md5").agg(F.any_value("_text").alias("_text")).join(firsts, "_md5")
+    texts = texts.select(F.col("first").alias("_id"), "_text")
 
     by_anchor = Window.partitionBy("anchor")
     prior = F.lag("piece").over(by_anchor.orderBy("piece", "_id", "_at"))
@@ -309,16 +305,17 @@ def repeated_substrings(docs: DataFrame, hot_pieces: int = HOT_PIECES) -> DataFr
         .withColumn("new", ~F.col("again") & (F.col("_prior").isNull() | (F.col("_prior") != F.col("piece"))))
         .withColumn("_kinds", F.sum(F.col("new").cast("long")).over(by_anchor))
     )
-    whole = marked.where("not new").select("_id", F.expr(_TIE).alias("_tie"), F.expr(_FIRST).alias("lo"), F.expr(f"{_FIRST} + {_MORE}").alias("hi"))
-    open_pieces = marked.where("new and _kinds > 1").select("anchor", "_id", "_at", (F.col("_kinds") > hot_pieces).alias("hot"))
-    open_pieces = cut_lineage(open_pieces)
+    # Written once: what repeats whole, and what must be compared further.
+    marked = cut_lineage(marked.where("not new or _kinds > 1").drop("_prior", "piece", "again"))
+    whole = marked.where("not new").select("_id", F.expr(_FIRST).alias("lo"), F.expr(f"{_FIRST} + {_MORE}").alias("hi"))
+    open_pieces = marked.where("new").select("anchor", "_id", "_at", (F.col("_kinds") > hot_pieces).alias("hot"))
     ranges = whole.unionByName(_by_suffix_array(_fetch(texts, open_pieces.where("not hot"))))
     if not open_pieces.where("hot").isEmpty():
         ranges = ranges.unionByName(_by_digest(_fetch(texts, open_pieces.where("hot"))))
-    result = _without(texts, ranges).withColumnsRenamed({"_id": "_fid", "_tie": "_ftie"})
+    result = _without(texts, ranges).withColumnRenamed("_id", "_fid")
 
-    all_rows = digests.join(firsts, "_md5").join(result, (F.col("first._id") == F.col("_fid")) & (F.col("first._tie") == F.col("_ftie")))
-    copy = (own != F.col("first")) & (F.col("_n") >= LENGTH)
+    all_rows = digests.join(numbered, ["_id", "_md5"]).join(firsts, "_md5").join(result, F.col("first") == F.col("_fid"))
+    copy = (F.col("_doc") != F.col("first")) & (F.col("_n") >= LENGTH)
     return all_rows.select(
         unkeyed(F.col("_id")).alias("doc_id"),
         "n_bytes",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -75,6 +76,27 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert substrings.repeated_substrings(brute.frame(spark, [])).count() == 0
 
 
+def test_texts_of_one_id_keep_apart(spark):
+    """Many texts without an id, two of which have one CRC-32 in their low 24 bits."""
+    import zlib
+
+    seen, pair = {}, None
+    for i in range(20_000):
+        text = f"text {i} of no id" + "y" * (i % 7)
+        tie = zlib.crc32(text.encode()) % 2**24
+        if tie in seen and seen[tie] != text:
+            pair = seen[tie], text
+            break
+        seen[tie] = text
+    line = "".join(chr(97 + i % 23) + str(i) for i in range(60))
+    texts = [*pair, *(f"{i} " + line for i in range(20)), line]
+    rows = [(None, t, None, None) for t in texts] + [(3, line, None, None), (3, pair[0], None, None)]
+    got = substrings.repeated_substrings(brute.frame(spark, rows)).collect()
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, hashlib.md5(rows[i][1].encode()).digest()))
+    want = brute.removed([rows[i][1] for i in order])
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
+
+
 def test_equal_windows_have_equal_anchors():
     rnd = random.Random(1)
     shared = bytes(rnd.choice(b"abcdef") for _ in range(400))
