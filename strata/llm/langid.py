@@ -18,7 +18,7 @@ table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -34,6 +34,10 @@ from .words import PIECE, text_bytes
 UNKNOWN = "und"
 DIMENSIONS = 2048
 SAMPLE_DOCS = 2000
+#: Texts whose vectors a worker holds at once.
+TEXTS = 256
+#: Below this score a text has no language that the pipeline would keep.
+MIN_SCORE = 0.2
 #: Families of related languages; any other is a family of its own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "is", "af"),
@@ -46,6 +50,11 @@ def family_of(language: str) -> str:
     return next((family for family, members in FAMILIES.items() if language in members), language)
 
 
+def slices(column: pa.Array) -> Iterator[pa.Array]:
+    """``TEXTS`` texts at a time: their vectors take 2 MB, however long a batch is."""
+    return (column.slice(i, TEXTS) for i in range(0, len(column), TEXTS))
+
+
 def features(column: pa.Array) -> np.ndarray:
     """One unit vector of ``DIMENSIONS`` for each text."""
     data, bounds = text_bytes(pc.utf8_lower(column))
@@ -92,25 +101,34 @@ class LanguageModel:
     families: list[tuple[list[int], np.ndarray | None]]
     pairs: list[tuple[int, int, np.ndarray]]
 
+    def machines(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights (a column for each machine: families, then pairs) and biases, as float32."""
+        all_weights = [w for _, w in self.families if w is not None] + [w for *_, w in self.pairs]
+        if not all_weights:
+            return np.zeros((DIMENSIONS, 0), np.float32), np.zeros(0, np.float32)
+        stacked = np.stack(all_weights, axis=1).astype(np.float32)
+        return np.ascontiguousarray(stacked[:-1]), stacked[-1]
+
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language and score of each vector."""
         n = len(x)
         if not self.languages:
             return [UNKNOWN] * n, np.zeros(n)
-        x = np.hstack([x, np.ones((n, 1), x.dtype)])
+        weights, biases = self.machines()
+        all_margins = iter((x @ weights + biases).astype(np.float64).T)
         sure = lambda margin: 1 / (1 + np.exp(-3 * margin))
         if len(self.families) == 1:
             family, score = np.zeros(n, int), np.ones(n)
         else:
-            margins = np.stack([x @ w for _, w in self.families], axis=1)
+            margins = np.stack([next(all_margins) for _ in self.families], axis=1)
             family = margins.argmax(axis=1)
             score = sure(margins.max(axis=1))
         votes = np.full((n, len(self.languages)), -np.inf)
         for f, (members, _) in enumerate(self.families):
             votes[np.ix_(family == f, members)] = 0
         sums, least = np.zeros_like(votes), np.ones_like(votes)
-        for a, b, w in self.pairs:
-            margin = x @ w
+        for a, b, _ in self.pairs:
+            margin = next(all_margins)
             votes[:, a] += margin > 0
             votes[:, b] += margin <= 0
             sums[:, a] += np.tanh(margin)
@@ -135,7 +153,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         return LanguageModel([], [], [])
     each = max(1, sample_docs // len(counts))
     share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 1.5 * each / n))])
-    vector = F.arrow_udf(lambda column: pa.array([v.tobytes() for v in features(column)], pa.binary()), "binary")
+    vector = F.arrow_udf(lambda column: pa.array([v.tobytes() for some in slices(column) for v in features(some)], pa.binary()), "binary")
     picked = rows.where((F.pmod("h", F.lit(1 << 20)) / (1 << 20)) < F.coalesce(share[F.col("lang")], F.lit(0.0)))
     sample = picked.select("h", "lang", vector("t").alias("x")).orderBy("h").limit(2 * sample_docs).collect()
     taken: dict[str, list[np.ndarray]] = {}
@@ -159,8 +177,13 @@ def predictor(spark: SparkSession, model: LanguageModel):
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 
     def predict(column: pa.Array) -> pa.Array:
-        languages, scores = LanguageModel(*shared.value).predict(features(column))
-        return pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(scores, pa.float64())], fields=list(kind))
+        model, languages, scores = LanguageModel(*shared.value), [], []
+        for some in slices(column):
+            found, sure = model.predict(features(some))
+            languages += found
+            scores.append(sure)
+        told = pa.array(np.concatenate(scores) if scores else [], pa.float64())
+        return pa.StructArray.from_arrays([pa.array(languages, pa.string()), told], fields=list(kind))
 
     guess = F.arrow_udf(predict, "struct<lang_pred: string, score: double>")
 
@@ -176,17 +199,24 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5, F.lit(0)) == 0
 
 
-def with_language(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_language``, struct(lang_pred, score), learned from its
-    own labels outside the held-out fifth."""
-    predicted = predictor(docs.sparkSession, train(docs.where(~held_out())))
-    return docs.withColumn("_language", predicted(F.col("text")))
-
-
-def identified(docs: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
-    """The documents that have a language (one of ``wanted``, if given), as they are."""
-    found = F.col("_language.lang_pred")
-    return with_language(docs).where(found != UNKNOWN if wanted is None else found.isin(list(wanted))).drop("_language")
+def with_language(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
+    """``docs`` with ``_language``, struct(lang_pred, score), by ``model``, or learned
+    from its own labels outside the held-out fifth."""
+    if model is None:
+        model = train(docs.where(~held_out()))
+    return docs.withColumn("_language", predictor(docs.sparkSession, model)(F.col("text")))
+
+
+def identified(docs: DataFrame, wanted: Sequence[str] | None = None, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents, as they are, whose predicted language is one of ``wanted`` (all
+    that were learned, if None) with at least ``min_score``: a text that no machine
+    claims goes.  Without any label nothing is learned or rejected but texts
+    without a letter."""
+    model = train(docs.where(~held_out()))
+    if not model.languages:
+        return docs.where(has_letter(F.col("text")))
+    sure = F.col("_language.lang_pred").isin(list(model.languages if wanted is None else wanted)) & (F.col("_language.score") >= min_score)
+    return with_language(docs, model).where(sure).drop("_language")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
