@@ -8,15 +8,19 @@
 3. Bands of ``BAND`` registers are candidate buckets.  A bucket's centre is its
    class whose buckets hold most others.  Every class is compared with the
    centres of its buckets, so a group of thousands of near copies costs about
-   one comparison each.  Classes that did not join their centre's component are
-   then compared with the centre's other classes: with all if at most
-   ``FEW_APART`` are apart, else those that :func:`_sharing` proves possible.  No
-   pair of one bucket that could join two components is passed over.
-4. A pair's Jaccard similarity is first estimated jointly from its registers
-   and set sizes by maximum likelihood; pairs that could reach the threshold
-   (within 5.8 standard errors) are confirmed on the full shingle sets.
+   one comparison each.  A pair's Jaccard similarity is first estimated jointly
+   from its registers and set sizes by maximum likelihood; pairs that could reach
+   the threshold (within 5.8 standard errors) are confirmed on the full sets.
+4. Classes that did not join their centre's component may still be similar to its
+   other classes.  All classes of a bucket are told apart by what they change in
+   the set of one that is central to many buckets (:func:`edits`): similar classes share so many of their changes that one of the
+   first few must agree, at places that allow the rest (:func:`candidates` has the
+   argument).  So no pair of a bucket that could join two components is passed
+   over, and few others are looked at.
 5. Components of the confirmed links.
 
+Sets are compared as sorted 64-bit hashes of their shingles; two different
+shingles of a pair of sets of a thousand share one with probability 1e-13.
 A pair at exactly 0.8 shares no band with probability 5e-6; above 0.85, 1e-8.
 
 Defined cases: a null or wordless text has an empty set, linked with nothing;
@@ -35,10 +39,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, SPACED_WORD, cut_lineage, keyed, lower_ascii, read_table, unkeyed
+from .common import NO_ID, cut_lineage, keyed, read_table, unkeyed
 from .graph import components
 from .words import random64, shingles, spaced
 
@@ -46,8 +50,6 @@ REGISTERS = 240
 BAND = 6
 _BASE, _RATE, _LIMIT = 1.001, 20.0, 65535
 _ROWS = 512
-#: With so few classes apart from a centre, each is compared with all its others.
-FEW_APART = 32
 
 
 def registers(members: np.ndarray) -> np.ndarray:
@@ -98,16 +100,25 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return keyed(docs).mapInArrow(sketch, "_id long, _n long, _set binary, _regs binary")
 
 
-def with_shingles(df: DataFrame, text: str, out: str, k: int) -> DataFrame:
-    """Adds ``out``: the distinct shingles of ``text`` as strings (words contain
-    no space).  The words are a column of their own, so they are found once."""
-    words = f"_{out}_words"
-    many = F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))
-    )
-    few = F.when(F.size(words) == 0, F.array().cast("array<string>")).otherwise(F.array(F.array_join(words, " ")))
-    found = F.regexp_extract_all(lower_ascii(F.coalesce(F.col(text), F.lit(""))), F.lit(SPACED_WORD), F.lit(0))
-    return df.withColumn(words, found).withColumn(out, F.when(F.size(words) < k, few).otherwise(many)).drop(words)
+def full_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """``(node, h, s)``: the sorted shingle hashes of the texts of ``nodes``; h tells
+    apart the sets of a node that has several."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, bounds = spaced(batch.column("_text"))
+            sets = [shingles(words[lo:hi], k) for lo, hi in zip(bounds[:-1], bounds[1:])]
+            keys = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "big", signed=True) for s in sets]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            values = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
+                names=["node", "h", "s"],
+            )
+
+    texts = keyed(docs).join(nodes.select(F.col("node").alias("_id")), "_id", "left_semi")
+    sets = texts.mapInArrow(read, "node long, h long, s array<long>").where(F.size("s") > 0)
+    return sets.groupBy("node", "h").agg(F.any_value("s").alias("s"))
 
 
 def _could_reach(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -126,69 +137,100 @@ def _could_reach(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return sized.where(estimate("r_a", "r_b", "n_a", "n_b") >= floor).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links: pairs whose full shingle sets are similar enough."""
-    texts = keyed(docs)
-    side = lambda s: texts.select(F.col("_id").alias(s), F.col("_text").alias(f"t_{s}"))
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("s").alias(f"s_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    sets = with_shingles(with_shingles(both, "t_a", "s_a", k), "t_b", "s_b", k)
-    counted = sets.select(
-        "a", "b", F.size("s_a").alias("n_a"), F.size("s_b").alias("n_b"), F.size(F.array_intersect("s_a", "s_b")).alias("common")
-    )
-    # Cut here, or the filter would be pushed below and find the words again for each shingle.
-    counted = cut_lineage(counted)
-    return counted.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
-
-
-def _sharing(grouped: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``grouped`` (c, x, apart) that could be similar, where a
-    is apart from the centre c: not similar enough to it.
-
-    Similar a and b overlap in at least o = j / (1 + j) * (|a| + |b|) shingles,
-    so at most |a| - o shingles of a are not in b.  If a has more than that
-    outside c, one of those is in b as well.  So a is joined with the members
-    that share one of its rarest shingles outside c: of any |a| - o + 1 one must
-    match, and |a| - o is at most (1 - j) |a|.  Only if a has no more than
-    |a| - o outside c (then b is much smaller) is there no such shingle.  All in
-    whole numbers: as doubles, the bounds of many sizes are one too low.
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    return both.where(common * 100 >= (F.size("s_a") + F.size("s_b") - common) * percent).select("a", "b")
+
+
+def edits(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """What the classes x of ``grouped`` (c, x, part, apart) change in the set of
+    their centre c: ``e`` has the shingles of x that c lacks, then those of c that x
+    lacks, d of them, each sorted alike for all classes of the centre.  ``first``
+    is how many of these :func:`candidates` must look at."""
+    centre = sets.select(F.col("node").alias("c"), F.col("h").alias("hc"), F.col("s").alias("s_c"))
+    own = sets.select(F.col("node").alias("x"), "h", F.col("s").alias("s_x"))
+    both = grouped.join(centre, "c").join(own, "x")
+    changed = both.select(
+        "c", "hc", "x", "h", "part", "apart", F.size("s_x").cast("long").alias("n"), F.size("s_c").cast("long").alias("n_c"),
+        F.concat(F.array_except("s_x", "s_c"), F.array_except("s_c", "s_x")).alias("e"),
+    ).withColumn("d", F.size("e").cast("long"))
+    less, more = 100 - percent, 100 + percent
+    far = F.expr(f"{less} * n div {percent} + 1")
+    near = F.expr(f"({more} * d + {less} * (n - n_c) - 1) div {2 * more} + 1")
+    return changed.withColumn("first", F.least(F.greatest(F.when(F.col("apart"), far).otherwise(near), F.lit(0)), F.col("d")).cast("int"))
+
+
+def candidates(changes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(c, hc, a, ha, b, hb)`` of classes of one centre in different parts
+    that could be similar; a is apart from the centre: not similar to it.
+
+    a and b differ in D = d_a + d_b - 2 o shingles, where o of their changes are
+    the same, and are similar if (100 + percent) D <= (100 - percent) (n_a + n_b);
+    call this limit.  (o > 0, as else b would have to differ from the centre by
+    less than its size does.)  All classes of a centre sort changes alike, so if
+    the first that a and b share has j before it in a and i in b, then
+    o <= min(d_a - j, d_b - i), which must keep D within the limit.  Without
+    knowing the other class: j <= D, and n_b <= 100 n_a / percent, so
+    j <= (100 - percent) n_a / percent.  For b in the centre's part, a's own
+    distance from the centre is beyond the limit, so
+    2 (100 + percent) i < (100 + percent) d_b + (100 - percent) (n_b - n_c).
+    Changes after these places need not be looked at.
+
+    Changes are met by part first, so the classes of one part, however many share
+    a change, are not paired with each other.
     """
-    sizes = reps.groupBy(F.col("node").alias("x")).agg(F.max("_n").alias("n"))
-    texts = keyed(docs)
-    of_centre = grouped.select("c").distinct().join(texts.select(F.col("_id").alias("c"), F.col("_text").alias("t_c")), "c")
-    centre_sets = with_shingles(of_centre, "t_c", "s_c", k).select("c", "s_c")
-    own = grouped.join(texts.select(F.col("_id").alias("x"), F.col("_text").alias("t_x")), "x")
-    outside = with_shingles(own, "t_x", "s_x", k).join(centre_sets, "c").select(
-        "c", "x", "apart", F.transform(F.array_except("s_x", "s_c"), lambda e: F.xxhash64(e)).alias("e")
+    less, more = 100 - percent, 100 + percent
+    places = changes.where("first > 0").select(
+        "c", "hc", "x", "h", "part", "apart", "n", "d", F.posexplode(F.slice("e", F.lit(1), F.col("first"))).alias("i", "e")
     )
-    outside = cut_lineage(outside)
-    places = outside.select("c", "x", "apart", F.explode("e").alias("e"))
-    rare = places.groupBy("c", "e").agg(F.count("*").alias("_times")).withColumnsRenamed({"c": "_c", "e": "_e"})
-    ranked = places.join(rare, (F.col("c") == F.col("_c")) & (F.col("e") == F.col("_e"))).drop("_c", "_e")
-    order = Window.partitionBy("c", "x").orderBy("_times", "e")
-    probes = ranked.where("apart").withColumn("_rank", F.row_number().over(order)).join(sizes, "x")
-    probes = probes.where(((F.col("_rank") - 1) * 100 <= F.col("n") * (100 - percent)) & (F.col("_times") > 1)).select("c", "e", F.col("x").alias("a"))
-    holders = ranked.where("_times > 1").select(F.col("c").alias("_c"), F.col("e").alias("_e"), F.col("x").alias("b"))
-    shared = probes.join(holders, (F.col("c") == F.col("_c")) & (F.col("e") == F.col("_e")) & (F.col("a") != F.col("b"))).select("a", "b")
-
-    counted = outside.select("c", "x", "apart", F.size("e").alias("out")).join(sizes, "x")
-    few = counted.where("apart").select("c", F.col("x").alias("a"), "out", F.col("n").alias("n_a"))
-    few = few.where(F.col("out") * 100 <= F.col("n_a") * (100 - percent))
-    small = counted.select(F.col("c").alias("_c"), F.col("x").alias("b"), F.col("n").alias("n_b"))
-    enough = (F.col("n_a") + F.col("n_b")) * percent <= (F.col("n_a") - F.col("out")) * (100 + percent)
-    weak = few.join(
-        small, (F.col("c") == F.col("_c")) & (F.col("n_b") * 100 >= F.col("n_a") * percent) & enough & (F.col("a") != F.col("b"))
-    ).select("a", "b")
-    return shared.unionByName(weak).distinct()
+    by_part = places.groupBy("c", "hc", "e", "part").agg(
+        F.min(F.expr(f"{more} * d - {less} * n")).alias("low"), F.max(F.expr(f"{more} * d + {less} * n - {2 * more} * i")).alias("high"),
+        F.min("n").alias("least"), F.max("n").alias("most"),
+    ).withColumnsRenamed({"c": "_c", "hc": "_hc", "e": "_e", "part": "other"})
+    meets = (F.col("c") == F.col("_c")) & (F.col("hc") == F.col("_hc")) & (F.col("e") == F.col("_e")) & (F.col("part") != F.col("other"))
+    could = F.expr(f"low <= {less} * n + {more} * d - {2 * more} * i AND {more} * d - {less} * n <= high AND 100 * most >= {percent} * n AND {percent} * least <= 100 * n")
+    met = places.where("apart").join(by_part, meets & could).select(
+        "c", "hc", "e", "other", F.col("x").alias("a"), F.col("h").alias("ha"), F.col("n").alias("n_a"), F.col("d").alias("d_a"), F.col("i").alias("j")
+    )
+    right = places.select(
+        F.col("c").alias("_c"), F.col("hc").alias("_hc"), F.col("e").alias("_e"), "part", "apart", F.col("x").alias("b"), F.col("h").alias("hb"),
+        F.col("n").alias("n_b"), F.col("d").alias("d_b"), "i",
+    )
+    same = (F.col("c") == F.col("_c")) & (F.col("hc") == F.col("_hc")) & (F.col("e") == F.col("_e")) & (F.col("other") == F.col("part"))
+    once = ~F.col("apart") | (F.col("a") < F.col("b"))
+    within = F.expr(
+        f"{more} * (d_a + d_b - 2 * least(d_a - j, d_b - i)) <= {less} * (n_a + n_b) AND {more} * abs(d_a - d_b) <= {less} * (n_a + n_b)"
+        f" AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    )
+    return met.join(right, same & once & within).select("c", "hc", "a", "ha", "b", "hb").distinct()
+
+
+def _linked_by_edits(changes: DataFrame, percent: int) -> DataFrame:
+    """Links between classes of one centre that are in different parts."""
+    less, more = 100 - percent, 100 + percent
+    side = lambda s: changes.select(
+        "c", "hc", F.col("x").alias(s), F.col("h").alias(f"h{s}"), F.col("n").alias(f"n_{s}"), F.col("d").alias(f"d_{s}"), F.col("e").alias(f"e_{s}")
+    )
+    pairs = candidates(changes, percent).join(side("a"), ["c", "hc", "a", "ha"]).join(side("b"), ["c", "hc", "b", "hb"])
+    differ = F.col("d_a") + F.col("d_b") - 2 * F.size(F.array_intersect("e_a", "e_b"))
+    linked = pairs.where(more * differ <= less * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    # Those that the estimate passed over, if any.
+    to_centre = changes.where(F.col("apart") & (more * F.col("d") <= less * (F.col("n") + F.col("n_c")))).select(F.col("c").alias("a"), F.col("x").alias("b"))
+    return linked.unionByName(to_centre).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles,
     component_id (smallest doc_id reachable), kept (it is that one)."""
     rows = cut_lineage(sketches(docs, k))
-    nodes = rows.where("_n > 0").groupBy("_set").agg(F.min("_id").alias("node"))
-    members = cut_lineage(rows.select("_id", "_n", "_set").join(nodes, "_set", "left").drop("_set"))
-    reps = rows.join(nodes, "_set").where("_id = node").dropDuplicates(["node", "_set"])
-    reps = cut_lineage(reps.select("node", "_n", "_regs"))
+    classes = rows.where("_n > 0").groupBy("_set").agg(F.min("_id").alias("node"), F.any_value("_n").alias("_n"), F.any_value("_regs").alias("_regs"))
+    classes = cut_lineage(classes)
+    # Joins of written tables alone, so that a hot set is split.
+    members = cut_lineage(rows.select("_id", "_n", "_set").join(classes.select("_set", "node"), "_set", "left").drop("_set"))
+    reps = classes.select("node", "_n", "_regs")
 
     keys = [
         F.xxhash64(F.lit(i), F.substring("_regs", 2 * i + 1, 2 * BAND)) for i in range(0, REGISTERS, BAND)
@@ -197,33 +239,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     filled = bands.groupBy("key").agg(F.count("*").alias("_members")).where("_members > 1")
     shared = cut_lineage(bands.join(filled, "key").select("key", "node", "_members"))
     score = shared.groupBy("node").agg(F.sum("_members").alias("score"))
-    central = shared.join(score, "node").groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("c"))
-    grouped = shared.join(central, "key").where("node <> c").select("c", F.col("node").alias("x")).distinct()
-    grouped = cut_lineage(grouped)
+    top = F.struct("score", "node")
+    central = shared.join(score, "node").groupBy("key").agg(F.max_by("node", top).alias("c"), F.max("score").alias("_top"))
+    met = cut_lineage(shared.join(central, "key").select("node", "c", "_top"))
+    grouped = cut_lineage(met.where("node <> c").select("c", F.col("node").alias("x")).distinct())
 
-    def links(pairs: DataFrame) -> DataFrame:
-        likely = _could_reach(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), reps, percent)
-        return _confirmed(cut_lineage(likely), docs, k, percent)
+    nodes = grouped.select(F.explode(F.array("c", "x")).alias("node")).distinct()
+    sets = cut_lineage(full_sets(docs, nodes, k))
+    pairs = grouped.select(F.greatest("c", "x").alias("a"), F.least("c", "x").alias("b")).distinct()
+    likely = cut_lineage(_could_reach(pairs, reps, percent))
 
     # Rows of one doc_id with different texts belong together.
     of_id = members.where("node is not null").groupBy("_id").agg(F.min("node").alias("a"), F.max("node").alias("_top")).where("a <> _top")
     same_id = of_id.select("_id", "a").join(members.select("_id", F.col("node").alias("b")), "_id").where("a <> b").select("a", "b")
-    found = cut_lineage(links(grouped.select(F.col("c").alias("a"), F.col("x").alias("b"))).unionByName(same_id))
+    found = cut_lineage(_confirmed(likely, sets, percent).unionByName(same_id))
 
     parts = cut_lineage(components(found))
     part_of = lambda x, name: parts.select(F.col("node").alias(x), F.col("component").alias(name))
-    placed = grouped.join(part_of("x", "p_x"), "x", "left").join(part_of("c", "p_c"), "c", "left")
-    placed = placed.withColumn("apart", F.coalesce("p_x", "x") != F.coalesce("p_c", "c")).select("c", "x", "apart")
-    count = placed.groupBy("c").agg(F.count("*").alias("_all"), F.sum(F.col("apart").cast("long")).alias("_apart"))
-    open_groups = cut_lineage(placed.join(count.where("_all > 1 and _apart > 0"), "c"))
-    few = open_groups.where(F.col("_apart") <= FEW_APART)
-    others = few.select(F.col("c").alias("_c"), F.col("x").alias("b"), F.col("apart").alias("_b_apart"))
-    near = few.where("apart").select("c", F.col("x").alias("a")).join(others, (F.col("c") == F.col("_c")) & ((F.col("a") < F.col("b")) | ~F.col("_b_apart")))
-    many = open_groups.where(F.col("_apart") > FEW_APART).select("c", "x", "apart")
-    possible = near.select("a", "b").unionByName(_sharing(many, reps, docs, k, percent))
-    apart = possible.join(part_of("a", "p_a"), "a", "left").join(part_of("b", "p_b"), "b", "left")
-    apart = apart.where(F.coalesce("p_a", "a") != F.coalesce("p_b", "b")).select("a", "b")
-    joined = components(found.unionByName(links(apart)))
+    # A bucket's classes are told apart by what they change in the most central
+    # centre that the bucket's own centre meets, so one set serves a group's buckets.
+    hubs = met.groupBy(F.col("node").alias("c")).agg(F.max_by("c", F.struct("_top", "c")).alias("hub"))
+    around = grouped.join(hubs, "c").select(F.col("hub").alias("c"), "x").where("c <> x").distinct()
+    placed = around.join(part_of("x", "p_x"), "x", "left").join(part_of("c", "p_c"), "c", "left")
+    placed = placed.select("c", "x", F.coalesce("p_x", "x").alias("part"), (F.coalesce("p_x", "x") != F.coalesce("p_c", "c")).alias("apart"))
+    count = placed.groupBy("c").agg(F.count("*").alias("_all"), F.max("apart").alias("_apart")).where("_all > 1 and _apart")
+    changes = cut_lineage(edits(placed.join(count.select("c"), "c"), sets, percent))
+    joined = components(found.unionByName(_linked_by_edits(changes, percent)))
 
     whole = members.join(joined, "node", "left").withColumn("_to", F.coalesce("component", "node", "_id"))
     return whole.select(
@@ -234,15 +275,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
 
 
-def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay: of each component the one with the smallest
-    doc_id, one row of it (the smallest text)."""
-    kept = near_duplicates(docs, k, percent).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_kept_id")).distinct()
-    stay = docs.join(kept, F.coalesce(F.col("doc_id"), F.lit(NO_ID)) == F.col("_kept_id"))
-    first = Window.partitionBy("_kept_id").orderBy(F.col("text").asc_nulls_last())
-    return stay.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row", "_kept_id")
-
-
 def _text_key(docs: DataFrame) -> Column:
     """A 64-bit key of each row's (doc_id, text), different for all different
     ones of ``docs``: the first of a series of hashes without a collision."""
@@ -268,9 +300,10 @@ def drop_near_duplicate_texts(docs: DataFrame, k: int = 5, percent: int = 80) ->
     order = F.struct(F.col("_doc").isNull(), "_doc", "_key")
     kept = groups.join(ids, F.col("_key") == F.col("_of")).groupBy("_group").agg(F.min_by("_key", order).alias("_kept"))
     kept = cut_lineage(kept.select("_kept"))
-    stay = docs.withColumn("_key", key).join(kept, F.col("_key") == F.col("_kept"))
-    first = Window.partitionBy("_key").orderBy("_key", *[F.col(c).asc_nulls_last() for c in docs.columns if c not in ("doc_id", "text")])
-    return stay.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(*docs.columns)
+    others = [F.struct(F.col(c).isNull(), F.col(c)) for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.min_by(F.struct(*docs.columns), F.struct(F.lit(0), *others))
+    stay = docs.groupBy(key.alias("_key")).agg(first.alias("_row")).join(kept, F.col("_key") == F.col("_kept"))
+    return stay.select("_row.*")
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

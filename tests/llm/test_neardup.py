@@ -48,35 +48,100 @@ def test_groups_match_brute_force(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
-@pytest.mark.parametrize("few", [0, 32, 10**6])
-def test_buckets_that_hold_several_components(spark, monkeypatch, few):
+@pytest.mark.parametrize("percent", [60, 80])
+def test_buckets_that_hold_several_components(spark, monkeypatch, percent):
     """With one register a band almost all texts share buckets: no link may
     depend on which class is a bucket's centre, nor on how the rest is searched."""
     monkeypatch.setattr(neardup, "BAND", 1)
-    monkeypatch.setattr(neardup, "FEW_APART", few)
     texts = _texts()[:130]
     texts += [" ".join(t.split()[: len(t.split()) * 9 // 10]) for t in texts[:40] if t]
     docs = brute.frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])
-    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 2).collect()}
-    assert [got[i] for i in range(len(texts))] == brute.groups(texts, 2)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 2, percent).collect()}
+    assert [got[i] for i in range(len(texts))] == brute.groups(texts, 2, percent)
 
 
-def _exactly_at_the_threshold(size):
+def _changes(spark, texts, percent=80, k=1):
+    """What all texts change in the first, the centre; each is a part of its own
+    unless it is linked with the centre."""
+    sets = [brute.shingles(t, k) for t in texts]
+    near = lambda a, b: 100 * len(a & b) >= percent * len(a | b)
+    rows = [(0, x, 0 if near(sets[0], sets[x]) else x, not near(sets[0], sets[x])) for x in range(1, len(texts))]
+    grouped = spark.createDataFrame(rows, "c long, x long, part long, apart boolean")
+    docs = brute.frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    return neardup.edits(grouped, neardup.full_sets(docs, spark.range(len(texts)).toDF("node"), k), percent), sets, near
+
+
+def test_pairs_at_exactly_the_threshold_are_candidates(spark):
     """A centre, a class near it, one at exactly 0.8 to that but not to the
     centre, and forty others apart from the centre."""
-    centre = [f"c{i}" for i in range(size)]
+    centre = [f"c{i}" for i in range(100)]
     near = ["b0", *centre[1:]]
-    far = near + [f"a{i}" for i in range(size // 4)]
-    others = [centre + [f"o{n}_{i}" for i in range(size * 26 // 100)] for n in range(40)]
-    return [" ".join(w) for w in (centre, near, far, *others)]
-
-
-def test_pairs_at_exactly_the_threshold_are_possible(spark):
-    texts = _exactly_at_the_threshold(100)
-    docs = brute.frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])
-    grouped = spark.createDataFrame([(0, x, x != 1) for x in range(1, len(texts))], "c long, x long, apart boolean")
-    reps = neardup.sketches(docs, 1).selectExpr("_id AS node", "_n", "_regs")
-    assert (2, 1) in {tuple(r) for r in neardup._sharing(grouped, reps, docs, 1, 80).collect()}
+    far = near + [f"a{i}" for i in range(25)]
+    others = [centre + [f"o{n}_{i}" for i in range(26)] for n in range(40)]
+    changes, *_ = _changes(spark, [" ".join(w) for w in (centre, near, far, *others)])
+    assert {(r.a, r.b) for r in neardup.candidates(changes, 80).collect()} == {(2, 1)}
+
+
+@pytest.mark.parametrize("percent", [55, 80, 95])
+def test_every_link_is_a_candidate(spark, percent):
+    """Random edits, shortened and lengthened copies, copies of copies."""
+    rnd = random.Random(percent)
+    base = VOCABULARY[:90]
+    pool = [base]
+    for _ in range(160):
+        words = _edited(rnd, rnd.choice(pool), rnd.choice([1, 3, 8, 15]))
+        kind = rnd.random()
+        if kind < 0.25:
+            words = words[: rnd.randint(40, 90)]
+        elif kind < 0.5:
+            words = words + [f"n{rnd.randrange(60)}" for _ in range(rnd.randint(1, 50))]
+        pool.append(words)
+    changes, sets, near = _changes(spark, [" ".join(w) for w in pool], percent)
+    found = {(r.a, r.b) for r in neardup.candidates(changes, percent).collect()}
+    links = {(x, y) for x in range(1, len(pool)) for y in range(1, len(pool)) if x != y and near(sets[x], sets[y])}
+    apart = {x for x in range(1, len(pool)) if not near(sets[0], sets[x])}
+    needed = {(x, y) for x, y in links if x in apart and (y not in apart or x < y)}
+    assert needed <= found and len(needed) > 5
+    got = {tuple(r) for r in neardup._linked_by_edits(changes, percent).collect()}
+    assert got == needed
+
+
+def _near_copies(n):
+    """One text and n near copies of it, a quarter of them beyond the threshold."""
+    rnd = random.Random(9)
+    base = [f"v{rnd.randrange(3000)}" for _ in range(100)]
+    copies = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(3 if i % 4 else 9):
+            words[rnd.randrange(100)] = f"v{rnd.randrange(3000)}"
+        copies.append(" ".join(words))
+    return [" ".join(base), *copies]
+
+
+def test_compared_pairs_grow_with_the_group_not_its_square(spark, monkeypatch):
+    compared = {}
+    real = neardup.candidates
+    for n in (150, 300, 600):
+        pairs = []
+        monkeypatch.setattr(neardup, "candidates", lambda *a: pairs.append(real(*a)) or pairs[-1])
+        texts = _near_copies(n)
+        docs = brute.frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 2).collect()}
+        assert [got[i] for i in range(n + 1)] == brute.groups(texts, 2)
+        assert len(set(got.values())) > n // 20
+        compared[n] = pairs[0].count()
+    assert all(compared[n] <= n // 4 for n in compared)  # of n (n - 1) / 2
+
+
+def test_a_hot_set_and_a_hot_row(spark):
+    """A third of all rows hold one text, another third are one repeated row."""
+    texts = _near_copies(60)
+    rows = [(i, t, None, None) for i, t in enumerate(texts)] + [(1000 + i, texts[3], None, None) for i in range(60)]
+    rows += [(5000, "a row that is repeated very often", None, None)] * 60
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(brute.frame(spark, rows), 2).collect()}
+    want = brute.groups([t for _, t, *_ in rows], 2)
+    assert all(got[rows[i][0]] == rows[w][0] for i, w in enumerate(want))
 
 
 def test_rows_of_one_id_and_null_ids(spark):
@@ -87,8 +152,6 @@ def test_rows_of_one_id_and_null_ids(spark):
     assert len(got) == len(rows)
     assert {r.component_id for r in got if r.doc_id is not None} == {3}
     assert {r.component_id for r in got if r.doc_id is None} == {None}
-    kept = neardup.drop_near_duplicates(brute.frame(spark, rows, clash=True))
-    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "apart"), (3, long + " y")]
 
 
 def test_texts_are_not_linked_by_null_or_repeated_ids(spark):
