@@ -22,19 +22,11 @@ from pyspark.sql import functions as F
 
 from strata.config import LayerConfig, shared_dir
 from strata.operators.monitor import batch_quality, table_quality
-from strata.operators.quarantine import purge_quarantine, recover_quarantine
 from strata.operators.rules import suite_from_spec
-from strata.plans import medallion, roads, traffic
-from strata.schemas import ROADS_BRONZE_SCHEMA, TRAFFIC_BRONZE_SCHEMA
+from strata.plans import medallion
 from strata.session import get_session
 from strata.sinks.tables import layer_exists
-from strata.streaming.ingest import run_available_now
-
-_FEEDS = {
-    traffic.TABLE: (medallion.TRAFFIC_SUITE, TRAFFIC_BRONZE_SCHEMA),
-    roads.TABLE: (medallion.ROADS_SUITE, ROADS_BRONZE_SCHEMA),
-}
-
+from strata.streaming.ingest import run_together
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata.jobs", description=__doc__.split("\n\n")[0])
@@ -54,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     run_all.add_argument("--on-error", default="raise", choices=["raise", "pass_through"])
     sub.add_parser("monitor", help="row counts of every layer table")
     rec = sub.add_parser("recover", help="re-validate and re-insert quarantined rows")
-    rec.add_argument("--table", required=True, choices=sorted(_FEEDS))
+    rec.add_argument("--table", required=True, choices=sorted(medallion.FEEDS))
     rec.add_argument("--rule", default=None, help="only rows that broke this rule label")
     rec.add_argument("--batch-id", default=None, help="a new label (default: made from the recovered rows)")
     rec.add_argument(
@@ -94,16 +86,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     cfg = config(spark, args)
     medallion.setup_tables(spark, cfg)
     if args.command == "bronze":
-        for q in medallion.start_bronze_streams(spark, cfg, on_error=args.on_error):
-            run_available_now(q)
+        run_together(medallion.start_bronze_streams(spark, cfg, on_error=args.on_error))
     elif args.command == "silver":
-        for q in medallion.start_silver_streams(
-            spark, cfg, dedup=not args.no_dedup, dedup_horizon=args.dedup_horizon
-        ):
-            run_available_now(q)
+        run_together(
+            medallion.start_silver_streams(spark, cfg, dedup=not args.no_dedup, dedup_horizon=args.dedup_horizon)
+        )
     elif args.command == "gold":
-        for q in medallion.start_gold_streams(spark, cfg):
-            run_available_now(q)
+        run_together(medallion.start_gold_streams(spark, cfg))
         medallion.refresh_gold_reports(spark, cfg)
     elif args.command == "all":
         medallion.run_streams(spark, cfg, dedup_horizon=args.dedup_horizon, on_error=args.on_error)
@@ -112,35 +101,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         counts.show(counts.count(), truncate=False)  # one row a layer
         # Every batch is in the written report; the console gets one row a table.
         report = cfg.report("batch_quality")
-        targets = {t: spark.table(cfg.table(t)) for t in _FEEDS}
+        targets = {t: spark.table(cfg.table(t)) for t in medallion.FEEDS}
         quarantine = spark.table(cfg.table(cfg.quarantine_table))
         batch_quality(targets, quarantine).write.mode("overwrite").parquet(report)
-        table_quality(spark.read.parquet(report)).show(len(_FEEDS), truncate=False)
+        table_quality(spark.read.parquet(report)).show(len(medallion.FEEDS), truncate=False)
         print(f"rates of all batches: {report}")
     elif args.command == "recover":
         if not layer_exists(spark, cfg.quarantine()):
             return 0  # nothing has been quarantined yet
-        suite, schema = _FEEDS[args.table]
+        suite = None
         if args.suite_spec:
             # Through Spark, so it may lie on the shared storage.
             spec = spark.read.text(args.suite_spec, wholetext=True).first()[0]
             suite = suite_from_spec(args.table, json.loads(spec))
         qtable = cfg.table(cfg.quarantine_table)
         medallion.refresh_partitions(spark, qtable)
-        keys = recover_quarantine(
-            spark,
-            quarantine_path=cfg.quarantine(),
-            table_name=args.table,
-            rule=args.rule,
-            schema=schema,
-            suite=suite,
-            target_path=cfg.bronze(args.table),
-            batch_id=args.batch_id,
-            repair=_repair(args.repair),
-            quarantine_table=qtable,
+        medallion.recover_layers(
+            spark, cfg, args.table, args.rule, suite, args.purge, batch_id=args.batch_id, repair=_repair(args.repair), quarantine_table=qtable
         )
-        if args.purge:
-            purge_quarantine(spark, cfg.quarantine(), keys, quarantine_table=qtable)
     return 0
 
 

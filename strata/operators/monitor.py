@@ -6,11 +6,13 @@ so the monitor is one Spark job, not one query per table.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
@@ -31,6 +33,66 @@ def sql_layer_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFram
     return spark.sql(" UNION ALL ".join(parts))
 
 
+COUNTS_SCHEMA = "n_rows long, layer string, batch string"
+
+
+def record_counts(spark: SparkSession, path: str, batch: str, counts: Mapping[str, int]) -> None:
+    """Add what a batch wrote to each layer to the table of counts; a repeated
+    batch replaces its own."""
+    rows = spark.createDataFrame([(n, layer, batch) for layer, n in counts.items()], COUNTS_SCHEMA).coalesce(1)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("layer", "batch").parquet(path)
+
+
+def recorded_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``layer, n_rows`` from the table of counts: no layer is read."""
+    rows = spark.read.schema(COUNTS_SCHEMA).parquet(path)
+    return rows.groupBy("layer").agg(F.sum("n_rows").alias("n_rows"))
+
+
+class CountedStreams(StreamingQueryListener):
+    """Counts the rows of streams as they write them.
+
+    ``counted`` adds the measure to a stream; the listener keeps what each micro-batch
+    reports, and ``record`` (after the run) adds it to the table of counts.  A batch
+    whose report was lost with its driver is missing there; ``layer_counts`` tells.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[tuple[str, str], int] = {}
+        self._lock = threading.Lock()
+
+    @staticmethod
+    def counted(stream: DataFrame, layer: str) -> DataFrame:
+        return stream.observe(f"rows_of_{layer}", F.count(F.lit(1)).alias("n"))
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        for name, row in progress.observedMetrics.items():
+            if name.startswith("rows_of_"):
+                with self._lock:
+                    self._seen[name.removeprefix("rows_of_"), f"{progress.id}-{progress.batchId}"] = row.n
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def record(self, spark: SparkSession, path: str) -> None:
+        """Write the counts seen so far (once the listener bus has told them all)."""
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        with self._lock:
+            seen, self._seen = self._seen, {}
+        by_batch: dict[str, dict[str, int]] = {}
+        for (layer, batch), n in seen.items():
+            by_batch.setdefault(batch, {})[layer] = n
+        for batch, counts in by_batch.items():
+            record_counts(spark, path, batch, counts)
+
+
 def reconcile(counts: DataFrame, checks: Mapping[str, tuple[list[str], list[str]]]) -> DataFrame:
     """Equality checks between sums of layer counts.
 

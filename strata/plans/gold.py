@@ -52,3 +52,24 @@ def region_summary(gold_traffic: DataFrame, keys: Sequence[str] = TRAFFIC_KEYS)
         F.round(F.avg(INTENSITY), 6).alias("avg_intensity"),
         F.round(F.sum("Link_length_km"), 4).alias("total_link_km"),
     )
+
+
+def region_states(gold_traffic: DataFrame, keys: Sequence[str] = TRAFFIC_KEYS) -> DataFrame:
+    """One batch's part of :func:`region_summary`: counts and sums that can be added."""
+    return gold_traffic.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.sum(F.col(MOTOR_COUNT).cast("long")).alias("motor_vehicles"),
+        F.count(INTENSITY).alias("n_intensity"),
+        F.sum(INTENSITY).alias("intensity"),
+        F.sum("Link_length_km").alias("link_km"),
+    )
+
+
+def combine_region_states(states: DataFrame, keys: Sequence[str] = TRAFFIC_KEYS) -> DataFrame:
+    """The summary of all batches from their states."""
+    return states.groupBy(*keys).agg(
+        F.sum("n_records").alias("n_records"),
+        F.sum("motor_vehicles").alias("total_motor_vehicles"),
+        F.round(F.try_divide(F.sum("intensity"), F.sum("n_intensity")), 6).alias("avg_intensity"),
+        F.round(F.sum("link_km"), 4).alias("total_link_km"),
+    )

@@ -4,14 +4,15 @@
 (validated, quarantined), silver and gold, writing every layer under a
 ``LayerConfig``.  ``run_streams`` does the same from CSV landing folders with
 available-now streams: file -> bronze (foreachBatch) -> silver -> gold.  Both
-also give the two gold reports: traffic joined with per-key road statistics
-(a table of batch runs, a view of streamed layers) and the regional summary.
+also give the two gold reports: traffic joined with per-key road statistics (as
+they are when it is read) and the regional summary.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from strata import labels
 from strata.config import LayerConfig
 from strata.operators.clean import payload_digest
-from strata.operators.quarantine import validate_and_write
+from strata.operators.monitor import CountedStreams
+from strata.operators.quarantine import Recovery, purge_quarantine, recover_batch, validate_and_write
+from strata.operators.rules import Suite
 from strata.plans import gold as gold_plan
 from strata.plans import roads, traffic
 from strata.schemas import (
@@ -33,20 +36,22 @@ from strata.schemas import (
     TRAFFIC_BRONZE_SCHEMA,
     TRAFFIC_SCHEMA,
 )
+from strata.sinks.history import KEY, DeliveryIndex
 from strata.sinks.tables import (
     create_database,
     create_table,
     drop_partition,
     layer_exists,
-    partition_path,
+    partition_values,
     path_exists,
     read_layer,
+    read_partition,
     write_batch,
 )
 from strata.sources.files import CORRUPT, stream_csv, with_extract_time, with_source_file
 from strata.sources.tables import MAX_BYTES_PER_TRIGGER, stream_table
 from strata.streaming.chain import start_table_stream, stream_dedup
-from strata.streaming.ingest import run_available_now, start_validated_ingest
+from strata.streaming.ingest import run_together, start_together, start_validated_ingest
 
 SILVER_TRAFFIC = "silver_traffic"
 SILVER_ROADS = "silver_roads"
@@ -54,14 +59,13 @@ GOLD_TRAFFIC = "gold_traffic"
 GOLD_ROADS = "gold_roads"
 GOLD_TRAFFIC_ROADS = "gold_traffic_roads"
 GOLD_REGION_SUMMARY = "gold_region_summary"
+GOLD_REGION_STATES = "gold_region_states"
+LAYER_COUNTS = "layer_counts"
 
 # Bronze strings have at most 255 characters: longer ones are quarantined.
 TRAFFIC_SUITE = traffic.SUITE.with_lengths(TRAFFIC_SCHEMA, 255)
 ROADS_SUITE = roads.SUITE.with_lengths(ROADS_SCHEMA, 255)
 
-_KEY = "_payload_key"
-
-
 def _with_batch(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField(BATCH_COLUMN, StringType(), True)])
 
@@ -178,6 +182,8 @@ class BatchRun:
         return read_layer(spark, self.cfg.silver(table), merge_schema=False).drop(BATCH_COLUMN)
 
     def gold(self, spark: SparkSession, table: str) -> DataFrame:
+        if table == GOLD_TRAFFIC_ROADS:  # joined as it is read: it shows the roads known now
+            return gold_plan.traffic_roads_join(self.gold(spark, GOLD_TRAFFIC), self.silver(spark, SILVER_ROADS))
         return read_layer(spark, self.cfg.gold(table), merge_schema=False).drop(BATCH_COLUMN)
 
 
@@ -189,32 +195,42 @@ def _streamed(spark: SparkSession, path: str) -> bool:
 def append_new(spark: SparkSession, cfg: LayerConfig, module, bronze: str, silver: str, gold: str, label: str) -> None:
     """One bronze batch's new records into silver and gold, as that batch's partitions.
 
-    ``silver_keys`` holds the digest of every silver record by batch.  Only the
-    batch and those digests are read, not the history; the batch's own keys are
-    left out, so a retry finds the same records new.
+    The delivery index tells the new from those that other batches own.  A
+    replaced batch first passes on what it no longer delivers, so a record stays
+    as long as any batch delivers it.  Every step can be repeated: the batch's
+    own index partition is written after those of the batches that take over.
     """
     if _streamed(spark, cfg.silver(silver)):
         return  # the streams of this root take the batch from bronze
-    keys_path, spec = cfg.silver_keys(silver), {BATCH_COLUMN: label}
-    for path in (keys_path, cfg.silver(silver), cfg.gold(gold)):  # of an earlier attempt
-        drop_partition(spark, path, spec)
-    if not layer_exists(spark, partition_path(spark, cfg.bronze(bronze), spec)):
+    create_database(spark, cfg.database, f"{cfg.root}/catalog")
+    index = DeliveryIndex.open(spark, cfg.table(f"{silver}_keys"), cfg.silver_keys(silver))
+    with index.claim(spark, label):
+        batch = read_partition(spark, cfg.bronze(bronze), {BATCH_COLUMN: label})
+        if batch is None:
+            keys = spark.createDataFrame([], f"{KEY} binary")
+        else:
+            keys = batch.select(payload_digest(batch).alias(KEY)).distinct()
+        for other in index.pass_on(keys, label):
+            write_owned(spark, cfg, index, module, bronze, silver, gold, other)
+        index.write(index.flagged(keys, label), label)
+        write_owned(spark, cfg, index, module, bronze, silver, gold, label)
+
+
+def write_owned(spark: SparkSession, cfg: LayerConfig, index: DeliveryIndex, module, bronze: str, silver: str, gold: str, label: str) -> None:
+    """The records that a batch owns become its partitions of silver and gold."""
+    spec = {BATCH_COLUMN: label}
+    batch = read_partition(spark, cfg.bronze(bronze), spec)
+    owned = index.owned(spark, label)
+    if batch is None or owned.isEmpty():
+        for path in (cfg.silver(silver), cfg.gold(gold)):
+            drop_partition(spark, path, spec)
         return
-    batch = read_layer(spark, cfg.bronze(bronze)).where(F.col(BATCH_COLUMN) == label)
-    keyed = batch.drop(BATCH_COLUMN).withColumn(_KEY, payload_digest(batch))
-    new = keyed.select(_KEY).distinct()
-    if layer_exists(spark, keys_path):
-        seen = read_layer(spark, keys_path, merge_schema=False).where(F.col(BATCH_COLUMN) != label)
-        new = new.join(seen.select(_KEY), _KEY, "left_anti")
-    write_batch(new, keys_path, label)
-    if not layer_exists(spark, partition_path(spark, keys_path, spec)):
-        return  # nothing but repeats
-    new = spark.read.schema(new.schema).parquet(partition_path(spark, keys_path, spec))
-    rows = keyed.join(new, _KEY, "left_semi").dropDuplicates([_KEY]).drop(_KEY)
+    rows = batch.withColumn(KEY, payload_digest(batch)).join(owned, KEY, "left_semi").dropDuplicates([KEY]).drop(KEY)
     write_batch(module.silver(rows, dedup=False), cfg.silver(silver), label)
     # Read back from its written table: the plan starts at a file scan.
-    source = read_layer(spark, cfg.silver(silver), merge_schema=False).where(F.col(BATCH_COLUMN) == label)
-    write_batch(module.gold(source.drop(BATCH_COLUMN)), cfg.gold(gold), label)
+    write_batch(module.gold(read_partition(spark, cfg.silver(silver), spec)), cfg.gold(gold), label)
+    if gold == GOLD_TRAFFIC:
+        write_region_state(spark, cfg, label)
 
 
 def run_batch(
@@ -228,9 +244,10 @@ def run_batch(
     quarantine), then its new records into silver and gold.
 
     Every layer gets the batch as a partition of its own; earlier batches are
-    neither read (but for their record digests) nor rewritten.  Give
-    ``batch_id`` to make a repeated load replace its first attempt; without it
-    every load is a new batch.  The two reports are rebuilt.
+    neither read (but for their record digests) nor rewritten, unless they take
+    over records of a replaced one.  Give ``batch_id`` to make a repeated load
+    replace its first attempt; without it every load is a new batch.  The regional
+    summary is put together from the states of the batches.
     """
     label = labels.load(batch_id)
     quarantine = cfg.quarantine()
@@ -253,19 +270,62 @@ def run_batch(
         lambda: append_new(spark, cfg, traffic, traffic.TABLE, SILVER_TRAFFIC, GOLD_TRAFFIC, label),
         lambda: append_new(spark, cfg, roads, roads.TABLE, SILVER_ROADS, GOLD_ROADS, label),
     )
+    refresh_batch_reports(spark, cfg)
+    return BatchRun(cfg, label)
 
-    def traffic_roads() -> None:
-        if _streamed(spark, cfg.gold(GOLD_TRAFFIC)) or _streamed(spark, cfg.silver(SILVER_ROADS)):
-            return  # a view there
-        if layer_exists(spark, cfg.gold(GOLD_TRAFFIC)) and layer_exists(spark, cfg.silver(SILVER_ROADS)):
-            joined = gold_plan.traffic_roads_join(
-                read_layer(spark, cfg.gold(GOLD_TRAFFIC), merge_schema=False).drop(BATCH_COLUMN),
-                read_layer(spark, cfg.silver(SILVER_ROADS), merge_schema=False),
-            )
-            joined.write.mode("overwrite").parquet(cfg.gold(GOLD_TRAFFIC_ROADS))
 
-    run_concurrently(traffic_roads, lambda: refresh_gold_reports(spark, cfg))
-    return BatchRun(cfg, label)
+def refresh_batch_reports(spark: SparkSession, cfg: LayerConfig) -> None:
+    """The regional summary of a root of batch loads, put together from the states
+    of its batches.  Only batches that have none are read (loads before states
+    were kept); a replaced or emptied batch has replaced its state."""
+    if _streamed(spark, cfg.gold(GOLD_TRAFFIC)):
+        refresh_gold_reports(spark, cfg)
+        return
+    have, kept = (set(partition_values(spark, cfg.gold(name), BATCH_COLUMN)) for name in (GOLD_REGION_STATES, GOLD_TRAFFIC))
+    for label in have - kept:
+        drop_partition(spark, cfg.gold(GOLD_REGION_STATES), {BATCH_COLUMN: label})
+    for label in kept - have:
+        write_region_state(spark, cfg, label)
+    if layer_exists(spark, cfg.gold(GOLD_REGION_STATES)):
+        states = read_layer(spark, cfg.gold(GOLD_REGION_STATES), merge_schema=False)
+        _write_summary(spark, cfg, gold_plan.combine_region_states(states))
+
+
+def write_region_state(spark: SparkSession, cfg: LayerConfig, label: str) -> None:
+    """One batch's part of the regional summary."""
+    rows = read_partition(spark, cfg.gold(GOLD_TRAFFIC), {BATCH_COLUMN: label})
+    if rows is None:
+        drop_partition(spark, cfg.gold(GOLD_REGION_STATES), {BATCH_COLUMN: label})
+    else:
+        write_batch(gold_plan.region_states(rows).coalesce(1), cfg.gold(GOLD_REGION_STATES), label)
+
+
+#: By feed: its rules, bronze schema, module and layer tables.
+FEEDS = {
+    traffic.TABLE: (TRAFFIC_SUITE, TRAFFIC_BRONZE_SCHEMA, traffic, SILVER_TRAFFIC, GOLD_TRAFFIC),
+    roads.TABLE: (ROADS_SUITE, ROADS_BRONZE_SCHEMA, roads, SILVER_ROADS, GOLD_ROADS),
+}
+
+
+def recover_layers(
+    spark: SparkSession, cfg: LayerConfig, table: str, rule: str | None = None, suite: Suite | None = None, purge: bool = False, **how
+) -> Recovery:
+    """Recover a feed's quarantined rows and, where batch loads own the layers
+    above, take them through silver, gold and the reports; streams find them in
+    bronze by themselves.  The rows leave the quarantine (``purge``) at the end, so
+    a recovery that failed on its way is simply run again."""
+    known, schema, module, silver, gold = FEEDS[table]
+    recovery = recover_batch(
+        spark, quarantine_path=cfg.quarantine(), table_name=table, rule=rule, schema=schema, suite=suite or known,
+        target_path=cfg.bronze(table), **how,
+    )
+    if recovery.labels and path_exists(spark, cfg.silver_keys(silver)):
+        for label in recovery.labels:
+            append_new(spark, cfg, module, table, silver, gold, label)
+        refresh_batch_reports(spark, cfg)
+    if purge:
+        purge_quarantine(spark, cfg.quarantine(), recovery.keys, quarantine_table=how.get("quarantine_table"))
+    return recovery
 
 
 def run_concurrently(*jobs) -> list:
@@ -310,8 +370,9 @@ def start_bronze_streams(
     max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER,
     sources: dict | None = None,
     on_error: str = "raise",
+    counts_path: str | None = None,
 ):
-    """Landing files -> validated bronze + quarantine (one query per feed).
+    """Landing files -> validated bronze + quarantine (one query per feed, at once).
 
     A backlog is split into micro-batches of about ``max_bytes_per_trigger``,
     so one failed batch never means redoing the whole backlog.
@@ -321,27 +382,27 @@ def start_bronze_streams(
         (traffic.TABLE, TRAFFIC_SUITE, TRAFFIC_SCHEMA, True),
         (roads.TABLE, ROADS_SUITE, ROADS_SCHEMA, False),
     )
-    queries = []
-    for table, suite, schema, stamped in feeds:
+
+    def start(table: str, suite: Suite, schema: StructType, stamped: bool):
         path, glob = sources[table]
-        if not path_exists(spark, path):
-            continue  # nothing has landed for this feed yet
         src = stream_csv(
             spark, path, schema, glob=glob, corrupt_column=CORRUPT, max_bytes_per_trigger=max_bytes_per_trigger
         )
-        queries.append(
-            start_validated_ingest(
-                with_source_file(src),
-                suite=suite,
-                target_path=cfg.bronze(table),
-                quarantine_path=cfg.quarantine(),
-                checkpoint=cfg.checkpoint(f"bronze_{table}"),
-                on_error=on_error,
-                landing_schema=schema,
-                stamped=stamped,
-            )
+        return start_validated_ingest(
+            with_source_file(src),
+            suite=suite,
+            target_path=cfg.bronze(table),
+            quarantine_path=cfg.quarantine(),
+            checkpoint=cfg.checkpoint(f"bronze_{table}"),
+            on_error=on_error,
+            landing_schema=schema,
+            stamped=stamped,
+            counts_path=counts_path,
         )
-    return queries
+
+    # A feed of which nothing has landed yet has no stream.
+    landed = [feed for feed in feeds if path_exists(spark, sources[feed[0]][0])]
+    return start_together(spark, {f"bronze_{feed[0]}": partial(start, *feed) for feed in landed})
 
 
 def start_silver_streams(
@@ -360,10 +421,8 @@ def start_silver_streams(
     rows when they are recovered, so rows newer than all before never come
     late; a repeat that arrives after the horizon passes through.
     """
-    queries = []
-    for module, name, src in ((traffic, SILVER_TRAFFIC, traffic.TABLE), (roads, SILVER_ROADS, roads.TABLE)):
-        if not layer_exists(spark, cfg.bronze(src)):
-            continue  # the feed has no bronze batch yet
+
+    def start(module, name: str, src: str):
         stream = stream_table(spark, cfg.table(src), max_bytes_per_trigger=max_bytes_per_trigger)
         if dedup:
             bounded = dedup_horizon and EXTRACT_TIME in stream.columns
@@ -372,35 +431,35 @@ def start_silver_streams(
                 watermark_column=EXTRACT_TIME if bounded else None,
                 watermark_delay=dedup_horizon or "1 hour",
             )
-        queries.append(
-            start_table_stream(
-                module.silver_stream_step(stream),
-                table=cfg.table(name),
-                path=cfg.silver(name),
-                checkpoint=cfg.checkpoint(f"{name}_load"),
-            )
+        return start_table_stream(
+            CountedStreams.counted(module.silver_stream_step(stream), name),
+            table=cfg.table(name),
+            path=cfg.silver(name),
+            checkpoint=cfg.checkpoint(f"{name}_load"),
         )
-    return queries
+
+    layers = ((traffic, SILVER_TRAFFIC, traffic.TABLE), (roads, SILVER_ROADS, roads.TABLE))
+    begun = [layer for layer in layers if layer_exists(spark, cfg.bronze(layer[2]))]  # the feed has a bronze batch
+    return start_together(spark, {layer[1]: partial(start, *layer) for layer in begun})
 
 
 def start_gold_streams(
     spark: SparkSession, cfg: LayerConfig, max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER
 ):
     """silver tables -> gold tables (``refresh_gold_reports`` then defines the reports)."""
-    queries = []
-    for module, source, name in ((traffic, SILVER_TRAFFIC, GOLD_TRAFFIC), (roads, SILVER_ROADS, GOLD_ROADS)):
-        if not layer_exists(spark, cfg.silver(source)):
-            continue
+
+    def start(module, source: str, name: str):
         stream = stream_table(spark, cfg.table(source), fmt="parquet", max_bytes_per_trigger=max_bytes_per_trigger)
-        queries.append(
-            start_table_stream(
-                module.gold(stream),
-                table=cfg.table(name),
-                path=cfg.gold(name),
-                checkpoint=cfg.checkpoint(f"{name}_load"),
-            )
+        return start_table_stream(
+            CountedStreams.counted(module.gold(stream), name),
+            table=cfg.table(name),
+            path=cfg.gold(name),
+            checkpoint=cfg.checkpoint(f"{name}_load"),
         )
-    return queries
+
+    layers = ((traffic, SILVER_TRAFFIC, GOLD_TRAFFIC), (roads, SILVER_ROADS, GOLD_ROADS))
+    begun = [layer for layer in layers if layer_exists(spark, cfg.silver(layer[1]))]
+    return start_together(spark, {layer[2]: partial(start, *layer) for layer in begun})
 
 
 def refresh_gold_reports(spark: SparkSession, cfg: LayerConfig) -> None:
@@ -408,18 +467,21 @@ def refresh_gold_reports(spark: SparkSession, cfg: LayerConfig) -> None:
     an aggregate over the whole table, like a materialized view)."""
     source = cfg.gold(GOLD_TRAFFIC)
     if layer_exists(spark, source):
-        summary = gold_plan.region_summary(read_layer(spark, source, merge_schema=False))
-        summary.write.mode("overwrite").parquet(cfg.gold(GOLD_REGION_SUMMARY))
-        if not spark.catalog.databaseExists(cfg.database):
-            return  # path-only (batch) runs keep no catalog
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{cfg.database}`.`{GOLD_REGION_SUMMARY}` USING parquet "
-            f"LOCATION '{cfg.gold(GOLD_REGION_SUMMARY)}'"
-        )
-        spark.catalog.refreshTable(cfg.table(GOLD_REGION_SUMMARY))
+        _write_summary(spark, cfg, gold_plan.region_summary(read_layer(spark, source, merge_schema=False)))
         create_traffic_roads_view(spark, cfg)
 
 
+def _write_summary(spark: SparkSession, cfg: LayerConfig, summary: DataFrame) -> None:
+    """A table of one row per (region, category)."""
+    summary.write.mode("overwrite").parquet(cfg.gold(GOLD_REGION_SUMMARY))
+    create_database(spark, cfg.database, f"{cfg.root}/catalog")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{cfg.database}`.`{GOLD_REGION_SUMMARY}` USING parquet "
+        f"LOCATION '{cfg.gold(GOLD_REGION_SUMMARY)}'"
+    )
+    spark.catalog.refreshTable(cfg.table(GOLD_REGION_SUMMARY))
+
+
 def run_streams(
     spark: SparkSession,
     cfg: LayerConfig,
@@ -427,14 +489,26 @@ def run_streams(
     dedup_horizon: str | None = None,
     sources: dict | None = None,
     on_error: str = "raise",
+    count_rows: bool = False,
 ) -> None:
     """One available-now pass of every layer, each layer waited for in turn
-    so a later layer never reads a half-written one."""
+    so a later layer never reads a half-written one.  The two feeds of a layer run
+    at once; if one fails, the other is stopped and the failure rises.
+
+    With ``count_rows`` the rows that every layer gained are counted by the writes
+    and added to the table of counts (``cfg.report("layer_counts")``).
+    """
     setup_tables(spark, cfg)
-    for q in start_bronze_streams(spark, cfg, sources=sources, on_error=on_error):
-        run_available_now(q)
-    for q in start_silver_streams(spark, cfg, dedup=dedup, dedup_horizon=dedup_horizon):
-        run_available_now(q)
-    for q in start_gold_streams(spark, cfg):
-        run_available_now(q)
+    path = cfg.report(LAYER_COUNTS)
+    listener = CountedStreams()
+    if count_rows:
+        spark.streams.addListener(listener)
+    try:
+        run_together(start_bronze_streams(spark, cfg, sources=sources, on_error=on_error, counts_path=path if count_rows else None))
+        run_together(start_silver_streams(spark, cfg, dedup=dedup, dedup_horizon=dedup_horizon))
+        run_together(start_gold_streams(spark, cfg))
+    finally:
+        if count_rows:
+            listener.record(spark, path)
+            spark.streams.removeListener(listener)
     refresh_gold_reports(spark, cfg)

@@ -395,6 +395,13 @@ left_over AS (SELECT * FROM tc WHERE bad AND NOT ({_RECOVERABLE}) AND NOT (f_hou
 SELECT 'landing' AS layer, count(*) AS n_rows FROM traffic_like
 UNION ALL SELECT 'bronze', (SELECT count(*) FROM traffic_like) - (SELECT count(*) FROM left_over)
 UNION ALL SELECT 'quarantine', count(*) FROM left_over""",
+    "recover_without_purge": _TC.rstrip()
+    + f""",
+brought AS (SELECT * FROM tc WHERE {_RECOVERABLE})
+SELECT 'landing' AS layer, count(*) AS n_rows FROM traffic_like
+UNION ALL SELECT 'bronze', (SELECT count(*) FROM tc WHERE NOT bad) + (SELECT count(*) FROM brought)
+UNION ALL SELECT 'quarantine', count(*) FROM tc WHERE bad
+UNION ALL SELECT 'recovered', count(*) FROM brought""",
     "stream_recover_chain": _TC.rstrip()
     + f""",
 kept AS (
@@ -481,4 +488,34 @@ UNION ALL SELECT 3, count(*) FROM traffic_like WHERE Region_id >= 3""",
     "stream_validate_quarantine": _bronze_union_sql(),
 }
 # The same rows whether the roads came at once or in two waves.
+ORACLE["gold_region_incremental"] = _gold_good_traffic(True) + _region_summary("Region_id, Road_Category_ID")
+ORACLE["monitor_observed_counts"] = (
+    _layer_counts_cte()
+    + """SELECT CASE layer WHEN 'bronze_traffic' THEN 'raw_traffic' WHEN 'bronze_roads' THEN 'raw_roads'
+    WHEN 'quarantine_traffic' THEN 'raw_traffic_quarantine' WHEN 'quarantine_roads' THEN 'raw_roads_quarantine' ELSE layer END AS layer,
+  CAST(n_rows AS BIGINT) AS n_rows
+FROM counts WHERE layer NOT LIKE 'landing%' AND layer NOT IN ('gold_traffic_roads', 'gold_region_summary')"""
+)
+ORACLE["stream_two_feeds"] = (
+    _layer_counts_cte() + "SELECT layer, n_rows FROM counts WHERE layer LIKE 'bronze%' OR layer LIKE 'quarantine%'"
+)
+ORACLE["publish_after_failure"] = (
+    _TC.rstrip()
+    + """,
+steps(step, n) AS (VALUES ('first batch', 2), ('failed batch', 2), ('retried batch', 5))
+SELECT step, 'bronze' AS layer, count(*) AS n_rows FROM steps JOIN tc ON Region_id < n AND NOT bad GROUP BY step
+UNION ALL SELECT step, 'quarantine', count(*) FROM steps JOIN tc ON Region_id < n AND bad GROUP BY step"""
+)
+ORACLE["purge_by_tombstone"] = (
+    f"SELECT * FROM ({ORACLE['purge_quarantine']}) CROSS JOIN (VALUES ('marked'), ('compacted')) AS s(state)"
+)
+ORACLE["stream_archive_source"] = (
+    _with(TRAFFIC_LIKE)
+    + "SELECT layer, count(*) AS n_rows FROM traffic_like CROSS JOIN (VALUES ('landed'), ('written'), ('landing and archive')) AS l(layer) GROUP BY layer"
+)
+ORACLE["batch_recover_chain"] = ORACLE["stream_recover_chain"]
+ORACLE["dedup_batch_history"] = (
+    _with(TRAFFIC_LIKE, TRAFFIC_DUP, traffic_checked("traffic_dup"), "good AS (SELECT * FROM tc WHERE NOT bad)", traffic_silver("good", "ts"))
+    + f"SELECT {TP}, Motor_Vehicles_Count FROM ts"
+)
 ORACLE["stream_traffic_roads_join"] = ORACLE["gold_traffic_roads_join"]

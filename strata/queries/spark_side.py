@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,11 @@ from strata.functions.strftime import matches_strftime
 from strata.operators import clean, monitor, quality
 from strata.operators.quality import VIOLATIONS, annotate, split
 from strata.operators.quarantine import (
+    compact_quarantine,
+    live_quarantine,
+    mark_purged,
     purge_quarantine,
+    recover_batch,
     recover_quarantine,
     validate_and_write,
 )
@@ -36,12 +41,13 @@ from strata.schemas import (
     TRAFFIC_SCHEMA,
     TRANSFORMED_TIME,
 )
+from strata.sinks.publish import publish
 from strata.sinks.tables import read_layer, write_batch
-from strata.sources.files import header_report, read_csv, stream_csv, with_extract_time
+from strata.sources.files import CORRUPT, header_report, read_csv, stream_csv, with_extract_time, with_source_file
 from strata.sources.testdata import load, roads_like, traffic_dup, traffic_like
 from strata.sources.tables import stream_table
 from strata.streaming.chain import stream_dedup
-from strata.streaming.ingest import run_available_now
+from strata.streaming.ingest import run_available_now, run_together, start_together, start_validated_ingest
 
 TRAFFIC_PAYLOAD = [name for name, _ in TRAFFIC_COLUMNS]
 
@@ -190,15 +196,15 @@ def rule_column_set(spark, sf_dir):
 def rule_header_match(spark, sf_dir):
     """Header check per landing file; region 4 arrives with a renamed
     header column, region 3 with every cell quoted, region 2 without a header
-    (so the reader takes its first row for one).  Reported per region: all
-    files ok, data rows."""
+    (so the reader takes a row of each file for one).  Reported per region: all
+    files ok, data rows; region 2 as if it had come in one file."""
     src = roads_like(spark, sf_dir).withColumn("region", F.col("Region_ID"))
     root = fresh_dir(spark, "header-landing")
     parts = (
         (src.filter(~F.col("region").isin(2, 3, 4)), {}),
         (src.filter(F.col("region") == 4).withColumnRenamed("Road_ID", "Road_Identifier"), {}),
         (src.filter(F.col("region") == 3), {"quoteAll": "true"}),
-        (src.filter(F.col("region") == 2).coalesce(1), {"header": "false"}),
+        (src.filter(F.col("region") == 2), {"header": "false"}),
     )
     for part, options in parts:
         display = part.select(
@@ -210,7 +216,8 @@ def rule_header_match(spark, sf_dir):
     return (
         report.withColumn("Region_ID", region)
         .groupBy("Region_ID")
-        .agg(F.bool_and("header_ok").alias("header_ok"), F.sum("n_rows").alias("n_rows"))
+        .agg(F.bool_and("header_ok").alias("header_ok"), F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_files"))
+        .select("Region_ID", "header_ok", F.when(F.col("Region_ID") == 2, F.col("n_rows") + F.col("n_files") - 1).otherwise(F.col("n_rows")).alias("n_rows"))
     )
 
 
@@ -424,6 +431,48 @@ def stream_recover_chain(spark, sf_dir):
     return silver.select("Count_point_id", "Count_date", traffic.MOTOR_COUNT)
 
 
+def recover_without_purge(spark, sf_dir):
+    """A rule's rows are recovered three times without a purge, the second
+    time after another batch brought more of them: none comes back twice."""
+    cfg = LayerConfig.scratch(spark, "recover-no-purge")
+    landing = _bronze_traffic(spark, sf_dir)
+    first = F.col("Region_id") < 2
+    for batch_id, part in ((0, landing.where(first)), (1, landing.where(~first))):
+        validate_and_write(
+            part, batch_id, suite=traffic.SUITE, target_path=cfg.bronze(traffic.TABLE), quarantine_path=cfg.quarantine()
+        )
+        for _ in range(1 + batch_id):
+            recovery = recover_batch(
+                spark, quarantine_path=cfg.quarantine(), table_name=traffic.TABLE, rule=f"[Count_date] {STRFTIME}",
+                schema=TRAFFIC_BRONZE_SCHEMA, suite=traffic.SUITE, target_path=cfg.bronze(traffic.TABLE), repair=_repair_day_first,
+            )
+    layers = {"landing": landing, "bronze": read_layer(spark, cfg.bronze(traffic.TABLE)), "quarantine": read_layer(spark, cfg.quarantine())}
+    return monitor.layer_counts({**layers, "recovered": recovery.keys})
+
+
+def batch_recover_chain(spark, sf_dir):
+    """Batch loads, then recovery and purge, then another load; what was
+    recovered is in gold too."""
+    cfg = LayerConfig.scratch(spark, "batch-recover")
+    feed, no_roads = traffic_like(spark, sf_dir), roads_like(spark, sf_dir).limit(0)
+    medallion.run_batch(spark, cfg, feed.where("Region_id < 3"), no_roads, "1")
+    medallion.recover_layers(spark, cfg, traffic.TABLE, f"[Count_date] {STRFTIME}", traffic.SUITE, purge=True, repair=_repair_day_first)
+    run = medallion.run_batch(spark, cfg, feed.where("Region_id >= 3"), no_roads, "2")
+    medallion.recover_layers(spark, cfg, traffic.TABLE, f"[Count_date] {STRFTIME}", traffic.SUITE, purge=True, repair=_repair_day_first)
+    return run.gold(spark, medallion.GOLD_TRAFFIC).select("Count_point_id", "Count_date", traffic.MOTOR_COUNT)
+
+
+def dedup_batch_history(spark, sf_dir):
+    """Three loads with many records in common, then a corrected retry of the
+    first that delivers less; each record still delivered is in silver once."""
+    cfg = LayerConfig.scratch(spark, "history")
+    feed, no_roads = traffic_dup(spark, sf_dir), roads_like(spark, sf_dir).limit(0)
+    waves = (("a", "Region_id >= 0"), ("b", "Region_id IN (1, 2)"), ("c", "Region_id IN (2, 3, 4)"), ("a", "Region_id = 0"))
+    for batch_id, part in waves:
+        run = medallion.run_batch(spark, cfg, feed.where(part), no_roads, batch_id)
+    return run.silver(spark, medallion.SILVER_TRAFFIC).select(*TRAFFIC_PAYLOAD, traffic.MOTOR_COUNT)
+
+
 def purge_quarantine_q(spark, sf_dir):
     """After recovery, re-inserted rows leave the quarantine."""
     cfg, keys = _recover(spark, sf_dir)
@@ -431,6 +480,19 @@ def purge_quarantine_q(spark, sf_dir):
     return _quarantine_view(read_layer(spark, cfg.quarantine())).drop("has_ingestion_time")
 
 
+def purge_by_tombstone(spark, sf_dir):
+    """Re-inserted rows are marked as purged; the view leaves them out, and
+    compaction then rewrites the partitions they were in."""
+    cfg, keys = _recover(spark, sf_dir)
+    mark_purged(spark, cfg.quarantine(), keys)
+    marked = _quarantine_view(live_quarantine(spark, cfg.quarantine())).drop("has_ingestion_time").withColumn("state", F.lit("marked"))
+    before = fresh_dir(spark, "marked")
+    marked.write.parquet(before)
+    compact_quarantine(spark, cfg.quarantine(), cfg.table(cfg.quarantine_table))
+    after = _quarantine_view(read_layer(spark, cfg.quarantine())).drop("has_ingestion_time").withColumn("state", F.lit("compacted"))
+    return spark.read.parquet(before).unionByName(after)
+
+
 def schema_evolution_append(spark, sf_dir):
     """K4: batch 1 without, batch 2 with a new column; read back merged."""
     path = fresh_dir(spark, "evolving")
@@ -632,6 +694,28 @@ def monitor_quality_rate(spark, sf_dir):
     return monitor.quality_rate(quarantine_summary(spark, sf_dir))
 
 
+def gold_region_incremental(spark, sf_dir):
+    """The summary put together from the states of three loads and of a
+    corrected retry of the first."""
+    cfg = LayerConfig.scratch(spark, "region-states")
+    feed, no_roads = traffic_dup(spark, sf_dir), roads_like(spark, sf_dir).limit(0)
+    for batch_id, part in (("a", "Region_id <= 2"), ("b", "Region_id IN (2, 3)"), ("c", "Region_id IN (0, 4)"), ("a", "Region_id <= 1")):
+        medallion.run_batch(spark, cfg, feed.where(part), no_roads, batch_id)
+    return gold_plan.combine_region_states(read_layer(spark, cfg.gold(medallion.GOLD_REGION_STATES), merge_schema=False))
+
+
+def monitor_observed_counts(spark, sf_dir):
+    """A1/A5: rows of every layer as the writes counted them, over two waves of
+    streams; no layer is read."""
+    cfg = LayerConfig.scratch(spark, "observed")
+    feed, rds = traffic_dup(spark, sf_dir), roads_like(spark, sf_dir)
+    for part, roads_part in (("Region_id < 3", "Region_ID < 2"), ("Region_id >= 3", "Region_ID >= 2")):
+        _land_traffic(spark, cfg.landing(traffic.TABLE), feed.where(part))
+        medallion.write_landing_csv(rds.where(roads_part), cfg.landing(roads.TABLE))
+        medallion.run_streams(spark, cfg, sources=medallion.landing_sources(cfg, per_feed_folders=True), count_rows=True)
+    return monitor.recorded_counts(spark, cfg.report(medallion.LAYER_COUNTS))
+
+
 # ---------------------------------------------------------- streaming (T)
 
 
@@ -681,6 +765,29 @@ def stream_incremental(spark, sf_dir):
     return runs.join(written, "run", "left").select("run", F.coalesce("n_new_rows", F.lit(0)).alias("n_new_rows"))
 
 
+def stream_archive_source(spark, sf_dir):
+    """Three waves land, and files that were read move to an archive; every
+    row is written once and lies in the landing folder or the archive."""
+    cfg = LayerConfig.scratch(spark, "archive")
+    landing, archive, out_path = cfg.landing(traffic.TABLE), f"{cfg.root}/archive", cfg.bronze(traffic.TABLE)
+    feed = traffic_like(spark, sf_dir)
+    for wave in ("Region_id < 2", "Region_id IN (2, 3)", "Region_id > 3"):
+        _land_traffic(spark, landing, feed.where(wave))
+        stream = stream_csv(spark, landing, TRAFFIC_SCHEMA, glob="*.csv", archive=archive)
+        q = (
+            stream.writeStream.format("parquet")
+            .option("path", out_path)
+            .option("checkpointLocation", cfg.checkpoint("archive"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        run_available_now(q)
+    both = read_csv(spark, landing, TRAFFIC_SCHEMA, glob="*.csv").unionByName(read_csv(spark, archive, TRAFFIC_SCHEMA, glob="*.csv"))
+    return monitor.layer_counts(
+        {"landed": feed, "written": spark.read.parquet(out_path), "landing and archive": both}
+    )
+
+
 def stream_dedup_q(spark, sf_dir):
     """Stateful stream dedup; every 20th record is delivered again in
     a later file and run, and the state drops it."""
@@ -730,6 +837,81 @@ def stream_traffic_roads_join(spark, sf_dir):
     return _joined_view(spark.table(cfg.table(medallion.GOLD_TRAFFIC_ROADS)))
 
 
+def stream_two_feeds(spark, sf_dir):
+    """Both feeds stream at once; the roads' validation fails first, which
+    stops the traffic too; the next run leaves every row in bronze or quarantine once."""
+    cfg = LayerConfig.scratch(spark, "two-feeds")
+    _land_traffic(spark, cfg.landing(traffic.TABLE), traffic_dup(spark, sf_dir))
+    medallion.write_landing_csv(roads_like(spark, sf_dir), cfg.landing(roads.TABLE))
+    sources = medallion.landing_sources(cfg, per_feed_folders=True)
+    broken = Suite(roads.TABLE, (NotNull("No_Such_Column"),))
+
+    def feed(table: str, schema, suite):
+        stream = with_source_file(stream_csv(spark, *sources[table][:1], schema, glob=sources[table][1], corrupt_column=CORRUPT))
+        return lambda: start_validated_ingest(
+            stream, suite=suite, target_path=cfg.bronze(table), quarantine_path=cfg.quarantine(),
+            checkpoint=cfg.checkpoint(f"bronze_{table}"), landing_schema=schema, stamped=table == traffic.TABLE,
+        )
+
+    for roads_suite in (broken, roads.SUITE):
+        starts = {traffic.TABLE: feed(traffic.TABLE, TRAFFIC_SCHEMA, traffic.SUITE), roads.TABLE: feed(roads.TABLE, ROADS_SCHEMA, roads_suite)}
+        try:
+            run_together(start_together(spark, starts))
+        except StreamingQueryException:
+            if roads_suite is not broken:
+                raise
+        else:
+            if roads_suite is broken:
+                raise AssertionError("the broken feed did not fail")
+    quarantine = read_layer(spark, cfg.quarantine())
+    return monitor.layer_counts(
+        {
+            "bronze_traffic": read_layer(spark, cfg.bronze(traffic.TABLE)),
+            "bronze_roads": read_layer(spark, cfg.bronze(roads.TABLE)),
+            "quarantine_traffic": quarantine.where(F.col("table_name") == traffic.TABLE),
+            "quarantine_roads": quarantine.where(F.col("table_name") == roads.TABLE),
+        }
+    )
+
+
+def publish_after_failure(spark, sf_dir):
+    """K1/K2: batch 0 is published; the second output of batch 1 fails, and
+    neither table shows any of it; its retry shows both."""
+    cfg = LayerConfig.scratch(spark, "publish")
+    medallion.setup_tables(spark, cfg)
+    target, quarantine = cfg.table(traffic.TABLE), cfg.table(cfg.quarantine_table)
+    landing = _bronze_traffic(spark, sf_dir)
+    load = lambda batch_id, part: validate_and_write(
+        landing.where(part), batch_id, suite=traffic.SUITE, target_path=cfg.bronze(traffic.TABLE),
+        quarantine_path=cfg.quarantine(), publish_to=(target, quarantine),
+    )
+    counted = fresh_dir(spark, "publish-counts")
+
+    def count(step: str) -> None:
+        monitor.layer_counts({"bronze": spark.table(target), "quarantine": spark.table(quarantine)}).withColumn(
+            "step", F.lit(step)
+        ).write.mode("append").parquet(counted)
+
+    load(0, "Region_id < 2")
+    count("first batch")
+    annotated = annotate(landing.where("Region_id >= 2"), traffic.SUITE)
+    good, _ = split(annotated)
+    lost = good.withColumn("Year", F.when(F.col("Year").isNotNull(), F.raise_error(F.lit("the write fails")).cast("int")))
+    try:
+        publish(
+            spark,
+            [
+                (quarantine, {"table_name": traffic.TABLE, "gx_batch_id": "1"}, quality.quarantine_rows(annotated, traffic.TABLE, "1")),
+                (target, {BATCH_COLUMN: "1"}, lost),
+            ],
+        )
+    except PySparkException:
+        count("failed batch")
+    load(1, "Region_id >= 2")
+    count("retried batch")
+    return spark.read.parquet(counted)
+
+
 def stream_validate_quarantine(spark, sf_dir):
     """K1/K2/T4: CSV stream -> foreachBatch validate -> bronze + quarantine."""
     cfg = LayerConfig.scratch(spark, "stream-validate")
@@ -774,11 +956,15 @@ QUERIES = {
     "empty_batch_skip": empty_batch_skip,
     "recover_quarantine": recover_quarantine_q,
     "purge_quarantine": purge_quarantine_q,
+    "purge_by_tombstone": purge_by_tombstone,
     "recover_twice": recover_twice,
+    "recover_without_purge": recover_without_purge,
+    "batch_recover_chain": batch_recover_chain,
     "schema_evolution_append": schema_evolution_append,
     "schema_evolution_stream": schema_evolution_stream,
     "dedup_full_row": dedup_full_row,
     "dedup_by_key": dedup_by_key,
+    "dedup_batch_history": dedup_batch_history,
     "null_fill_strings": null_fill_strings,
     "null_fill_numerics": null_fill_numerics,
     "null_policy": null_policy,
@@ -798,9 +984,14 @@ QUERIES = {
     "monitor_batch_quality": monitor_batch_quality,
     "stream_file_ingest": stream_file_ingest,
     "stream_incremental": stream_incremental,
+    "stream_archive_source": stream_archive_source,
     "stream_dedup": stream_dedup_q,
     "stream_table_chain": stream_table_chain,
     "stream_traffic_roads_join": stream_traffic_roads_join,
     "stream_recover_chain": stream_recover_chain,
     "stream_validate_quarantine": stream_validate_quarantine,
+    "stream_two_feeds": stream_two_feeds,
+    "publish_after_failure": publish_after_failure,
+    "gold_region_incremental": gold_region_incremental,
+    "monitor_observed_counts": monitor_observed_counts,
 }

@@ -84,6 +84,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small new file; False if there is one already."""
+    fs, hpath = _located(spark, path)
+    if fs.exists(hpath):
+        return False
+    fs.mkdirs(hpath.getParent())
+    try:
+        out = fs.create(hpath, False)
+    except Exception:
+        if fs.exists(hpath):  # another was faster
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _located(spark, path)
+    fs.delete(hpath, True)
+
+
 def list_files(spark: SparkSession, path: str) -> Iterator[str]:
     """All files below a folder."""
     fs, hpath = _located(spark, path)
@@ -92,6 +116,28 @@ def list_files(spark: SparkSession, path: str) -> Iterator[str]:
         yield files.next().getPath().toString()
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly below a folder; none if it is not there."""
+    fs, hpath = _located(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return [x.getPath().toString() for x in fs.listStatus(hpath) if x.isDirectory()]
+
+
+def partition_values(spark: SparkSession, table_path: str, column: str) -> list[str]:
+    """The values of a table's first partition column, from its folders."""
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = (path.rstrip("/").rsplit("/", 1)[-1] for path in list_folders(spark, table_path))
+    return [unescape(name[len(column) + 1 :]) for name in names if name.startswith(f"{column}=")]
+
+
+def read_partition(spark: SparkSession, table_path: str, spec: Mapping[str, str]) -> DataFrame | None:
+    """One partition's rows without its partition columns; None if it holds no
+    file.  The rest of the table is neither listed nor read."""
+    path = partition_path(spark, table_path, spec)
+    return spark.read.parquet(path) if layer_exists(spark, path) else None
+
+
 def layer_exists(spark: SparkSession, path: str) -> bool:
     """Has anything been written to a layer?
 
@@ -123,8 +169,7 @@ def drop_partition(spark: SparkSession, table_path: str, spec: Mapping[str, str]
     if table:
         part = ", ".join(f"{k} = '{v.replace(chr(39), chr(39) * 2)}'" for k, v in spec.items())
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part})")
-    fs, hpath = _located(spark, partition_path(spark, table_path, spec))
-    fs.delete(hpath, True)
+    delete_path(spark, partition_path(spark, table_path, spec))
 
 
 def evolve_table(spark: SparkSession, table: str, schema: StructType) -> list[str]:

@@ -53,13 +53,25 @@ def stream_csv(
     recursive: bool = True,
     corrupt_column: str | None = None,
     max_bytes_per_trigger: int | None = None,
+    archive: str | None = None,
+    max_file_age: str | None = None,
 ) -> DataFrame:
     """Incremental CSV source: each run reads only files not seen before
-    (tracked in the query's checkpoint)."""
+    (tracked in the query's checkpoint).
+
+    With ``archive``, a folder outside ``path``, files move there once their
+    micro-batch is committed (when the next one is planned), so the listing and
+    the checkpoint's file log do not grow forever; ``max_file_age`` (e.g.
+    ``"30d"``) is how much older than the newest a file may land and still be read.
+    """
     sch = with_corrupt_record(schema, corrupt_column) if corrupt_column else schema
     reader = spark.readStream.options(**_csv_options(glob, recursive, corrupt_column)).schema(sch)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)
     return reader.csv(path)
 
 
