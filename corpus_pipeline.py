@@ -16,7 +16,7 @@ from strata.llm.common import read_table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no letter in the text) go."""
+    """Documents that the language model does not place (see langid.MIN_SCORE), or without a letter, go."""
     return langid.identified(docs)
 
 
