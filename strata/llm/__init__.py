@@ -1,6 +1,6 @@
 """Operators for preparing training text at scale: language, URL rules,
 near-duplicates, fingerprints, licences, repeated substrings, token counts,
-benchmark leaks, mixing and sharding.  Nothing else in the library imports
+benchmark leaks, mixing, sharding, audits of filters and sources, byte-level BPE.  Nothing else in the library imports
 this subpackage.
 
 Functions that run in Python workers are sent with their code, so executors
