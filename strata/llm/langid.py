@@ -82,13 +82,13 @@ def features(column: pa.Array) -> np.ndarray:
 def linear_svm(x: np.ndarray, positive: np.ndarray, penalty: float = 1e-4, rounds: int = 300) -> np.ndarray:
     """Weights and bias of a linear support vector machine (squared hinge,
     accelerated gradient); both classes weigh the same."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    y = np.where(positive, 1.0, -1.0)
-    share = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum()))
-    w = ahead = np.zeros(x.shape[1])
+    # Vectors stay float32 and are never copied: the driver holds the sample once.
+    y = np.where(positive, 1, -1).astype(np.float32)
+    share = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum())).astype(np.float32)
+    w = ahead = np.zeros(x.shape[1] + 1)
     for t in range(rounds):
-        slack = np.maximum(0.0, 1 - y * (x @ ahead))
-        step = ahead - 0.25 * (penalty * ahead - 2 * x.T @ (share * y * slack))
+        pull = share * y * np.maximum(0, 1 - y * (x @ ahead[:-1].astype(np.float32) + np.float32(ahead[-1])))
+        step = ahead - 0.25 * (penalty * ahead - 2 * np.append(pull @ x, pull.sum()))
         ahead, w = step + t / (t + 3) * (step - w), step
     return w
 
@@ -156,13 +156,16 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     vector = F.arrow_udf(lambda column: pa.array([v.tobytes() for some in slices(column) for v in features(some)], pa.binary()), "binary")
     picked = rows.where((F.pmod("h", F.lit(1 << 20)) / (1 << 20)) < F.coalesce(share[F.col("lang")], F.lit(0.0)))
     sample = picked.select("h", "lang", vector("t").alias("x")).orderBy("h").limit(2 * sample_docs).collect()
-    taken: dict[str, list[np.ndarray]] = {}
+    taken: dict[str, list[bytes]] = {}
     for r in sorted(sample, key=lambda r: (r.h, r.lang, r.x)):
         if len(own := taken.setdefault(r.lang, [])) < each:
-            own.append(np.frombuffer(r.x, np.float32))
+            own.append(bytes(r.x))
+    del sample
     languages = sorted(taken)
-    x = np.concatenate([np.stack(taken[lang]) for lang in languages])
     y = np.repeat(np.arange(len(languages)), [len(taken[lang]) for lang in languages])
+    x = np.empty((len(y), DIMENSIONS), np.float32)
+    for i, vector_bytes in enumerate(v for lang in languages for v in taken.pop(lang)):
+        x[i] = np.frombuffer(vector_bytes, np.float32)
     names = sorted({family_of(lang) for lang in languages})
     members = [[i for i, lang in enumerate(languages) if family_of(lang) == f] for f in names]
     families = [(m, linear_svm(x, np.isin(y, m)) if len(members) > 1 else None) for m in members]
