@@ -39,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import NO_ID, cut_lineage, keyed, read_table, unkeyed
@@ -147,9 +147,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def edits(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """What the classes x of ``grouped`` (c, x, part, apart) change in the set of
-    their centre c: ``e`` has the shingles of x that c lacks, then those of c that x
-    lacks, d of them, each sorted alike for all classes of the centre.  ``first``
-    is how many of these :func:`candidates` must look at."""
+    their centre c: ``e`` has the shingles of x that c lacks and those of c that x
+    lacks, d of them.  ``first`` is how many of these :func:`candidates` must look at."""
     centre = sets.select(F.col("node").alias("c"), F.col("h").alias("hc"), F.col("s").alias("s_c"))
     own = sets.select(F.col("node").alias("x"), "h", F.col("s").alias("s_x"))
     both = grouped.join(centre, "c").join(own, "x")
@@ -163,6 +162,18 @@ def edits(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return changed.withColumn("first", F.least(F.greatest(F.when(F.col("apart"), far).otherwise(near), F.lit(0)), F.col("d")).cast("int"))
 
 
+def places(changes: DataFrame) -> DataFrame:
+    """The changes ``e`` at places i < first of each class of ``changes``, without those
+    that classes of one part alone have.  All classes of a centre sort changes
+    alike: first those of one part, then the others, each the rarest first, so what
+    many classes changed seldom takes one of the first places."""
+    every = changes.where("first > 0").select("c", "hc", "x", "h", "part", "apart", "n", "d", "first", F.explode("e").alias("e"))
+    shared = every.groupBy("c", "hc", "e").agg(F.count("*").alias("often"), (F.min("part") != F.max("part")).alias("between"))
+    order = Window.partitionBy("c", "hc", "x", "h").orderBy("between", "often", "e")
+    placed = every.join(shared, ["c", "hc", "e"]).withColumn("i", F.row_number().over(order) - 1)
+    return placed.where("between AND i < first").select("c", "hc", "x", "h", "part", "apart", "n", "d", "i", "e")
+
+
 def candidates(changes: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(c, hc, a, ha, b, hb)`` of classes of one centre in different parts
     that could be similar; a is apart from the centre: not similar to it.
@@ -183,19 +194,17 @@ def candidates(changes: DataFrame, percent: int) -> DataFrame:
     a change, are not paired with each other.
     """
     less, more = 100 - percent, 100 + percent
-    places = changes.where("first > 0").select(
-        "c", "hc", "x", "h", "part", "apart", "n", "d", F.posexplode(F.slice("e", F.lit(1), F.col("first"))).alias("i", "e")
-    )
-    by_part = places.groupBy("c", "hc", "e", "part").agg(
+    looked_at = cut_lineage(places(changes))
+    by_part = looked_at.groupBy("c", "hc", "e", "part").agg(
         F.min(F.expr(f"{more} * d - {less} * n")).alias("low"), F.max(F.expr(f"{more} * d + {less} * n - {2 * more} * i")).alias("high"),
         F.min("n").alias("least"), F.max("n").alias("most"),
     ).withColumnsRenamed({"c": "_c", "hc": "_hc", "e": "_e", "part": "other"})
     meets = (F.col("c") == F.col("_c")) & (F.col("hc") == F.col("_hc")) & (F.col("e") == F.col("_e")) & (F.col("part") != F.col("other"))
     could = F.expr(f"low <= {less} * n + {more} * d - {2 * more} * i AND {more} * d - {less} * n <= high AND 100 * most >= {percent} * n AND {percent} * least <= 100 * n")
-    met = places.where("apart").join(by_part, meets & could).select(
+    met = looked_at.where("apart").join(by_part, meets & could).select(
         "c", "hc", "e", "other", F.col("x").alias("a"), F.col("h").alias("ha"), F.col("n").alias("n_a"), F.col("d").alias("d_a"), F.col("i").alias("j")
     )
-    right = places.select(
+    right = looked_at.select(
         F.col("c").alias("_c"), F.col("hc").alias("_hc"), F.col("e").alias("_e"), "part", "apart", F.col("x").alias("b"), F.col("h").alias("hb"),
         F.col("n").alias("n_b"), F.col("d").alias("d_b"), "i",
     )

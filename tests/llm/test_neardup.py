@@ -106,6 +106,18 @@ def test_every_link_is_a_candidate(spark, percent):
     assert got == needed
 
 
+def test_changes_that_all_classes_share_make_no_pairs(spark):
+    """Sixty classes with the same fifteen words replaced and forty own words each;
+    two of them are similar to each other."""
+    centre = [f"c{i}" for i in range(100)]
+    common = [f"f{i}" for i in range(15)] + centre[15:]
+    classes = [common + [f"o{n}_{i}" for i in range(40)] for n in range(60)]
+    classes.append([*classes[7][:-4], "x", "y", "z"])
+    changes, *_ = _changes(spark, [" ".join(w) for w in (centre, *classes)])
+    assert changes.where("apart and first > 0").count() == 61
+    assert {(r.a, r.b) for r in neardup.candidates(changes, 80).collect()} == {(8, 61)}
+
+
 def _near_copies(n):
     """One text and n near copies of it, a quarter of them beyond the threshold."""
     rnd = random.Random(9)
