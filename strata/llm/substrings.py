@@ -231,10 +231,16 @@ def _by_digest(fetched: DataFrame) -> DataFrame:
     return late.select("_id", "lo", F.col("lo").alias("hi"))
 
 
-def _fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def _by_text(per_doc: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Rows of a document number by the digest of its text: texts are dealt out by
+    that already, so what is found goes to the texts and these stay where they are."""
+    return firsts.select(F.col("first").alias("_id"), "_md5").join(per_doc, "_id").drop("_id")
+
+
+def _fetch(texts: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of pieces (anchor, _id, _at)."""
     per_doc = wanted.groupBy("_id").agg(F.collect_list(F.struct("anchor", "_at")).alias("own"))
-    rows = texts.join(per_doc, "_id").select("_id", "_text", "own")
+    rows = texts.join(_by_text(per_doc, firsts), "_md5").select("_id", "_text", "own")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,10 +261,10 @@ def _fetch(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(fetch, "anchor long, _id long, _at long, body binary")
 
 
-def _without(texts: DataFrame, ranges: DataFrame) -> DataFrame:
+def _without(texts: DataFrame, firsts: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each text's repeating windows (lo, hi) as removed byte ranges: n_bytes, n_removed, n_spans, kept_sha256, kept."""
     per_doc = ranges.groupBy("_id").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
-    rows = texts.join(per_doc, "_id", "left").select("_id", "_text", "lo", "hi")
+    rows = texts.join(_by_text(per_doc, firsts), "_md5", "left").select("_id", "_text", "lo", "hi")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,7 +301,7 @@ def repeated_substrings(docs: DataFrame, hot_pieces: int = HOT_PIECES) -> DataFr
     numbered = cut_lineage(ordered.withColumn("_doc", F.monotonically_increasing_id()))
     firsts = numbered.groupBy("_md5").agg(F.min("_doc").alias("first"))
     texts = rows.groupBy("_md5").agg(F.any_value("_text").alias("_text")).join(firsts, "_md5")
-    texts = texts.select(F.col("first").alias("_id"), "_text")
+    texts = texts.select("_md5", F.col("first").alias("_id"), "_text")
 
     by_anchor = Window.partitionBy("anchor")
     prior = F.lag("piece").over(by_anchor.orderBy("piece", "_id", "_at"))
@@ -309,10 +315,10 @@ def repeated_substrings(docs: DataFrame, hot_pieces: int = HOT_PIECES) -> DataFr
     marked = cut_lineage(marked.where("not new or _kinds > 1").drop("_prior", "piece", "again"))
     whole = marked.where("not new").select("_id", F.expr(_FIRST).alias("lo"), F.expr(f"{_FIRST} + {_MORE}").alias("hi"))
     open_pieces = marked.where("new").select("anchor", "_id", "_at", (F.col("_kinds") > hot_pieces).alias("hot"))
-    ranges = whole.unionByName(_by_suffix_array(_fetch(texts, open_pieces.where("not hot"))))
+    ranges = whole.unionByName(_by_suffix_array(_fetch(texts, firsts, open_pieces.where("not hot"))))
     if not open_pieces.where("hot").isEmpty():
-        ranges = ranges.unionByName(_by_digest(_fetch(texts, open_pieces.where("hot"))))
-    result = _without(texts, ranges).withColumnRenamed("_id", "_fid")
+        ranges = ranges.unionByName(_by_digest(_fetch(texts, firsts, open_pieces.where("hot"))))
+    result = _without(texts, firsts, ranges).withColumnRenamed("_id", "_fid")
 
     all_rows = digests.join(numbered, ["_id", "_md5"]).join(firsts, "_md5").join(result, F.col("first") == F.col("_fid"))
     copy = (F.col("_doc") != F.col("first")) & (F.col("_n") >= LENGTH)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -97,6 +98,14 @@ def test_texts_of_one_id_keep_apart(spark):
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
 
 
+def test_texts_are_dealt_out_by_digest_alone(spark, capsys):
+    """What is found goes to the texts; these are not dealt out again by number."""
+    docs = brute.frame(spark, [(i, t, None, None) for i, t in enumerate(_texts())])
+    substrings.repeated_substrings(docs).explain("formatted")
+    moved = [b for b in capsys.readouterr().out.split("\n\n") if re.match(r"\(\d+\) Exchange\n", b.strip()) and "_text#" in b]
+    assert all("hashpartitioning(_md5#" in b for b in moved), moved
+
+
 def test_equal_windows_have_equal_anchors():
     rnd = random.Random(1)
     shared = bytes(rnd.choice(b"abcdef") for _ in range(400))
