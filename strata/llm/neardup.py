@@ -273,7 +273,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     placed = placed.select("c", "x", F.coalesce("p_x", "x").alias("part"), (F.coalesce("p_x", "x") != F.coalesce("p_c", "c")).alias("apart"))
     count = placed.groupBy("c").agg(F.count("*").alias("_all"), F.max("apart").alias("_apart")).where("_all > 1 and _apart")
     changes = cut_lineage(edits(placed.join(count.select("c"), "c"), sets, percent))
-    joined = components(found.unionByName(_linked_by_edits(changes, percent)))
+    # The parts are stars already, so only what the new links join takes rounds.
+    stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    joined = components(stars.unionByName(_linked_by_edits(changes, percent)))
 
     whole = members.join(joined, "node", "left").withColumn("_to", F.coalesce("component", "node", "_id"))
     return whole.select(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+from strata.llm import graph
 from strata.llm.graph import components
 
 
@@ -28,3 +29,15 @@ def test_components_match_union_find(spark):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    """An earlier result is joined further without beginning again."""
+    written, cut = [], graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: written.append(1) or cut(df))
+    stars = [(i, 0) for i in range(1, 9)] + [(i, 20) for i in range(21, 25)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == _slow(stars) and len(written) == 1
+    joined = [*stars, (24, 8)]
+    assert {r.node: r.component for r in components(spark.createDataFrame(joined, "a long, b long")).collect()} == _slow(joined)
+    assert len(written) <= 5
