@@ -20,9 +20,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = cut_lineage(_down(links.select("a", "b")))
     while not _are_stars(edges):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        larger = both.where("b > a").join(least, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = _both_ends(edges).groupBy("n").agg(F.least(F.min("other"), F.col("n")).alias("m"))
+        # a is the larger end of every link.
+        larger = edges.join(least, F.col("b") == F.col("n")).select("a", F.col("m").alias("b"))
         larger = _down(larger)
         lowest = larger.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
         smaller = larger.join(lowest, F.col("a") == F.col("n")).select(
@@ -38,9 +38,15 @@ def _down(links: DataFrame) -> DataFrame:
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
 
 
+def _both_ends(edges: DataFrame) -> DataFrame:
+    """``(n, other)``: each link from both its ends.  One pass over the links, as
+    every task is also kept on the driver."""
+    ends = F.array(F.struct(F.col("a").alias("n"), F.col("b").alias("other")), F.struct(F.col("b").alias("n"), F.col("a").alias("other")))
+    return edges.select(F.explode(ends).alias("e")).select("e.n", "e.other")
+
+
 def _are_stars(edges: DataFrame) -> bool:
     """No node has two smaller neighbours, or a smaller and a larger one."""
-    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down"))
-    ends = ends.unionByName(edges.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    counts = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    smaller = F.col("other") < F.col("n")
+    counts = _both_ends(edges).groupBy("n").agg(F.count_if(smaller).alias("up"), F.max((~smaller).cast("int")).alias("down"))
     return not counts.where("up > 1 OR up + down > 1").count()

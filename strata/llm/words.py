@@ -35,10 +35,12 @@ def random64(n: int, seed: int) -> np.ndarray:
 def powers(n: int, inverse: bool = False, _kept: dict = {}) -> np.ndarray:  # noqa: B006 - one table a process
     table = _kept.get(inverse)
     if table is None or len(table) < n:
-        base = np.full(max(n, PIECE), _M_INVERSE if inverse else _M, dtype=np.uint64)
-        base[0] = 1
+        # As long as the texts need: the driver, which reads short ones, holds little.
+        table = np.full(max(n, min(PIECE, 1 << max(12, n.bit_length()))), _M_INVERSE if inverse else _M, dtype=np.uint64)
+        table[0] = 1
         with np.errstate(over="ignore"):
-            table = _kept[inverse] = np.multiply.accumulate(base)
+            np.multiply.accumulate(table, out=table)
+        _kept[inverse] = table
     return table[:n]
 
 

@@ -41,3 +41,11 @@ def test_links_that_are_stars_take_no_round(spark, monkeypatch):
     joined = [*stars, (24, 8)]
     assert {r.node: r.component for r in components(spark.createDataFrame(joined, "a long, b long")).collect()} == _slow(joined)
     assert len(written) <= 5
+
+
+def test_a_round_reads_its_links_once(spark):
+    """Both ends of a link come from one task, not from one for each end."""
+    edges = spark.createDataFrame([(i, i // 2) for i in range(1, 40)], "a long, b long").repartition(5)
+    ends = graph._both_ends(edges)
+    assert ends.rdd.getNumPartitions() == 5
+    assert sorted(map(tuple, ends.collect())) == sorted([(i, i // 2) for i in range(1, 40)] + [(i // 2, i) for i in range(1, 40)])

@@ -50,3 +50,23 @@ def test_a_text_longer_than_a_piece():
     hashes, bounds = words.spaced(pa.array([text, "w1"]))
     assert bounds.tolist() == [0, 400_000, 400_001]
     assert len(np.unique(hashes)) == 5000 and hashes[1] == hashes[-1]
+
+
+def test_short_texts_take_short_tables(monkeypatch):
+    """The driver reads the benchmark alone, so it holds no tables for whole pieces."""
+    kept: dict = {}
+    monkeypatch.setattr(words.powers, "__defaults__", (False, kept))
+    before, _ = words.plain(pa.array(["a b", "c a"]))
+    assert sum(t.nbytes for t in kept.values()) < 1 << 20
+    after, _ = words.plain(pa.array(["a b", "c a", "d " * 20_000]))
+    assert after[:4].tolist() == before.tolist() and before[0] == before[3]
+
+
+@pytest.mark.parametrize("inverse", [False, True])
+def test_powers_grow_with_what_is_asked(inverse):
+    kept: dict = {}
+    factor = int(words._M_INVERSE if inverse else words._M)
+    for n in (0, 1, 5, 4096, 4097, 70_000, 9, words.PIECE + 3):
+        got = words.powers(n, inverse, kept)
+        assert len(got) == n and len(kept[inverse]) <= max(n, words.PIECE)
+        assert all(int(got[i]) == pow(factor, i, 2**64) for i in {0, 1, n // 2, n - 1} if 0 <= i < n)
